@@ -135,40 +135,54 @@ def quantile_name(prob: float) -> str:
     return f"p{prob * 100:g}".replace(".", "_")
 
 
-def amount_quantiles_exact(
-    df: DataFrame, probs: tuple[float, ...] = (0.25, 0.5, 0.75), slots: int = 4096
-) -> DataFrame:
+def _slice(amount: Column) -> Column:
+    """A growing function of whole cents with at most some 230,000 values.
+
+    Cents up to 4095 keep a slice each; beyond that a slice spans 1/2048 of its
+    power of two, so it holds at most that many distinct amounts.
+    """
+    size = F.abs(amount)
+    drop = F.greatest(F.lit(0), F.floor(F.log2(F.greatest(size, F.lit(1)))).cast("int") - 11)
+    place = drop * 4096 + F.call_function("shiftright", size, drop)
+    return F.when(amount < 0, -place - 1).otherwise(place)
+
+
+def amount_quantiles_exact(df: DataFrame, probs: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Exact quantiles (smallest amount whose cumulative share reaches ``p``), to the cent.
 
-    One scan counts rows per distinct amount.  The rank of an amount is then a
-    two-level prefix sum: the range of amounts is cut into ``slots`` equal slices,
-    slice totals are accumulated over at most ``slots`` rows, and inside the few
-    slices that hold a wanted rank amounts are accumulated per slice.  No task ever
-    sees more than the distinct cents of one slice.
+    One scan counts rows per distinct amount; the rank of an amount is then a
+    two-level prefix sum.  Slice totals are accumulated first, over a bounded number
+    of rows, and amounts only inside the one slice that holds a wanted rank.
     """
     hist = df.select(cents("amt").alias("c")).where("c IS NOT NULL").groupBy("c").agg(F.count(F.lit(1)).alias("n"))
-    ends = F.struct(F.min("c").alias("low"), F.max("c").alias("high"), F.sum("n").alias("total"))
-    span = hist.agg(ends.alias("span")).scalar()
-    width = F.ceil((span["high"] - span["low"] + 1) / F.lit(slots))
-    sliced = hist.withColumn("slice", F.floor((F.col("c") - span["low"]) / width))
-
-    totals = sliced.groupBy("slice").agg(F.sum("n").alias("slice_n"))
-    up_to = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = totals.withColumn("upto", F.sum("slice_n").over(up_to)).withColumn("before", F.col("upto") - F.col("slice_n"))
+    sliced = hist.withColumn("slice", _slice(F.col("c")))
+
+    totals = sliced.groupBy("slice").agg(F.sum("n").alias("slice_n"), F.max("c").alias("top"))
+    in_order = Window.orderBy("slice")
+    everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = totals.select(
+        "slice",
+        (F.sum("slice_n").over(in_order) - F.col("slice_n")).alias("before"),
+        F.sum("slice_n").over(in_order).alias("upto"),
+        F.sum("slice_n").over(everything).alias("total"),
+        F.max("top").over(everything).alias("max_c"),
+    )
     wanted = F.explode(F.array(*[F.struct(F.lit(quantile_name(p)).alias("q"), F.lit(float(p)).alias("p")) for p in probs]))
     targets = (
-        before.withColumn("want", wanted)
-        .withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("want.p") * span["total"])))
+        ranked.withColumn("want", wanted)
+        .withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("want.p") * F.col("total"))))
         .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("upto")))
-        .select("slice", "before", F.col("want.q").alias("q"), "rank")
+        .select(F.col("slice").alias("target"), "before", F.col("want.q").alias("q"), "rank", "max_c")
     )
+    # Null-safe equality: a plain one would push a null test below the count per amount
+    # on this side only, and the count would run twice instead of being shared.
     inside = Window.partitionBy("q").orderBy("c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hits = (
-        sliced.join(F.broadcast(targets), "slice")  # one row per quantile
-        .withColumn("upto", F.col("before") + F.sum("n").over(inside))
-        .where(F.col("upto") >= F.col("rank"))
+        sliced.join(F.broadcast(targets), F.col("slice").eqNullSafe(F.col("target")))  # one row per quantile
+        .withColumn("reached", F.col("before") + F.sum("n").over(inside))
+        .where(F.col("reached") >= F.col("rank"))
     )
-    columns = [
-        (F.min(F.when(F.col("q") == quantile_name(p), F.col("c"))) / F.lit(100.0)).alias(quantile_name(p)) for p in probs
-    ]
-    return hits.agg(*columns).withColumn("max_amt", span["high"] / F.lit(100.0))
+    picked = {
+        quantile_name(p): F.min(F.when(F.col("q") == quantile_name(p), F.col("c"))) / F.lit(100.0) for p in probs
+    }
+    return hits.agg(*[value.alias(name) for name, value in picked.items()], (F.max("max_c") / F.lit(100.0)).alias("max_amt"))

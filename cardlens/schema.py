@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -82,8 +82,8 @@ class KeyedTable:
     """A table with one row per ``key``; on conflict the row first in ``newest`` wins.
 
     ``partition`` is the folder column.  It must be a function of ``key`` so that
-    both versions of a row always meet in the same folder: the day of
-    ``day_of`` where that column is in the key, else a hash bucket of the key.
+    both versions of a row always meet in the same folder: the day or month of
+    ``time`` where that column is in the key, else a hash bucket of the key.
     """
 
     name: str
@@ -91,14 +91,19 @@ class KeyedTable:
     key: tuple[str, ...]
     newest: tuple[str, ...]
     partition: str
-    day_of: str | None = None
+    time: str | None = None
+    time_format: str = DATE_FORMAT
     buckets: int = 64
 
     def schema(self) -> T.StructType:
         fields = dict(self.fields)
-        fields.setdefault(self.partition, STRING if self.day_of else INT)
+        fields.setdefault(self.partition, STRING if self.time else INT)
         return struct_of(fields)
 
+    def monthly(self) -> KeyedTable:
+        """The same table with a folder a month, for data too thin for a folder a day."""
+        return replace(self, partition="trans_month", time_format="yyyy-MM")
+
 
 CUSTOMER = KeyedTable(
     name="customer",
@@ -116,7 +121,7 @@ FRAUD_TRANSACTION = KeyedTable(
     key=("cc_num", "trans_time"),
     newest=("trans_num",),
     partition="trans_day",
-    day_of="trans_time",
+    time="trans_time",
 )
 NON_FRAUD_TRANSACTION = KeyedTable(
     name="non_fraud_transaction",
@@ -124,7 +129,7 @@ NON_FRAUD_TRANSACTION = KeyedTable(
     key=("cc_num", "trans_time"),
     newest=("trans_num",),
     partition="trans_day",
-    day_of="trans_time",
+    time="trans_time",
 )
 FRAUD_ALERT = KeyedTable(
     name="fraud_alert",
@@ -132,6 +137,6 @@ FRAUD_ALERT = KeyedTable(
     key=("trans_day", "trans_time", "trans_num"),
     newest=("prediction_score", "cc_num"),
     partition="trans_day",
-    day_of="trans_time",
+    time="trans_time",
 )
 KEYED_TABLES = {t.name: t for t in (CUSTOMER, FRAUD_TRANSACTION, NON_FRAUD_TRANSACTION, FRAUD_ALERT)}

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.functions import trans_day
 from cardlens.operators.keyed import latest_per_key
 from cardlens.schema import KeyedTable
 from cardlens.sinks.files import MAX_RECORDS_PER_FILE, sorted_layout
@@ -16,8 +15,8 @@ NO_DAY = "unknown"
 
 
 def partition_value(table: KeyedTable) -> Column:
-    if table.day_of:
-        return F.coalesce(trans_day(F.col(table.day_of)), F.lit(NO_DAY))
+    if table.time:
+        return F.coalesce(F.date_format(table.time, table.time_format), F.lit(NO_DAY))
     return F.pmod(F.xxhash64(*table.key), F.lit(table.buckets)).cast("int")
 
 
@@ -43,7 +42,7 @@ def upsert_keyed(df: DataFrame, table: KeyedTable, root: str) -> list:
     spark = df.sparkSession
     incoming_path, merged_path = scratch_path(spark, "incoming"), scratch_path(spark, "merged")
     incoming = snapshot(latest_rows(df, table), incoming_path)
-    # one value per folder: bounded by the calendar days, or by the buckets, of the table
+    # one value per folder: bounded by the calendar, or by the buckets, of the table
     touched = sorted(row[0] for row in incoming.select(table.partition).distinct().collect())
     if not touched:
         remove_path(spark, incoming_path)
@@ -52,7 +51,7 @@ def upsert_keyed(df: DataFrame, table: KeyedTable, root: str) -> list:
     both = stored.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
     merged = latest_per_key(both, table.key, [F.desc("_new"), *winner_order(table)]).drop("_new")
     staged = snapshot(merged, merged_path)
-    time_in_key = (table.day_of,) if table.day_of else ()
+    time_in_key = (table.time,) if table.time else ()
     key = tuple(c for c in table.key if c not in (table.partition, *time_in_key))
     (
         sorted_layout(staged, table.partition, key, time_in_key)

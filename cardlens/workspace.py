@@ -28,10 +28,20 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a scratch path of our own through the Hadoop file system that holds it."""
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path of our own through the file system that holds it."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
 
 
 def snapshot(df: DataFrame, path: str | None = None) -> DataFrame:

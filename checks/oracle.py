@@ -97,7 +97,7 @@ def upserted() -> str:
     keep = "is_fraud=1 AND amt > 20000"
     return with_(
         "SELECT CAST(cc_num AS VARCHAR) AS cc_num, trans_date_trans_time AS trans_time, trans_num, merchant,"
-        " strftime(trans_date_trans_time,'%Y-%m-%d') AS trans_day FROM (SELECT *, row_number() OVER"
+        " strftime(trans_date_trans_time,'%Y-%m') AS trans_month FROM (SELECT *, row_number() OVER"
         f" (PARTITION BY cc_num, trans_date_trans_time ORDER BY trans_num DESC) AS r FROM transactions WHERE {keep}) t WHERE r=1",
         tx(*HISTORY),
     )

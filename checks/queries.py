@@ -531,19 +531,21 @@ def keyed_upsert(spark, sf_dir):
         "merch_long", "category", "merchant", "amt", "is_fraud",
     )
     rows = features.history_rows(features.enrich(features.fraud_rows(df), AS_OF))
-    upsert_keyed(rows.where("amt > 50000").withColumn("merchant", F.lit("stale")), FRAUD_TRANSACTION, root)
-    upsert_keyed(rows.where("amt > 20000"), FRAUD_TRANSACTION, root)
-    return untimed(read_keyed(spark, FRAUD_TRANSACTION, root).select("cc_num", "trans_time", "trans_num", "merchant", "trans_day"))
+    monthly = FRAUD_TRANSACTION.monthly()
+    upsert_keyed(rows.where("amt > 50000").withColumn("merchant", F.lit("stale")), monthly, root)
+    upsert_keyed(rows.where("amt > 20000"), monthly, root)
+    return untimed(read_keyed(spark, monthly, root).select("cc_num", "trans_time", "trans_num", "merchant", "trans_month"))
 
 
 @query
 def import_tables(spark, sf_dir):
     """Rows of every table that the import writes, and rows seen."""
     root = scratch_path(spark, "import")
-    seen = import_transactions(transactions(spark, sf_dir), root, AS_OF)
+    fraud, non_fraud = FRAUD_TRANSACTION.monthly(), NON_FRAUD_TRANSACTION.monthly()
+    seen = import_transactions(transactions(spark, sf_dir), root, AS_OF, fraud, non_fraud)
     counted = [
         read_keyed(spark, t, root).agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit(t.name))
-        for t in (CUSTOMER, FRAUD_TRANSACTION, NON_FRAUD_TRANSACTION)
+        for t in (CUSTOMER, fraud, non_fraud)
     ]
     full = read_snapshot(spark, f"{root}/{TRANSACTIONS}").agg(F.count(F.lit(1)).alias("n"))
     observed = full.select(F.lit(seen.total).cast("bigint").alias("n"), F.lit("observed").alias("name"))
