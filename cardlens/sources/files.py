@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from cardlens.operators.features import drop_index_columns
 from cardlens.operators.keyed import union_all
 from cardlens.schema import INDEX_COLUMNS, STRING, TRANSACTION_FIELDS
+from cardlens.workspace import snapshot
 
 CORRUPT = "_corrupt_record"
 CSV_FOLDERS = ("dataset", "data")  # fixed values: where the files are looked for
@@ -54,7 +55,12 @@ def csv_sources(spark: SparkSession, *names: str):
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the raw text of lines that did not fit the schema."""
+    """Good rows, and the raw text of lines that did not fit the schema.
+
+    The parsed rows are written once and both sides read that copy: Spark parses only
+    the columns a query asks for, and which lines are bad must not depend on the query.
+    """
+    df = snapshot(df)
     good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
     return good, bad

@@ -70,7 +70,7 @@ def read_alerts(spark: SparkSession, root: str, day: str | None = None) -> DataF
     if day is not None:
         stored = stored.where(F.col("trans_day") == day)
     newest = [F.desc("batch_id"), *winner_order(FRAUD_ALERT)]
-    return latest_per_key(stored, FRAUD_ALERT.key, newest).drop("batch_id")
+    return latest_per_key(stored, FRAUD_ALERT.key, newest).select(*ALERT_FIELDS)
 
 
 def read_malformed(spark: SparkSession, root: str) -> DataFrame:
