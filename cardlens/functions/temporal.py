@@ -49,5 +49,5 @@ def trans_day(time: Column) -> Column:
 
 def clock_time(time_text: Column) -> Column:
     """Clock part of ``yyyy-MM-dd HH:mm:ss``; ``Now`` when there is none."""
-    part = F.get(F.split(time_text, " "), F.lit(1))
-    return F.coalesce(F.nullif(part, F.lit("")), F.lit("Now"))
+    part = F.substring_index(time_text, " ", -1)
+    return F.when(part != time_text, part).otherwise(F.lit("Now"))

@@ -1,0 +1,85 @@
+"""The physical plans are the ones that hold at scale."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardlens.operators import analytics, features, keyed, quality, sampling, serving
+from checks.queries import QUERIES
+from checks.tables import transactions
+from tests.conftest import SMALL
+
+EAGER = {n for n in QUERIES if n.startswith(("stream_", "forest_", "keyed_", "import_", "csv_", "source_", "snapshot_"))}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The transactions as one Parquet table, as the import writes them."""
+    path = str(tmp_path_factory.mktemp("stored") / "transactions")
+    features.with_trans_time(transactions(spark, SMALL)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
+def test_no_python_in_the_plan(spark, name):
+    text = plan(QUERIES[name](spark, SMALL))
+    assert "EvalPython" not in text and "InPandas" not in text and "CartesianProduct" not in text
+    assert "BroadcastNestedLoopJoin" not in text
+
+
+def test_only_needed_columns_are_read(stored):
+    text = plan(analytics.category_fraud(stored))
+    assert "ReadSchema: struct<category:string,amt:double,is_fraud:int>" in text
+
+
+def test_filters_reach_the_scan(stored):
+    assert "EqualTo(is_fraud,1)" in plan(features.fraud_rows(stored).select("amt"))
+    points = plan(serving.fraud_points(features.fraud_rows(stored)))
+    assert "IsNotNull(merch_lat)" in points and "EqualTo(is_fraud,1)" in points
+
+
+def test_reports_shuffle_partial_aggregates_once(stored):
+    for report in (analytics.category_fraud, analytics.state_fraud, analytics.high_risk_customers):
+        text = plan(report(stored))
+        assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in text and "TakeOrderedAndProject" in text
+
+
+TOP_K = (
+    "alerts_of_day", "category_fraud", "category_top", "fraud_points", "high_risk_customers", "preview",
+    "recent_fraud", "recent_fraud_history", "state_fraud", "txn_status",
+)
+
+
+@pytest.mark.parametrize("name", TOP_K)
+def test_top_k_does_not_sort_everything(spark, name):
+    text = plan(QUERIES[name](spark, SMALL))
+    assert "TakeOrderedAndProject" in text and "Exchange rangepartitioning" not in text
+
+
+def test_rank_filters_limit_groups_before_the_shuffle(stored):
+    latest = plan(keyed.latest_per_key(stored, ("cc_num",), [F.desc("trans_time")]))
+    counts = plan(quality.value_counts(stored, ("category", "gender")))
+    for text, k in ((latest, 1), (counts, 10)):
+        assert f"row_number(), {k}, Partial" in text
+
+
+def test_exact_quantiles_count_the_amounts_once(stored):
+    df = analytics.amount_quantiles_exact(stored)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 1 and final.count("FileScan") == 1
+
+
+def test_balance_does_not_shuffle_rows(stored):
+    text = plan(sampling.balance(stored, label="is_fraud")).split("+- FileScan")[0]
+    assert "Exchange hashpartitioning" not in text and "Join" not in text
+
+
+def test_windows_without_a_key_see_few_rows(stored):
+    """Single-task windows follow an aggregation; none is fed by raw rows."""
+    df = analytics.amount_quantiles_exact(stored)
+    above, below = plan(df).split("Exchange SinglePartition", 2)[1:] if plan(df).count("Exchange SinglePartition") > 1 else ("", plan(df))
+    assert "HashAggregate(keys=[slice" in below

@@ -1,0 +1,62 @@
+"""Properties over generated rows."""
+
+import math
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from cardlens import functions as fn
+from cardlens.operators import analytics, features, keyed, sampling
+
+FEW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+latitude, longitude = st.floats(-90, 90), st.floats(-180, 180)
+
+
+@FEW
+@given(points=st.lists(st.tuples(latitude, longitude, latitude, longitude), min_size=1, max_size=40))
+def test_haversine(spark, points):
+    a, b, c, d = (F.col(x) for x in "abcd")
+    df = spark.createDataFrame(points, "a double, b double, c double, d double").select(
+        "*",
+        fn.haversine_km(a, b, c, d).alias("there"),
+        fn.haversine_km(c, d, a, b).alias("back"),
+        fn.haversine_km(a, b, a, b).alias("stay"),
+    )
+    for r in df.collect():
+        assert r.stay == 0.0 and 0.0 <= r.there <= math.pi * 6371.0 + 1e-6
+        assert math.isclose(r.there, r.back, abs_tol=1e-6)
+
+
+@FEW
+@given(amounts=st.lists(st.integers(-(10**7), 10**9), min_size=1, max_size=60), p=st.floats(0.01, 1.0))
+def test_exact_quantile_is_the_ranked_amount(spark, amounts, p):
+    df = spark.createDataFrame([(a / 100,) for a in amounts], "amt double")
+    found = analytics.amount_quantiles_exact(df, (p,)).head()[0]
+    rank = max(1, math.ceil(p * len(amounts)))
+    assert found == sorted(amounts)[rank - 1] / 100
+
+
+@FEW
+@given(labels=st.lists(st.sampled_from([0, 1, None]), min_size=1, max_size=60))
+def test_sides_and_missing_labels_make_up_the_table(spark, labels):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(labels)], "id int, is_fraud int")
+    sides = features.fraud_rows(df).unionByName(features.non_fraud_rows(df))
+    assert sides.count() == len(labels) - labels.count(None)
+
+
+@FEW
+@given(rows=st.lists(st.tuples(st.integers(0, 5), st.integers(0, 1000)), min_size=1, max_size=60))
+def test_latest_is_the_greatest(spark, rows):
+    df = spark.createDataFrame(rows, "k int, t int")
+    got = {r.k: r.t for r in keyed.latest_per_key(df, ("k",), [F.desc("t")]).collect()}
+    assert got == {k: max(t for j, t in rows if j == k) for k, _ in rows}
+
+
+@FEW
+@given(keys=st.lists(st.text(max_size=12), min_size=1, max_size=40))
+def test_unit_hash_is_in_range_and_stable(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys], "k string").withColumn("u", sampling.unit_hash(F.col("k"), "s:"))
+    seen = {}
+    for r in df.collect():
+        assert 0.0 <= r.u < 1.0 and seen.setdefault(r.k, r.u) == r.u
