@@ -62,8 +62,10 @@ def main() -> None:
     for name in REPEATED:
         consume(name)
         seconds[name] = statistics.median(timed(lambda: consume(name)) for _ in range(3))
+        print(f"{name} {seconds[name]:.2f}", file=sys.stderr, flush=True)
     for name in ONCE:
         seconds[name] = timed(lambda: consume(name))
+        print(f"{name} {seconds[name]:.2f}", file=sys.stderr, flush=True)
 
     trees, depth = int(os.environ.get("BENCH_TREES", "100")), int(os.environ.get("BENCH_DEPTH", "10"))
     fitted = {}

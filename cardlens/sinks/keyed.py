@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from cardlens.operators.keyed import latest_per_key
 from cardlens.schema import KeyedTable
 from cardlens.sinks.files import MAX_RECORDS_PER_FILE, sorted_layout
-from cardlens.sources.keyed import read_keyed_or_empty
-from cardlens.workspace import remove_path, scratch_path, snapshot
+from cardlens.sources.keyed import read_keyed
+from cardlens.workspace import path_exists, remove_path, scratch_path, snapshot
 
 NO_DAY = "unknown"
 
@@ -34,33 +34,41 @@ def latest_rows(df: DataFrame, table: KeyedTable) -> DataFrame:
 def upsert_keyed(df: DataFrame, table: KeyedTable, root: str) -> list:
     """Merge ``df`` into ``root/table``; rows of ``df`` win over stored ones.
 
-    Only folders that ``df`` touches are read and rewritten.  The merged rows are
-    staged in the shared folder first, so no plan reads what it overwrites, and a
-    failed run leaves the table as it was; running again gives the same table.
+    The first write goes straight to the table.  After that only folders that ``df``
+    touches are read and rewritten, and the merged rows are staged in the shared
+    folder first: no plan reads what it overwrites, a run that fails before the last
+    step leaves the table as it was, and running again gives the same table.
     Returns the touched folders' values.
     """
     spark = df.sparkSession
+    if not path_exists(spark, f"{root}/{table.name}"):
+        _write(latest_rows(df, table), table, root)
+        return _folders(read_keyed(spark, table, root), table)
     incoming_path, merged_path = scratch_path(spark, "incoming"), scratch_path(spark, "merged")
     incoming = snapshot(latest_rows(df, table), incoming_path)
-    # one value per folder: bounded by the calendar, or by the buckets, of the table
-    touched = sorted(row[0] for row in incoming.select(table.partition).distinct().collect())
-    if not touched:
-        remove_path(spark, incoming_path)
-        return touched
-    stored = read_keyed_or_empty(spark, table, root).where(F.col(table.partition).isin(touched))
+    touched = _folders(incoming, table)
+    stored = read_keyed(spark, table, root).where(F.col(table.partition).isin(touched))
     both = stored.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
     merged = latest_per_key(both, table.key, [F.desc("_new"), *winner_order(table)]).drop("_new")
-    staged = snapshot(merged, merged_path)
+    _write(snapshot(merged, merged_path), table, root)
+    remove_path(spark, incoming_path)
+    remove_path(spark, merged_path)
+    return touched
+
+
+def _folders(df: DataFrame, table: KeyedTable) -> list:
+    """One value per folder: bounded by the calendar, or by the buckets, of the table."""
+    return sorted(row[0] for row in df.select(table.partition).distinct().collect())
+
+
+def _write(df: DataFrame, table: KeyedTable, root: str) -> None:
     time_in_key = (table.time,) if table.time else ()
     key = tuple(c for c in table.key if c not in (table.partition, *time_in_key))
     (
-        sorted_layout(staged, table.partition, key, time_in_key)
+        sorted_layout(df, table.partition, key, time_in_key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(table.partition)
         .parquet(f"{root}/{table.name}")
     )
-    remove_path(spark, incoming_path)
-    remove_path(spark, merged_path)
-    return touched

@@ -44,14 +44,15 @@ def decode_json(df: DataFrame, schema: T.StructType | None = None, value: str =
 
     Numbers sent for text fields are read as text.  A record with one field of a
     wrong type is malformed as a whole, with the fields that fit kept.
+
+    The fields come out of ``inline``, so that a later filter on them stays above the
+    parser; out of a plain projection it would be pushed below and parse a second time.
     """
     schema = transaction_schema() if schema is None else schema
     read = T.StructType([*schema.fields, T.StructField(MALFORMED, STRING, True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
-    others = [c for c in df.columns if c != value]
-    return df.select(*others, F.from_json(F.col(value).cast("string"), read, options).alias("data")).select(
-        *others, "data.*"
-    )
+    record = F.from_json(F.col(value).cast("string"), read, options)
+    return df.select(*[c for c in df.columns if c != value], F.inline(F.array(record)))
 
 
 def well_formed(decoded: DataFrame) -> DataFrame:

@@ -1,7 +1,11 @@
-"""Compare every registered query with its SQL: ``python -m checks.compare [folder] [name ...]``."""
+"""Compare every registered query with its SQL: ``python -m checks.compare [folder] [name ...]``.
+
+``CHECK_CONF`` may hold further session settings, ``name=value,name=value``.
+"""
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
@@ -63,8 +67,11 @@ def differences(actual: pd.DataFrame, expected: pd.DataFrame) -> str | None:
 
 
 def main(sf_dir: str, names: list[str]) -> int:
+    builder = SparkSession.builder.master("local[8]")
+    for setting in filter(None, os.environ.get("CHECK_CONF", "").split(",")):
+        builder = builder.config(*setting.split("=", 1))
     spark = (
-        SparkSession.builder.master("local[8]")
+        builder
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
