@@ -36,7 +36,7 @@ def age_years(born: Column, as_of: datetime.date | str | None = None) -> Column:
 
 def age_exact(born: Column, as_of: datetime.date | str | None = None) -> Column:
     """Days lived over 365.25."""
-    return F.datediff(as_of_date(as_of), born.cast("date")) / F.lit(DAYS_PER_YEAR)
+    return F.datediff(as_of_date(as_of), born.try_cast("date")) / F.lit(DAYS_PER_YEAR)
 
 
 def trans_hour(time: Column) -> Column:

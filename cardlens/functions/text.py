@@ -38,3 +38,8 @@ def truncate(text: Column, length: int) -> Column:
 
 def status_label(is_fraud: Column) -> Column:
     return F.when(is_fraud == 1, F.lit(FRAUD_STATUS)).otherwise(F.lit(SAFE_STATUS))
+
+
+def amount_text(amount: Column) -> Column:
+    """Two decimals, no grouping."""
+    return F.format_string("%.2f", amount)

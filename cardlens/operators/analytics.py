@@ -44,7 +44,7 @@ def kpi_overview(df: DataFrame) -> DataFrame:
 
 
 def daily_trend(df: DataFrame) -> DataFrame:
-    return df.groupBy(F.to_date(TIME).alias("txn_date")).agg(*_traffic()).orderBy("txn_date")
+    return df.groupBy(F.col(TIME).try_cast("date").alias("txn_date")).agg(*_traffic()).orderBy("txn_date")
 
 
 def fraud_rate_by(df: DataFrame, key: str, above: int | None = None, k: int | None = 20) -> DataFrame:
@@ -82,7 +82,7 @@ def high_risk_customers(df: DataFrame, min_txn: int = 50, min_fraud: int = 3, k:
 
 def fraud_profile(df: DataFrame, as_of: datetime.date | str | None = None) -> DataFrame:
     """Mean amount, city size and age of fraudulent against normal rows."""
-    days = F.datediff(as_of_date(as_of), F.col("dob").cast("date"))
+    days = F.datediff(as_of_date(as_of), F.col("dob").try_cast("date"))
     people = F.col("city_pop").cast("bigint")
     return df.groupBy("is_fraud").agg(
         money_mean("amt").alias("avg_amount"),

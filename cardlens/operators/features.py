@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardlens.functions import age_years, euclid_deg, haversine_km, parse_date, parse_time, trans_hour
-from cardlens.schema import DOUBLE, HISTORY_FIELDS, INDEX_COLUMNS, TRANSACTION_FIELDS
+from cardlens.schema import DOUBLE, HISTORY_FIELDS, INDEX_COLUMNS, TIME_FORMAT, TRANSACTION_FIELDS
 
 # What a missing column or a missing number is replaced with.
 DEFAULTS = {
@@ -44,11 +44,18 @@ def conform(
     """
     types = TRANSACTION_FIELDS if types is None else types
     defaults = DEFAULTS if defaults is None else defaults
-    present = {name: F.col(f"`{name}`").try_cast(kind) for name, kind in types.items() if name in df.columns}
+    present = {name: _as_type(df, name, kind) for name, kind in types.items() if name in df.columns}
     absent = {name: F.lit(defaults.get(name)).cast(types[name]) for name in defaulted_columns(df, types)}
     return df.withColumns({**present, **absent})
 
 
+def _as_type(df: DataFrame, name: str, kind: T.DataType) -> Column:
+    column, found = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(found, (T.TimestampType, T.TimestampNTZType)) and isinstance(kind, T.StringType):
+        return F.date_format(column, TIME_FORMAT)  # a cast would keep fractions that the format does not have
+    return column.try_cast(kind)
+
+
 def defaulted_columns(df: DataFrame, types: dict[str, T.DataType] | None = None) -> list[str]:
     types = TRANSACTION_FIELDS if types is None else types
     return [name for name in types if name not in df.columns]
@@ -112,4 +119,4 @@ def model_features(df: DataFrame, as_of: datetime.date | str | None = None) -> D
         name: F.coalesce(F.nanvl(value.cast(DOUBLE), F.lit(None).cast(DOUBLE)), F.lit(DEFAULTS.get(name, 0.0)))
         for name, value in {**raw, **derived}.items()
     }
-    return df.withColumns({**filled, "label": flag.cast(DOUBLE)})
+    return df.withColumns({**filled, "label": flag.try_cast(DOUBLE)})

@@ -17,7 +17,7 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 def customer_dim(df: DataFrame, columns: tuple[str, ...] = CUSTOMER_COLUMNS) -> DataFrame:
     """Distinct cardholder rows; a card whose details differ between rows appears several times."""
-    casts = {"zip": F.col("zip").cast("string"), "dob": F.col("dob").cast("timestamp")}
+    casts = {"zip": F.col("zip").cast("string"), "dob": F.col("dob").try_cast("timestamp")}
     return df.select([casts.get(c, F.col(c)).alias(c) for c in columns]).distinct()
 
 

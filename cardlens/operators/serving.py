@@ -9,7 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.functions import category_label, clock_time, mask_card, or_default, percent, status_label, truncate
+from cardlens.functions import (
+    amount_text,
+    category_label,
+    clock_time,
+    mask_card,
+    or_default,
+    percent,
+    status_label,
+    truncate,
+)
 from cardlens.schema import TIME_FORMAT
 
 FEED_LENGTH = 20  # fixed values: lengths of the lists and texts that are served
@@ -54,6 +63,7 @@ def feed_rows(df: DataFrame) -> DataFrame:
         or_default(F.col("merchant"), "").alias("merchant"),
         truncate(or_default(F.col("merchant"), ""), MERCHANT_LENGTH).alias("merchant_short"),
         or_default(F.col("amt").cast("double"), 0.0).alias("amount"),
+        amount_text(or_default(F.col("amt").cast("double"), 0.0)).alias("amount_text"),
         or_default(F.col("category"), "").alias("category"),
     )
 

@@ -57,7 +57,7 @@ def notification(new_alerts: DataFrame, known: DataFrame, k: int = NOTIFIED) ->
     Of ``known`` only the folder of that day is read.
     """
     today = new_alerts.agg(F.max("trans_day")).scalar()
-    newest = feed_rows(new_alerts.orderBy(*newest_first()).limit(k)).drop("clock", "merchant_short")
+    newest = feed_rows(new_alerts.orderBy(*newest_first()).limit(k)).drop("clock", "merchant_short", "amount_text")
     shown = newest.agg(F.sort_array(F.collect_list(F.struct("time", *[c for c in newest.columns if c != "time"])), False))
     return new_alerts.agg(F.count(F.lit(1)).alias("new")).select(
         known.where(F.col("trans_day") == today).agg(F.count(F.lit(1))).scalar().alias("count"),

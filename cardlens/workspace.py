@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own_dirs: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder, which every executor can reach.
@@ -18,9 +20,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="cardlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own_dirs:
+        _own_dirs[application] = tempfile.mkdtemp(prefix="cardlens-")
+    return _own_dirs[application]
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:

@@ -21,7 +21,7 @@ FEED = (
     "coalesce(trans_num,'') AS trans_num, coalesce(right(cc_num,4),'****') AS cc_num,"
     f" coalesce({TIME_TEXT},'') AS time, coalesce(substr({TIME_TEXT},12),'Now') AS clock,"
     " coalesce(merchant,'') AS merchant, substr(coalesce(merchant,''),1,18) AS merchant_short,"
-    " coalesce(amt,0e0) AS amount, coalesce(category,'') AS category"
+    " coalesce(amt,0e0) AS amount, printf('%.2f',coalesce(amt,0e0)) AS amount_text, coalesce(category,'') AS category"
 )
 NEWEST = "ORDER BY trans_time DESC NULLS LAST, trans_num ASC"
 
@@ -336,12 +336,19 @@ ORACLE = {
         f" UNION ALL SELECT 'true_mix', CAST(is_fraud AS DOUBLE), count(*) FROM transactions WHERE {TEST_SIDE} GROUP BY 2",
         tx("trans_num", "is_fraud"),
     ),
-    "decode_props": "SELECT event_id, CAST(json_extract_string(props,'$.k') AS INT) AS k FROM events",
-    "encode_messages": with_(
+    "decode_json": "SELECT event_id, CAST(json_extract_string(props,'$.k') AS INT) AS k FROM events",
+    "encode_json": with_(
         "SELECT CAST(to_json({trans_num: trans_num, cc_num: cc_num, category: category, amt: amt, dob: CAST(dob AS VARCHAR), is_fraud: is_fraud}) AS VARCHAR)"
         ' AS "value" FROM ev',
         EV,
     ),
+    "decode_messages": with_(
+        "SELECT CASE WHEN cut THEN NULL ELSE trans_num END AS trans_num, CASE WHEN cut THEN NULL ELSE amt END AS amt,"
+        " CASE WHEN cut THEN NULL ELSE CAST(dob AS VARCHAR) END AS dob, CAST(CASE WHEN cut THEN NULL ELSE is_fraud END AS DOUBLE) AS is_fraud,"
+        """ CASE WHEN cut THEN substr(concat('{"trans_num":"',trans_num,'","trans_date_trans_time":"',trans_date_trans_time,'","cc_num":"',cc_num),1,60) END"""
+        " AS _malformed FROM (SELECT *, CAST(trans_num AS INT)%10=0 AS cut FROM ev) e",
+        EV,
+    ),
     "csv_source": with_(
         "SELECT trans_num, strftime(trans_date_trans_time,'%Y-%m-%d %H:%M:%S') AS trans_date_trans_time, zip, amt, city_pop, is_fraud FROM transactions",
         tx("trans_num", "trans_date_trans_time", "zip", "amt", "city_pop", "is_fraud"),
@@ -371,6 +378,11 @@ ORACLE = {
         " WHERE window_end <= (SELECT max(trans_time) - INTERVAL 10 MINUTE FROM alerts)",
         ALERTS,
     ),
+    "stream_notifications": with_(
+        'SELECT (SELECT count(*) FROM alerts) AS "new", (SELECT count(*) FROM alerts WHERE trans_day=(SELECT max(trans_day) FROM alerts)) AS "count",'
+        f" trans_num, cc_num, time, merchant, amount, category FROM (SELECT {FEED} FROM (SELECT * FROM alerts {NEWEST} LIMIT 5) a) f",
+        ALERTS,
+    ),
     "stream_totals": with_(
         "SELECT count(*) AS total_processed, count(*) FILTER (is_fraud=1) AS fraud_count,"
         " count(*)*1e6/(epoch_us(max(CAST(trans_date_trans_time AS TIMESTAMP)))-epoch_us(min(CAST(trans_date_trans_time AS TIMESTAMP)))) AS per_second FROM ev",

@@ -24,7 +24,7 @@ from cardlens.sinks.messages import write_message_files
 from cardlens.sources.fallback import first_available
 from cardlens.sources.files import read_snapshot, read_transactions_csv, register
 from cardlens.sources.keyed import read_keyed
-from cardlens.sources.messages import decode_json, encode_json, malformed, read_message_files, well_formed
+from cardlens.sources import messages
 from cardlens.streaming import detector, monitor
 from cardlens.workspace import scratch_path, snapshot
 from checks.tables import event_stream, event_transactions, table, transactions
@@ -467,25 +467,24 @@ def forest_test_rows(spark, sf_dir):
 
 
 @query
-def decode_props(spark, sf_dir):
+def decode_json(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "props")
-    return decode_json(events, struct_of({"k": INT}), "props").select("event_id", "k")
+    return messages.decode_json(events, struct_of({"k": INT}), "props").select("event_id", "k")
 
 
 @query
-def encode_messages(spark, sf_dir):
-    return encode_json(event_transactions(spark, sf_dir).select("trans_num", "cc_num", "category", "amt", "dob", "is_fraud"))
+def encode_json(spark, sf_dir):
+    return messages.encode_json(event_transactions(spark, sf_dir).select("trans_num", "cc_num", "category", "amt", "dob", "is_fraud"))
 
 
 @query
 def decode_messages(spark, sf_dir):
     """Every event as a JSON message and back, every tenth cut off in the middle."""
-    text = encode_json(event_transactions(spark, sf_dir)).withColumn("text", F.col("value"))
-    number = F.get_json_object("text", "$.trans_num").cast("int")
+    text = messages.encode_json(event_transactions(spark, sf_dir)).select(F.inline(F.array(F.struct("value"))))
+    number = F.regexp_extract("value", r'^."trans_num":"(\d+)"', 1).cast("int")
     cut = F.when(number % 10 == 0, F.substring("value", 1, 60)).otherwise(F.col("value"))
-    decoded = decode_json(text.select(cut.alias("value")))
-    good = well_formed(decoded).select("trans_num", "amt", "dob", "is_fraud")
-    return good.unionByName(malformed(decoded).select(F.col("record").alias("trans_num")), allowMissingColumns=True)
+    decoded = messages.decode_json(text.select(cut.alias("value")))
+    return decoded.select("trans_num", "amt", "dob", F.col("is_fraud").cast("double").alias("is_fraud"), messages.MALFORMED)
 
 
 @query
@@ -557,7 +556,7 @@ def import_tables(spark, sf_dir):
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream of JSON messages in the topic's form."""
-    return encode_json(event_stream(spark, sf_dir)).select(F.col("value").cast("binary").alias("value"))
+    return messages.encode_json(event_stream(spark, sf_dir)).select(F.col("value").cast("binary").alias("value"))
 
 
 def finish(streaming_query) -> None:
@@ -568,8 +567,7 @@ def finish(streaming_query) -> None:
 def stream_alerts(spark, sf_dir):
     """Live detection with a model over all events; the same rows as batch scoring."""
     root = scratch_path(spark, "alerts")
-    messages = event_messages(spark, sf_dir)
-    finish(detector.start_detector(messages, root, f"{root}/checkpoint", rule_model(EVENT_RULE), AS_OF, available_now=True))
+    finish(detector.start_detector(event_messages(spark, sf_dir), root, f"{root}/checkpoint", rule_model(EVENT_RULE), AS_OF, available_now=True))
     return untimed(detector.read_alerts(spark, root))
 
 
@@ -580,8 +578,8 @@ def stream_label_alerts(spark, sf_dir):
     events = event_transactions(spark, sf_dir)
     write_message_files(events.repartition(3), f"{root}/topic")
     write_message_files(events.where("CAST(cc_num AS BIGINT) % 2 = 0").coalesce(1), f"{root}/topic")
-    messages = read_message_files(spark, f"{root}/topic", files_per_batch=2)
-    finish(detector.start_detector(messages, root, f"{root}/checkpoint", None, AS_OF, available_now=True))
+    files = messages.read_message_files(spark, f"{root}/topic", files_per_batch=2)
+    finish(detector.start_detector(files, root, f"{root}/checkpoint", None, AS_OF, available_now=True))
     return untimed(detector.read_alerts(spark, root))
 
 
@@ -597,7 +595,7 @@ def stream_windows(spark, sf_dir):
 @query
 def stream_totals(spark, sf_dir):
     root = scratch_path(spark, "totals")
-    rows = features.with_trans_time(well_formed(decode_json(event_messages(spark, sf_dir))))
+    rows = features.with_trans_time(messages.well_formed(messages.decode_json(event_messages(spark, sf_dir))))
     name = f"totals_{root.rsplit('-', 1)[1]}"
     finish(monitor.start_totals(rows, name, f"{root}/checkpoint", available_now=True))
     return spark.table(name)
@@ -607,8 +605,7 @@ def stream_totals(spark, sf_dir):
 def stream_notifications(spark, sf_dir):
     """Sum over the notifications of new alerts, and the newest of the last one."""
     root = scratch_path(spark, "notify")
-    messages = event_messages(spark, sf_dir)
-    finish(detector.start_detector(messages, root, f"{root}/checkpoint", None, AS_OF, available_now=True))
+    finish(detector.start_detector(event_messages(spark, sf_dir), root, f"{root}/checkpoint", None, AS_OF, available_now=True))
     found = detector.scored_stream(event_messages(spark, sf_dir), None, AS_OF)
     finish(monitor.start_notifications(found, root, f"{root}/rows", f"{root}/checkpoint2", available_now=True))
     rows = spark.read.parquet(f"{root}/rows/*")

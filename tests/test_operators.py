@@ -18,6 +18,21 @@ def test_conform_adds_defaults_and_casts(spark):
     assert "lat" in features.defaulted_columns(narrow) and "amt" not in features.defaulted_columns(narrow)
 
 
+def test_times_are_conformed_to_the_record_format(spark):
+    df = spark.sql("SELECT TIMESTAMP'2020-01-02 03:04:05.678' AS trans_date_trans_time, DATE'1990-05-06' AS dob")
+    row = features.conform(df).head()
+    assert (row.trans_date_trans_time, row.dob) == ("2020-01-02 03:04:05", "1990-05-06")
+
+
+def test_reports_on_text_columns_with_bad_values(spark):
+    df = spark.createDataFrame(
+        [("2020-01-01 10:00:00", "1990-01-01", 1.0, 10, 0), ("bad", "bad", 2.0, 20, 0)],
+        "trans_date_trans_time string, dob string, amt double, city_pop int, is_fraud int",
+    )
+    assert {str(r.txn_date): r.total_txn for r in analytics.daily_trend(df).collect()} == {"2020-01-01": 1, "None": 1}
+    assert analytics.fraud_profile(df, "2020-06-21").head().avg_age == 30.5
+
+
 def test_index_columns_are_dropped(spark):
     df = spark.createDataFrame([(0, 1, "a")], "`_c0` int, `Unnamed: 0` int, x string")
     assert features.drop_index_columns(df).columns == ["x"]
@@ -182,7 +197,10 @@ def test_series_has_quiet_intervals(spark):
 
 
 def test_points_keep_zero_coordinates(spark):
-    df = spark.sql("SELECT 't' AS trans_num, TIMESTAMP'2024-01-01 00:00:00' AS trans_time, 0.0D AS merch_lat, 0.0D AS merch_long, 'm' AS merchant, 1.0D AS amt")
+    df = spark.sql(
+        "SELECT 't' AS trans_num, TIMESTAMP'2024-01-01 00:00:00' AS trans_time, 0.0D AS merch_lat,"
+        " 0.0D AS merch_long, 'm' AS merchant, 1.0D AS amt"
+    )
     assert serving.fraud_points(df).count() == 1
 
 
@@ -194,4 +212,4 @@ def test_live_stats_of_empty_tables(spark):
 def test_notified_texts_have_defaults(spark):
     df = spark.sql("SELECT CAST(NULL AS STRING) trans_num, CAST(NULL AS STRING) cc_num, CAST(NULL AS TIMESTAMP) trans_time,"
                    " CAST(NULL AS STRING) merchant, CAST(NULL AS DOUBLE) amt, CAST(NULL AS STRING) category")
-    assert tuple(serving.feed_rows(df).head()) == ("", "****", "", "Now", "", "", 0.0, "")
+    assert tuple(serving.feed_rows(df).head()) == ("", "****", "", "Now", "", "", 0.0, "0.00", "")

@@ -1,0 +1,70 @@
+"""Hot keys: a third of the orders on one card, of the items on one part and one merchant.
+
+Small tables are not broadcast here, so that the joins, and adaptive execution's
+handling of their skew, are the ones large tables would get.
+"""
+
+import os
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from checks.compare import differences, oracle_frame
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
+from cardlens.sinks.files import sorted_layout
+from tests.conftest import SMALL
+
+HOT = {
+    "orders": "CASE WHEN o_orderkey%3=0 THEN 7 ELSE o_custkey END AS o_custkey",
+    "lineitem": "CASE WHEN (l_orderkey+l_linenumber)%3=0 THEN 5 ELSE l_partkey END AS l_partkey,"
+    " CASE WHEN (l_orderkey+l_linenumber)%3=1 THEN 3 ELSE l_suppkey END AS l_suppkey",
+    "events": "CASE WHEN event_id%3=0 THEN 9 ELSE user_id END AS user_id",
+}
+LARGE_TABLE_PLAN = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB",
+}
+CHECKED = (
+    "high_risk_customers", "state_fraud", "category_fraud", "fraud_profile", "upsert_latest", "customer_dim",
+    "column_mode", "value_counts", "mode_impute", "enrich_history", "recent_fraud_history", "string_index",
+    "keyed_upsert", "stream_alerts", "balance",
+)
+
+
+@pytest.fixture(scope="module")
+def hot_tables(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("hot")
+    for file in os.listdir(SMALL):
+        replaced = HOT.get(file.removesuffix(".parquet"))
+        columns = f"* REPLACE ({replaced})" if replaced else "*"
+        duckdb.sql(f"COPY (SELECT {columns} FROM '{SMALL}/{file}') TO '{folder}/{file}' (FORMAT parquet, ROW_GROUP_SIZE 2048)")
+    return str(folder)
+
+
+@pytest.fixture
+def large_plans(spark):
+    for name, value in LARGE_TABLE_PLAN.items():
+        spark.conf.set(name, value)
+    yield
+    for name in LARGE_TABLE_PLAN:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("name", CHECKED)
+def test_equals_sql_on_hot_keys(spark, hot_tables, large_plans, name):
+    actual = QUERIES[name](spark, hot_tables).toPandas()
+    assert differences(actual, oracle_frame(hot_tables, ORACLE[name])) is None
+
+
+def test_hot_folder_is_written_by_several_tasks(spark, large_plans, tmp_path):
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 50)).alias("day"), F.col("id").alias("k")
+    )
+    sorted_layout(rows, "day", (), ("k",)).write.partitionBy("day").parquet(f"{tmp_path}/t")
+    assert len([f for f in os.listdir(f"{tmp_path}/t/day=hot") if f.endswith(".parquet")]) > 1
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 40_000
