@@ -45,11 +45,13 @@ def start_detector(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # read twice; what an executor loses is read again from the source
-        found = alerts(model_features(well_formed(batch), as_of), model)
-        found = found.withColumn("trans_day", F.coalesce("trans_day", F.lit(NO_DAY)))
-        found.write.mode("overwrite").partitionBy("trans_day").parquet(batch_path(f"{root}/fraud_alert", batch_id))
-        malformed(batch).write.mode("overwrite").parquet(batch_path(f"{root}/malformed", batch_id))
-        batch.unpersist()
+        try:
+            found = alerts(model_features(well_formed(batch), as_of), model)
+            found = found.withColumn("trans_day", F.coalesce("trans_day", F.lit(NO_DAY)))
+            found.write.mode("overwrite").partitionBy("trans_day").parquet(batch_path(f"{root}/fraud_alert", batch_id))
+            malformed(batch).write.mode("overwrite").parquet(batch_path(f"{root}/malformed", batch_id))
+        finally:
+            batch.unpersist()
 
     writer = decoded.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(store)
     return _trigger(writer, available_now, interval).start()

@@ -78,9 +78,11 @@ def start_notifications(
 
     def notify(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        row = notification(batch, read_alerts(batch.sparkSession, alert_root)).where(F.col("new") > 0)
-        row.write.mode("overwrite").parquet(batch_path(path, batch_id))
-        batch.unpersist()
+        try:
+            row = notification(batch, read_alerts(batch.sparkSession, alert_root)).where(F.col("new") > 0)
+            row.write.mode("overwrite").parquet(batch_path(path, batch_id))
+        finally:
+            batch.unpersist()
 
     writer = alerts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(notify)
     return _trigger(writer, available_now, interval).start()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.queries import ALERT_DAY, AS_OF, EVENT_RULE, RULE
-from checks.tables import events_sql, transactions_sql
+from checks.tables import TRANSACTION_COLUMNS, events_sql, transactions_sql
 
 
 def tx(*columns: str, dirty: bool = False) -> str:
@@ -222,6 +222,11 @@ ORACLE = {
         " (SELECT *, CAST(trans_date_trans_time AS DATE) AS txn_date FROM transactions) d) t WHERE r=1",
         tx("trans_num", "cc_num", "trans_date_trans_time"),
     ),
+    "describe": (
+        "SELECT CAST(row_number() OVER () - 1 AS INT) AS position, column_name AS col_name, CASE column_type WHEN 'VARCHAR' THEN 'string'"
+        " WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS data_type FROM (DESCRIBE "
+        f"({transactions_sql(tuple(TRANSACTION_COLUMNS), 'duckdb')}))"
+    ),
     "preview": with_(
         "SELECT * FROM transactions ORDER BY trans_date_trans_time, trans_num LIMIT 5",
         tx("trans_num", "trans_date_trans_time", "amt", "is_fraud"),

@@ -1,4 +1,5 @@
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,8 +74,13 @@ def test_row_without_time_is_kept(spark, tmp_path):
 
 
 def test_nothing_to_write(spark, tmp_path):
-    assert upsert_keyed(history(spark, ("1", None, "a", 1.0)).limit(0), FRAUD_TRANSACTION, str(tmp_path)) == []
-    assert not os.path.exists(f"{tmp_path}/fraud_transaction")
+    """The table is then there and empty, as one that was declared, and later writes find it."""
+    root, one = str(tmp_path), history(spark, ("1", "2020-01-01 10:00:00", "a", 1.0))
+    assert upsert_keyed(one.limit(0), FRAUD_TRANSACTION, root) == []
+    assert stored(spark, root) == []
+    assert upsert_keyed(one, FRAUD_TRANSACTION, root) == ["2020-01-01"]
+    assert upsert_keyed(one.limit(0), FRAUD_TRANSACTION, root) == []
+    assert len(stored(spark, root)) == 1
 
 
 def test_files_are_sorted_newest_first_within_a_card(spark, tmp_path):
@@ -128,6 +134,22 @@ def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+class Session:
+    """As much of a session as the choice of the scratch folder looks at."""
+
+    def __init__(self, master, setting=None):
+        self.conf = SimpleNamespace(get=lambda name, default: setting or default)
+        self.sparkContext = SimpleNamespace(master=master, applicationId=f"app-{master}")
+
+
+def test_scratch_folder_of_a_cluster_must_be_named():
+    assert shared_dir(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session("yarn"))
+    local = Session("local[2]")
+    assert shared_dir(local) == shared_dir(local) and os.path.isdir(shared_dir(local))
+
+
 def test_report_lines(spark):
     report = training_report(
         spark.createDataFrame([(4, 1)], "total_rows long, fraud_rows long"),

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from cardlens.operators import scoring
 from cardlens.operators.features import model_features, with_trans_time
 from cardlens.operators.serving import alert_windows
+from cardlens.plans.detect import detect, merge_alerts
 from cardlens.schema import FRAUD_ALERT
-from cardlens.sinks.keyed import upsert_keyed
 from cardlens.sinks.messages import write_message_files
 from cardlens.sources.keyed import read_keyed
 from cardlens.sources.messages import decode_json, read_message_files, well_formed
@@ -110,8 +110,9 @@ def test_alerts_of_a_day_read_only_that_day(spark, topic):
 
 def test_stored_alerts_merge_into_the_keyed_table(spark, topic):
     run(spark, topic)
+    assert merge_alerts(spark, str(topic), f"{topic}/tables", day="2024-01-03") == ["2024-01-03"]
     for _ in range(2):
-        upsert_keyed(detector.read_alerts(spark, str(topic)), FRAUD_ALERT, f"{topic}/tables")
+        assert "2024-01-03" in merge_alerts(spark, str(topic), f"{topic}/tables")
     assert same_rows(read_keyed(spark, FRAUD_ALERT, f"{topic}/tables"), batch_alerts(spark))
 
 
@@ -150,3 +151,8 @@ def test_notification_row(spark, topic):
         assert times == sorted(times, reverse=True)
         day = row.recent[0].time[:10]
         assert row["count"] == detector.read_alerts(spark, str(topic), day=day).count()
+
+
+def test_detection_refuses_a_model_that_is_not_there(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)not exist"):
+        detect(spark, "localhost:9092", "transactions", str(tmp_path), f"{tmp_path}/cp", f"{tmp_path}/no_model")
