@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +21,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this library to the session's Python workers, once; Spark itself carries the archive to the executors."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        target = os.path.join(tempfile.mkdtemp(prefix="package-"), os.path.basename(package))
+        context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(context.applicationId)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows of the test fold; a row without id is in neither fold's training set, so it counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(True))

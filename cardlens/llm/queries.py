@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardlens.llm.common import read_table
+from cardlens.llm.common import read_table, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -14,8 +16,13 @@ ORACLE: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -52,3 +59,47 @@ WITH t AS (SELECT doc_id, {NORMAL} AS normal FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(normal) AS text_sha256
 FROM t WINDOW same AS (PARTITION BY normal)"""
+
+
+@query
+def op1_language_id(spark, sf_dir):
+    from cardlens.llm.common import held_out
+    from cardlens.llm.langid import identify, train
+
+    docs = read_table(spark, sf_dir, "documents")
+    found = identify(docs, train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
+@query
+def op9_top_k(spark, sf_dir):
+    from cardlens.llm.topk import top_k
+
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@query
+def op10_quality(spark, sf_dir):
+    from cardlens.llm.common import held_out
+    from cardlens.llm.quality import score_quality, train
+
+    docs = read_table(spark, sf_dir, "documents")
+    scored = score_quality(docs, train(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+ORACLE["op9_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, x.vec_id AS vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(x.e AS DOUBLE[])) AS BIGINT) AS score
+           FROM v q JOIN v x ON q.vec_id <> x.vec_id AND len(q.e) = len(x.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
+
+
+@query
+def op4_near_dedup(spark, sf_dir):
+    from cardlens.llm.neardup import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
