@@ -5,9 +5,9 @@ class, and only the classes' least documents go on.  A sketch has one value per
 coordinate: in each round every shingle is hashed into one place and the least value
 there counts, until no place is empty; from round COORDINATES on, a round fills its own
 place.  Equal bands of the sketch make buckets.  In each bucket all members meet the
-least one; members left in another component than the least one then meet the whole
-bucket.  No bucket is capped, and no pair inside one component is made twice.  Every
-link is decided on the full sets.
+least one; what is then still in several components meets the most central member, and
+what is left finds its partners through its rarest shingles.  No bucket is capped, and
+every link is decided on the full sets.
 """
 
 from __future__ import annotations
@@ -139,6 +139,53 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return met.select("x", "y", same.alias("same"), (F.size("_x") + F.size("_y") - same).alias("every"))
 
 
+def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
+    return members.join(label, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+
+
+def _links_across(split: DataFrame, sets: DataFrame, links: DataFrame, met: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Further links in buckets that still hold several components.
+
+    First everyone meets the bucket's most central member, whose shingles are the commonest.  Who is then still
+    apart from it looks for partners by its rarest shingles: of a set's shingles, a partner lacks so few that it
+    must share one of the first ``size - needed + 1``, whatever their order.
+    """
+    enough = F.lit(100) * F.col("same") >= F.lit(percent) * F.col("every")
+    mine = snapshot(sets.join(split.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("size", F.size("elements")))
+    tokens = mine.select("doc_id", "size", F.explode("elements").alias("token"))
+    common = snapshot(tokens.groupBy("token").agg(F.count("*").alias("df")))
+    ordered = snapshot(
+        tokens.join(common, "token")
+        .groupBy("doc_id", "size")
+        .agg(F.avg("df").alias("central"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("rare_first"))
+    )
+    central = ordered.select("doc_id", "central")
+    middle = snapshot(
+        split.join(central, "doc_id").groupBy("band", "bucket").agg(F.max(F.struct("central", -F.col("doc_id"))).alias("_m")).select("band", "bucket", (-F.col("_m.col2")).alias("middle"))
+    )
+
+    def apart(label: DataFrame) -> DataFrame:
+        named = label.select(F.col("doc_id").alias("middle"), F.col("label").alias("middle_label"))
+        both = _labelled(split, label).join(middle, ["band", "bucket"]).join(named, "middle", "left")
+        return both.filter(F.col("label") != F.coalesce("middle_label", "middle"))
+
+    stars = apart(label).select(F.greatest("doc_id", "middle").alias("x"), F.least("doc_id", "middle").alias("y")).distinct()
+    stars = snapshot(stars.join(met, ["x", "y"], "left_anti"))
+    nearer = snapshot(verified(stars, mine).filter(enough).select("x", "y"))
+    label = snapshot(components(snapshot(links.union(nearer))).withColumnsRenamed({"node": "doc_id", "component": "label"}))
+
+    left = apart(label).select("doc_id", "label").distinct()
+    ranked = ordered.join(left, "doc_id").select("doc_id", "label", "size", F.posexplode("rare_first").alias("place", "_t"))
+    first = ranked.filter((F.col("_t.df") > 1) & (100 * F.col("place") <= (100 - percent) * F.col("size")))
+    first = first.select(F.col("_t.token").alias("token"), "doc_id", "label", "size", "place")
+    others = _labelled(tokens, label).select("token", F.col("doc_id").alias("o_id"), F.col("label").alias("o_label"), F.col("size").alias("o_size"))
+    fits = F.lit(percent) * (F.col("size") + F.col("o_size")) <= F.lit(100 + percent) * (F.col("size") - F.col("place"))
+    pairs = snapshot(first).join(snapshot(others).withColumnRenamed("token", "o_token"), (F.col("token") == F.col("o_token")) & fits & (F.col("label") != F.col("o_label")))
+    pairs = pairs.select(F.greatest("doc_id", "o_id").alias("x"), F.least("doc_id", "o_id").alias("y")).distinct()
+    fresh = snapshot(pairs.join(met, ["x", "y"], "left_anti").join(stars, ["x", "y"], "left_anti"))
+    return nearer.union(verified(fresh, mine).filter(enough).select("x", "y"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Components of near duplicates: ``doc_id, n_shingles, component_id, kept``.
 
@@ -172,28 +219,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     links = measured.filter(enough).select("x", "y")
     found = components(links)
 
-    # members whose component differs from their bucket's least member's, against everyone in the bucket
     label = snapshot(found.withColumnsRenamed({"node": "doc_id", "component": "label"}))
-    distance = measured.select(F.col("x").alias("doc_id"), F.col("y").alias("least"), (1 - F.col("same") / F.col("every")).alias("away"))
-    placed = members.join(label, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-    named = label.select(F.col("doc_id").alias("least"), F.col("label").alias("least_label"))
-    placed = placed.join(named, "least", "left").withColumn("least_label", F.coalesce("least_label", "least"))
-    placed = snapshot(placed.join(distance, ["doc_id", "least"], "left").withColumn("away", F.coalesce("away", F.lit(0.0))))
-    out = placed.filter("label <> least_label")
-    if not out.isEmpty():
-        other = placed.select(*[F.col(c).alias(f"o_{c}") for c in ("band", "bucket", "doc_id", "n", "label", "away")])
-        most = 1 - percent / 100 + 1e-9
-        close = (
-            (F.col("label") != F.col("o_label"))
-            & (100 * F.least("n", "o_n") >= percent * F.greatest("n", "o_n"))
-            & (F.abs(F.col("away") - F.col("o_away")) <= most)  # distances obey the triangle inequality
-        )
-        crossed = out.select("band", "bucket", "doc_id", "n", "label", "away").join(
-            other, (F.col("band") == F.col("o_band")) & (F.col("bucket") == F.col("o_bucket")) & close
-        )
-        again = crossed.select(F.greatest("doc_id", "o_doc_id").alias("x"), F.least("doc_id", "o_doc_id").alias("y")).distinct()
-        fresh = snapshot(again.join(measured.select("x", "y"), ["x", "y"], "left_anti"))
-        more = verified(fresh, sets).filter(enough).select("x", "y")
+    open_ = snapshot(_labelled(members, label).groupBy("band", "bucket").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_a <> _b").select("band", "bucket"))
+    if not open_.isEmpty():
+        split = snapshot(members.drop("least").join(open_, ["band", "bucket"]))
+        more = _links_across(split, sets, links, measured.select("x", "y"), label, percent)
         found = components(snapshot(links.union(more)))
 
     classes = heads.join(found.withColumnRenamed("node", "head"), "head", "left")
