@@ -103,3 +103,10 @@ def op4_near_dedup(spark, sf_dir):
     from cardlens.llm.neardup import near_duplicates
 
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_surrogates(spark, sf_dir):
+    from cardlens.llm.pii import replace_entities
+
+    return replace_entities(read_table(spark, sf_dir, "documents"), key="demonstration key")
