@@ -110,3 +110,10 @@ def op2_surrogates(spark, sf_dir):
     from cardlens.llm.pii import replace_entities
 
     return replace_entities(read_table(spark, sf_dir, "documents"), key="demonstration key")
+
+
+@query
+def op5_main_text(spark, sf_dir):
+    from cardlens.llm.pages import main_text
+
+    return main_text(read_table(spark, sf_dir, "pages"))
