@@ -117,3 +117,10 @@ def op5_main_text(spark, sf_dir):
     from cardlens.llm.pages import main_text
 
     return main_text(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_repeats(spark, sf_dir):
+    from cardlens.llm.repeats import remove_repeats
+
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
