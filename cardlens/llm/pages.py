@@ -223,16 +223,26 @@ def align(pivot: Node, page: Node) -> list[tuple[Node, Node]]:
     return [(p, own.role) for p, own in pairs]
 
 
+def lengths(node: Node, known: dict[int, int]) -> int:
+    """Characters of text below every node, boilerplate left out; fills ``known`` by the nodes' identity."""
+    total = 0
+    for child in node.children:
+        if isinstance(child, str):
+            total += len(child.strip())
+        else:
+            below = lengths(child, known)
+            total += 0 if boilerplate(child, True) else below
+    known[id(node)] = total
+    return total
+
+
 def observed(pivot_json: str, source: str) -> list[tuple[int, int, int, int]]:
-    """Per aligned node of the pivot: its place, 1 if the text is the same, and the lengths of text here."""
+    """Per aligned node of the pivot: its place, 1 if the text is the same, and the length of text here."""
     numbered: list[Node] = []
-    pivot = revived(json.loads(pivot_json), numbered)
-    rows = []
-    for p, own in align(pivot, parse(source)):
-        leaf = not p.children
-        text = text_of(own)
-        rows.append((p.mark, int(leaf and text[:200] == p.role), len(text)))
-    return rows
+    pivot, page = revived(json.loads(pivot_json), numbered), parse(source)
+    known: dict[int, int] = {}
+    lengths(page, known)
+    return [(p.mark, int(not p.children and text_of(own)[:200] == p.role), known[id(own)]) for p, own in align(pivot, page)]
 
 
 def landmarks(root: Node) -> list[Node]:

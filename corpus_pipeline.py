@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens.llm.bpe import encode_documents
@@ -21,16 +21,19 @@ from cardlens.llm.queries import vocabulary_path
 from cardlens.workspace import snapshot
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-ROW = ("doc_id", "_text")
+
+
+def _whole(docs: DataFrame, *more: Column | str) -> DataFrame:
+    """The row in one column, ``row``, so that no name can clash with what is put beside it."""
+    return docs.select(F.struct("*").alias("row"), *more)
 
 
 def _only(docs: DataFrame, decided: DataFrame, *keys: str) -> DataFrame:
-    """The rows of ``docs`` whose keys are in ``decided``; null keys match null keys."""
+    """The rows of ``docs`` (``row`` and keys) whose keys are in ``decided``; null keys match null keys."""
     named = decided.select(*[F.col(k).alias(f"_d{i}") for i, k in enumerate(keys)])
-    same = [F.col(k).eqNullSafe(F.col(f"_d{i}")) for i, k in enumerate(keys)]
-    condition = same[0]
-    for more in same[1:]:
-        condition = condition & more
+    condition = F.lit(True)
+    for i, k in enumerate(keys):
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_d{i}"))
     return docs.join(named, condition, "left_semi")
 
 
@@ -42,30 +45,30 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each set of equal texts, that with the largest id; a repeated row stays once."""
-    kept = exact_dedup(docs).filter("kept").select("doc_id", F.col("text_sha256").alias("_text")).distinct()
-    signed = docs.withColumn("_text", F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256))
-    return _only(signed, kept, *ROW).dropDuplicates(list(ROW)).select(*docs.columns)
+    kept = exact_dedup(docs).filter("kept").select("doc_id", "text_sha256").distinct()
+    signed = _whole(docs, "doc_id", F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256).alias("text_sha256"))
+    return _only(signed, kept, "doc_id", "text_sha256").dropDuplicates(["doc_id", "text_sha256"]).select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates, that with the least id."""
     ship(spark)
-    return _only(docs, near_duplicates(docs).filter("kept").select("doc_id"), "doc_id")
+    return _only(_whole(docs, "doc_id"), near_duplicates(docs).filter("kept").select("doc_id"), "doc_id").select("row.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a document as often as it is taken whole, and once more with the words taken beyond that."""
     taken = mix_sources(docs).groupBy("doc_id", "source", "size").agg(F.max("taken").alias("_taken")).filter("_taken > 0")
-    sized = docs.withColumn("_size", n_words(F.col("text")))
-    named = taken.withColumnsRenamed({"doc_id": "_id", "source": "_source", "size": "_words"})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("_words"))
-    whole = F.floor(F.col("_taken") / F.col("_size")).cast("int")
-    rest = (F.col("_taken") % F.col("_size")).cast("int")
-    copies = sized.join(named, same).withColumn("_whole", whole).withColumn("_rest", rest)
-    copies = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_whole") + (F.col("_rest") > 0).cast("int"))))
+    sized = _whole(docs, "doc_id", F.col("source").alias("from"), "text", n_words(F.col("text")).alias("words"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("from").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size"))
+    met = sized.join(taken.withColumnRenamed("doc_id", "_id"), same)
+    met = met.withColumn("whole", F.floor(F.col("_taken") / F.col("size")).cast("int")).withColumn("rest", (F.col("_taken") % F.col("size")).cast("int"))
+    copies = met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("whole") + (F.col("rest") > 0).cast("int"))))
     words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD_PATTERN), F.lit(0))
-    text = F.when(F.col("_copy") <= F.col("_whole"), F.col("text")).otherwise(F.array_join(F.slice(words, 1, F.greatest(F.col("_rest"), F.lit(1))), ""))
-    return copies.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    text = F.when(F.col("copy") <= F.col("whole"), F.col("text")).otherwise(F.array_join(F.slice(words, 1, F.greatest(F.col("rest"), F.lit(1))), ""))
+    mixed = copies.withColumn("text", text)
+    counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return mixed.select(F.col("row").withField("text", F.col("text")).withField("n_chars", counted).alias("row")).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,56 @@
+import hashlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from cardlens.llm import langid
+from cardlens.llm.queries import vocabulary_path
+from cardlens.workspace import snapshot
+from test_llm import LOWER, SMALL, WORDS, components_of
+
+
+def test_stages_equal_brute_force(workers):
+    from tokenizers import Tokenizer
+
+    docs = workers.read.parquet(f"{SMALL}/documents.parquet").withColumn("row", F.lit("clash")).withColumn("size", F.lit(-1))
+    extra = docs.limit(1).select(F.lit(None).cast("bigint").alias("doc_id"), *[F.lit(None).cast(t).alias(c) for c, t in docs.dtypes[1:]])
+    docs = snapshot(docs.union(extra).union(docs.filter("doc_id = 3")))
+    stages = dict(corpus_pipeline.STAGES)
+
+    first = snapshot(stages["language_id"](workers, docs, SMALL))
+    bad = {r["doc_id"] for r in langid.identify(docs, langid.train(docs)).filter("rejected").collect()}
+    assert {r["doc_id"] for r in first.collect()} == {r["doc_id"] for r in docs.collect()} - bad
+
+    second = snapshot(stages["exact_dedup"](workers, first, SMALL))
+    largest = {}
+    for r in first.collect():
+        key = (r["text"] or "").translate(LOWER)
+        largest[key] = max(largest.get(key, -1), r["doc_id"])
+    assert sorted(r["doc_id"] for r in second.collect()) == sorted(largest.values())
+
+    third = snapshot(stages["near_dedup"](workers, second, SMALL))
+    heads = {c for _, c in components_of({r["doc_id"]: r["text"] for r in second.collect()}).values()}
+    assert sorted(r["doc_id"] for r in third.collect()) == sorted(heads)
+
+    fourth = snapshot(stages["mixing"](workers, third, SMALL))
+    words = {r["doc_id"]: WORDS.findall(r["text"] or "") for r in third.collect()}
+    total = 0
+    for r in fourth.collect():
+        own = WORDS.findall(r["text"])
+        assert own == words[r["doc_id"]][: len(own)] and own and r["n_chars"] == len(r["text"]) and r["row"] == "clash"
+        total += len(own)
+    assert abs(total - 1.5 * sum(map(len, words.values()))) <= 8 * 21
+
+    fifth = stages["bpe"](workers, fourth, SMALL)
+    library = Tokenizer.from_file(vocabulary_path())
+    want = sorted(hashlib.sha256(np.array(library.encode(r["text"], add_special_tokens=False).ids, "<u4").tobytes()).hexdigest() for r in fourth.collect())
+    assert sorted(r["ids_sha256"] for r in fifth.collect()) == want
+    for frame in (first, second, third, fourth):
+        assert frame.columns == docs.columns
+
+
+def test_run_and_empty_documents(workers, tmp_path):
+    assert corpus_pipeline.run(workers, SMALL).count() > 100
+    workers.read.parquet(f"{SMALL}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(workers, str(tmp_path)).count() == 0
