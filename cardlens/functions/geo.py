@@ -12,6 +12,11 @@ def _null_as(distance: Column, default: float | None) -> Column:
     return distance if default is None else F.coalesce(distance, F.lit(float(default)))
 
 
+def _known(coordinate: Column) -> Column:
+    """NaN, which CSV and JSON may hold, is a missing coordinate."""
+    return F.nanvl(coordinate.cast("double"), F.lit(None).cast("double"))
+
+
 def haversine_km(
     lat1: Column, long1: Column, lat2: Column, long2: Column, null_as: float | None = 0.0
 ) -> Column:
@@ -20,6 +25,7 @@ def haversine_km(
     The chord term is clamped at 1 so that antipodal points cannot leave the
     domain of ``asin`` by a rounding error.
     """
+    lat1, long1, lat2, long2 = map(_known, (lat1, long1, lat2, long2))
     half_dlat = F.sin(F.radians(lat2 - lat1) / F.lit(2.0))
     half_dlong = F.sin(F.radians(long2 - long1) / F.lit(2.0))
     chord = half_dlat * half_dlat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_dlong * half_dlong
@@ -32,5 +38,6 @@ def euclid_deg(
     lat1: Column, long1: Column, lat2: Column, long2: Column, null_as: float | None = 0.0
 ) -> Column:
     """Straight-line distance in degrees, the distance feature of the model."""
+    lat1, long1, lat2, long2 = map(_known, (lat1, long1, lat2, long2))
     dlat, dlong = lat1 - lat2, long1 - long2
     return _null_as(F.sqrt(dlat * dlat + dlong * dlong), null_as)

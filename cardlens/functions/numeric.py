@@ -3,8 +3,8 @@
 Sums of doubles depend on the order in which partitions are merged, so a rounded
 average could change from run to run.  Amounts are therefore summed as whole cents
 in a long: exact, order-free, and about as fast as a plain double sum, where a
-decimal sum costs some ten times more.  A long holds 9.2e16 currency units; beyond
-that ANSI mode raises instead of wrapping.
+decimal sum costs some ten times more.  A long holds 9.2e16 currency units; a larger
+amount is an error, and so is a larger sum.
 """
 
 from __future__ import annotations
@@ -14,15 +14,22 @@ from pyspark.sql import functions as F
 
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """Round to ``digits`` decimals, ties upward, the same in every SQL engine."""
+    """Round to ``digits`` decimals, ties upward, the same in every SQL engine.
+
+    NaN is missing.  From 2^53 units on a double has no digits left to round and stays as it is.
+    """
     unit = float(10**digits)
-    return F.floor(value * F.lit(unit) + F.lit(0.5)) / F.lit(unit)
+    number = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+    scaled = number * F.lit(unit)
+    return F.when(F.abs(scaled) < F.lit(2.0**53), F.floor(scaled + F.lit(0.5)) / F.lit(unit)).otherwise(number)
 
 
 def cents(amount: Column | str) -> Column:
-    """Amount as whole cents; NaN counts as missing."""
+    """Amount as whole cents; NaN counts as missing, an amount beyond the range is an error."""
     value = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
-    return F.floor(F.nanvl(value, F.lit(None).cast("double")) * F.lit(100.0) + F.lit(0.5))
+    scaled = F.nanvl(value, F.lit(None).cast("double")) * F.lit(100.0) + F.lit(0.5)
+    too_large = F.raise_error(F.lit("an amount is too large for whole cents")).cast("bigint")
+    return F.when(F.abs(scaled) >= F.lit(9.2e18), too_large).otherwise(F.floor(scaled))
 
 
 def money_sum(amount: Column | str) -> Column:

@@ -139,4 +139,12 @@ FRAUD_ALERT = KeyedTable(
     partition="trans_day",
     time="trans_time",
 )
+# the full record, one row per transaction however often it is imported
+TRANSACTION = KeyedTable(
+    name="transactions",
+    fields=TRANSACTION_FIELDS,
+    key=("trans_num",),
+    newest=("trans_date_trans_time", "cc_num", "amt", "merchant"),
+    partition="key_bucket",
+)
 KEYED_TABLES = {t.name: t for t in (CUSTOMER, FRAUD_TRANSACTION, NON_FRAUD_TRANSACTION, FRAUD_ALERT)}

@@ -24,13 +24,15 @@ def _header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_transactions_csv(
-    spark: SparkSession, *paths: str, strict_header: bool = False, keep_corrupt: bool = False
+    spark: SparkSession, *paths: str, strict_header: bool = True, keep_corrupt: bool = False
 ) -> DataFrame:
     """CSV with a header and the record's fixed types, any column order, files unioned by name.
 
     Fixed types keep leading zeros of ``zip`` and spare the pass that inference
-    takes.  ``strict_header`` lets Spark check every file's header against the
-    schema.  ``keep_corrupt`` adds ``_corrupt_record``, NULL for good lines.
+    takes.  Columns are read by place under the first file's header; Spark checks every
+    file's header against it, so that a folder of files in different orders is an error
+    and not swapped columns (name such files as paths of their own).  Without
+    ``strict_header`` that check is left out.  ``keep_corrupt`` adds ``_corrupt_record``, NULL for good lines.
     """
     return union_all(*[_read_one(spark, path, strict_header, keep_corrupt) for path in paths])
 

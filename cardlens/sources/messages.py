@@ -19,13 +19,12 @@ def read_topic(
     stream: bool = True,
     **options: str,
 ) -> DataFrame:
-    """A Kafka topic.  Lost offsets do not stop the query; further options are passed through."""
+    """A Kafka topic.  Lost offsets stop the query unless ``failOnDataLoss`` says otherwise; options are passed through."""
     reader = spark.readStream if stream else spark.read
     settings = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
         **options,
     }
     return reader.format("kafka").options(**settings).load()

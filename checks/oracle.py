@@ -94,11 +94,17 @@ def mode_of(column: str) -> str:
 
 
 def upserted() -> str:
-    keep = "is_fraud=1 AND amt > 20000"
+    def write(number: int, merchant: str, keep: str) -> str:
+        return (
+            f"SELECT CAST(cc_num AS VARCHAR) AS cc_num, trans_date_trans_time AS trans_time, trans_num, {merchant} AS merchant, {number} AS nth,"
+            " row_number() OVER (PARTITION BY cc_num, trans_date_trans_time ORDER BY trans_num DESC) AS r"
+            f" FROM transactions WHERE is_fraud=1 AND {keep}"
+        )
+
+    both = f"({write(1, chr(39) + 'stale' + chr(39), 'amt <= 60000')}) UNION ALL ({write(2, 'merchant', 'amt > 30000')})"
     return with_(
-        "SELECT CAST(cc_num AS VARCHAR) AS cc_num, trans_date_trans_time AS trans_time, trans_num, merchant,"
-        " strftime(trans_date_trans_time,'%Y-%m') AS trans_month FROM (SELECT *, row_number() OVER"
-        f" (PARTITION BY cc_num, trans_date_trans_time ORDER BY trans_num DESC) AS r FROM transactions WHERE {keep}) t WHERE r=1",
+        "SELECT cc_num, trans_time, trans_num, merchant, strftime(trans_time,'%Y-%m') AS trans_month FROM (SELECT *,"
+        f" row_number() OVER (PARTITION BY cc_num, trans_time ORDER BY nth DESC) AS last FROM ({both}) b WHERE r=1) t WHERE last=1",
         tx(*HISTORY),
     )
 
@@ -213,8 +219,8 @@ ORACLE = {
         tx("trans_num", "amt", "is_fraud"),
     ),
     "customer_dim": with_(
-        "SELECT DISTINCT cc_num, first, gender, street, state, zip, lat, long, job, CAST(dob AS TIMESTAMP) AS dob FROM transactions",
-        tx("cc_num", "first", "gender", "street", "state", "zip", "lat", "long", "job", "dob"),
+        "SELECT DISTINCT cc_num, first, last, gender, street, city, state, zip, lat, long, job, CAST(dob AS TIMESTAMP) AS dob FROM transactions",
+        tx("cc_num", "first", "last", "gender", "street", "city", "state", "zip", "lat", "long", "job", "dob"),
     ),
     "upsert_latest": with_(
         "SELECT trans_num, cc_num, trans_date_trans_time, txn_date FROM (SELECT *, row_number() OVER"

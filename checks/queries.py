@@ -17,7 +17,7 @@ from cardlens import functions as fn
 from cardlens.operators import analytics, evaluation, features, keyed, quality, sampling, scoring, serving
 from cardlens.plans.import_batch import TRANSACTIONS, import_transactions
 from cardlens.plans.train import Training, train
-from cardlens.schema import CUSTOMER, FRAUD_TRANSACTION, INT, NON_FRAUD_TRANSACTION, struct_of
+from cardlens.schema import CUSTOMER, CUSTOMER_COLUMNS, FRAUD_TRANSACTION, INT, NON_FRAUD_TRANSACTION, struct_of
 from cardlens.sinks.files import write_parquet
 from cardlens.sinks.keyed import upsert_keyed
 from cardlens.sinks.messages import write_message_files
@@ -243,8 +243,7 @@ def recombine(spark, sf_dir):
 
 @query
 def customer_dim(spark, sf_dir):
-    columns = ("cc_num", "first", "gender", "street", "state", "zip", "lat", "long", "job", "dob")
-    return untimed(keyed.customer_dim(transactions(spark, sf_dir, *columns), columns))
+    return untimed(keyed.customer_dim(transactions(spark, sf_dir, *CUSTOMER_COLUMNS)))
 
 
 @query
@@ -523,7 +522,7 @@ def snapshot_rows(spark, sf_dir):
 
 @query
 def keyed_upsert(spark, sf_dir):
-    """Two writes to the fraud table: the second replaces rows with the same key and adds the rest."""
+    """Two writes that cover all fraud rows and overlap: some stored rows stay, some are replaced, some come new."""
     root = scratch_path(spark, "keyed")
     df = transactions(
         spark, sf_dir, "cc_num", "trans_date_trans_time", "trans_num", "dob", "lat", "long", "merch_lat",
@@ -531,8 +530,8 @@ def keyed_upsert(spark, sf_dir):
     )
     rows = features.history_rows(features.enrich(features.fraud_rows(df), AS_OF))
     monthly = FRAUD_TRANSACTION.monthly()
-    upsert_keyed(rows.where("amt > 50000").withColumn("merchant", F.lit("stale")), monthly, root)
-    upsert_keyed(rows.where("amt > 20000"), monthly, root)
+    upsert_keyed(rows.where("amt <= 60000").withColumn("merchant", F.lit("stale")), monthly, root)
+    upsert_keyed(rows.where("amt > 30000"), monthly, root)
     return untimed(read_keyed(spark, monthly, root).select("cc_num", "trans_time", "trans_num", "merchant", "trans_month"))
 
 

@@ -93,3 +93,15 @@ def test_money_sum_is_exact_in_any_order(spark):
     expected = sum(i % 1000 for i in range(100_000)) / 100
     for parts in (1, 7, 32):
         assert rows.repartition(parts).agg(fn.money_sum("amt")).head()[0] == expected
+
+
+def test_numbers_beyond_rounding(spark):
+    from cardlens.functions.geo import euclid_deg, haversine_km
+    from cardlens.functions.numeric import money_sum, round_half_up
+
+    df = spark.sql("SELECT 1e18 AS big, double('NaN') AS nan, -2.345 AS small")
+    row = df.select(round_half_up(F.col("big"), 2), round_half_up(F.col("nan"), 2), round_half_up(F.col("small"), 1)).head()
+    assert tuple(row) == (1e18, None, -2.3)
+    assert df.select(haversine_km(F.col("nan"), F.lit(0.0), F.lit(0.0), F.lit(1.0)), euclid_deg(F.col("nan"), F.lit(0.0), F.lit(0.0), F.lit(1.0))).head() == (0.0, 0.0)
+    with pytest.raises(Exception, match="too large"):
+        spark.sql("SELECT 1e20 AS amt").select(money_sum("amt")).collect()

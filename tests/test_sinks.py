@@ -166,3 +166,25 @@ def test_report_lines(spark):
         ("4 importances", "amt", "0.250000"),
         ("5 top values", "gender/01/F", "3"),
     ]
+
+
+def test_two_imports_accumulate(spark, tmp_path):
+    root, fraud, normal = str(tmp_path), FRAUD_TRANSACTION.monthly(), NON_FRAUD_TRANSACTION.monthly()
+    rows = transactions(spark, SMALL)
+    first = rows.where("pmod(hash(trans_num), 2) = 0")
+    second = rows.where("pmod(hash(trans_num), 2) = 1 OR pmod(hash(trans_num), 4) = 0")
+    import_transactions(first, root, "2020-06-21", fraud, normal)
+    import_transactions(second, root, "2020-06-21", fraud, normal)
+    stored_rows = spark.read.parquet(f"{root}/transactions")
+    assert stored_rows.count() == 6000 and stored_rows.select("trans_num").distinct().count() == 6000
+
+
+def test_rows_without_key_are_set_apart(spark, tmp_path):
+    root, fraud, normal = str(tmp_path), FRAUD_TRANSACTION.monthly(), NON_FRAUD_TRANSACTION.monthly()
+    rows = transactions(spark, SMALL).withColumn("trans_date_trans_time", F.col("trans_date_trans_time").cast("string"))
+    bad = F.col("cc_num") % 10 == 0
+    dirty = rows.withColumn("trans_date_trans_time", F.when(bad, "not a time").otherwise(F.col("trans_date_trans_time")))
+    seen = import_transactions(dirty, root, "2020-06-21", fraud, normal)
+    expected = rows.where(bad).count()
+    assert seen.quarantined == expected == spark.read.parquet(f"{root}/quarantine").count() > 0
+    assert seen.total == 6000 == expected + spark.read.parquet(f"{root}/transactions").count()
