@@ -25,8 +25,13 @@ from cardlens.workspace import snapshot
 
 WIDTH = 100
 GRAM = 24
+# neighbouring windows that are one row of the third digit
+BLOCK = 8
+# bits of a packed gram that hold its place; pieces side by side stay below it
+PLACES = (1 << 22) - 1
 LEADER, FOLLOWER, WINDOWS, SHARED, REPEATING = range(5)
 RUNS = "key bigint, content bigint, doc_id bigint, start bigint, length int, state int"
+BLOCKS = RUNS + ", highest int, before bigint, behind bigint"
 
 
 def gram_hashes(codes: np.ndarray) -> np.ndarray:
@@ -58,6 +63,16 @@ def least_grams(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return least, tie
 
 
+def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
+    """The least value of every ``width`` neighbours, by doubling."""
+    size, least = 1, h
+    while 2 * size <= width:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    rest = width - size
+    return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+
+
 def _lesser(a, a_tie, b, b_tie):
     return np.minimum(a, b), (a == b) | np.where(a < b, a_tie, b_tie)
 
@@ -136,45 +151,75 @@ def digit_rows(columns: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def _batch(columns: list[np.ndarray]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 2
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "content", "doc_id", "start", "length", "state"])
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.int64()] * 2
+    names = ["key", "content", "doc_id", "start", "length", "state", "highest", "before", "behind"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names[: len(columns)])
+
+
+def pieces(ids: list[int], texts: list[bytes], wanted: list[list[dict] | None]) -> Iterator[tuple[int, int, bytes]]:
+    """Document, offset and bytes of the wanted windows; neighbouring windows are one piece, a long one overlaps the next."""
+    for doc, text, ranges in zip(ids, texts, wanted):
+        if ranges:
+            starts = np.array([r["start"] for r in ranges], np.int64)
+            lengths = np.array([r["length"] for r in ranges], np.int64)
+            for _, start, length in zip(*(c.tolist() for c in merged(np.zeros(len(starts), np.int64), starts, lengths))):
+                for at in range(start, start + length, SLICE):
+                    yield doc, at, text[at : min(at + SLICE, start + length) + WIDTH - 1]
+
+
+def edge_bytes(codes: np.ndarray, at: np.ndarray, step: int, counts: np.ndarray) -> np.ndarray:
+    """``counts`` (below BLOCK) bytes from ``at`` on in direction ``step``, the nearest one lowest."""
+    packed = np.zeros(len(at), np.int64)
+    for i in range(BLOCK - 1):
+        place = np.clip(at + step * i, 0, len(codes) - 1)
+        packed |= np.where(i < counts, codes[place].astype(np.int64) << (8 * i), 0)
+    return packed
 
 
-def window_rows(ids: list[int], texts: list[bytes], wanted: list[list[dict]]) -> pa.RecordBatch | None:
-    """The last digit: the wanted windows by content, thinned like the runs."""
+def block_rows(ids: list[int], texts: list[bytes], wanted: list[list[dict] | None]) -> pa.RecordBatch | None:
+    """The third digit of the wanted windows: the bytes that BLOCK neighbouring windows share, thinned like the runs.
+
+    A window's place in its block is where its first least gram lies, so equal windows have the same place in
+    blocks of equal digit.  What a block's windows have beyond the digit travels along, BLOCK - 1 bytes a side.
+    """
     found = []
-    by_doc = {i: w for i, w in zip(ids, wanted)}
-    for codes, parts in segments(ids, texts):
-        place, doc, start = window_starts(parts)
-        pick = np.zeros(len(place) + 1, np.int64)
-        at = 0
-        for d, offset, size in parts:
-            count = size - WIDTH + 1
-            for w in by_doc[d]:
-                a, b = max(0, w["start"] - offset), min(count, w["start"] + w["length"] - offset)
-                if a < b:
-                    pick[at + a] += 1
-                    pick[at + b] -= 1
-            at += count
-        chosen = np.cumsum(pick[:-1]) > 0
-        place, doc, start = place[chosen], doc[chosen], start[chosen]
-        found.append((RangeHash(codes, 6).of(place, place + WIDTH), RangeHash(codes, 7).of(place, place + WIDTH), doc, start))
+    parts = [p for p in pieces(ids, texts, wanted) if len(p[2]) >= WIDTH]
+    for low, high in slices([len(p[2]) for p in parts]):
+        some = parts[low:high]
+        codes = np.frombuffer(b"".join(p[2] for p in some), np.uint8)
+        place, doc, start = window_starts([(d, at, len(b)) for d, at, b in some])
+        grams = gram_hashes(codes)
+        # the gram's place in the low bits: of equal grams the first is least
+        grams = grams & ~np.uint64(PLACES) | np.arange(len(grams), dtype=np.uint64)
+        least = sliding_least(grams, WIDTH - GRAM + 1)[place]
+        gram = (least & np.uint64(PLACES)).astype(np.int64)
+        offset = gram - place
+        first = np.ones(len(place), bool)
+        first[1:] = (np.diff(place) != 1) | (gram[1:] != gram[:-1]) | (offset[1:] // BLOCK != offset[:-1] // BLOCK)
+        at = np.flatnonzero(first)
+        length = np.diff(np.append(at, len(place)))
+        highest = offset[at] % BLOCK
+        core = gram[at] - offset[at] // BLOCK * BLOCK
+        end = core + WIDTH - BLOCK + 1
+        left = edge_bytes(codes, core - 1, -1, highest)
+        right = edge_bytes(codes, end, 1, BLOCK - 1 - (highest - length + 1))
+        found.append((as_long(RangeHash(codes, 6).of(core, end)), as_long(RangeHash(codes, 7).of(core, end)), doc[at], start[at], length, highest, left, right))
     if not found:
         return None
-    one, two, doc, start = (np.concatenate(c) for c in zip(*found))
-    order = np.lexsort((start, doc, two, one))
-    one, two, doc, start = one[order], two[order], doc[order], start[order]
+    columns = [np.concatenate(c) for c in zip(*found)]
+    one, two, doc, start, length, highest, left, right = columns
+    order = np.lexsort((start, doc, length, highest, right, left, two, one))
+    one, two, doc, start, length, highest, left, right = (c[order] for c in columns)
     new = np.ones(len(one), bool)
-    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in (one, two, length, highest, left, right)])
     leader = np.maximum.accumulate(np.where(new, np.arange(len(one)), 0))
     later = ~new & ((doc != doc[leader]) | (start != start[leader]))
-    d, s, n = merged(doc[later], start[later], np.ones(later.sum(), np.int64))
+    d, s, n = merged(doc[later], start[later], length[later])
     key = as_long(mix(mix(d.astype(np.uint64), 41) + s.astype(np.uint64), 43))
-    rows = (
-        (as_long(one[new]), as_long(two[new]), doc[new], start[new], np.ones(new.sum(), np.int64), np.full(new.sum(), LEADER)),
-        (key, np.zeros(len(d), np.int64), d, s, n, np.full(len(d), FOLLOWER)),
-    )
-    return _batch([np.concatenate(c) for c in zip(*rows)])
+    none = np.zeros(len(d), np.int64)
+    travels = [c[new] for c in (one, two, doc, start, length)] + [np.full(new.sum(), LEADER)] + [c[new] for c in (highest, left, right)]
+    rows = zip(travels, (key, none, d, s, n, np.full(len(d), FOLLOWER), none, none, none))
+    return _batch([np.concatenate(c) for c in rows])
 
 
 def remaining(text: bytes, ranges: list[dict] | None) -> tuple[int, int, bytes]:
@@ -222,14 +267,27 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = F.collect_list(F.struct("start", "length")).alias("ranges")
     wanted = sorted_out.filter(F.col("kind") == WINDOWS).groupBy("doc_id").agg(ranges)
 
-    def last_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def third_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = window_rows(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("ranges").to_pylist())
+            made = block_rows(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("ranges").to_pylist())
             if made is not None:
                 yield made
 
-    windows = named.join(wanted, "doc_id").mapInArrow(last_digits, RUNS).withColumn("_rank", F.rank().over(earlier))
-    copies = snapshot(windows.filter((F.col("state") == FOLLOWER) | (F.col("_rank") > 1)).select("doc_id", "start", "length"))
+    # both passes over the texts are left joins of the same rows, so that Spark shuffles the texts once
+    blocks = rows.join(wanted, "doc_id", "left").select("doc_id", "text", "ranges").mapInArrow(third_digits, BLOCKS).repartition("key")
+    alike = blocks.withColumn("_alike", F.count("*").over(Window.partitionBy("key", "content")))
+    # the last digit: of blocks that meet, the windows themselves; what is settled passes in one row
+    passes = F.col("state") == FOLLOWER
+    met = alike.filter(passes | (F.col("_alike") > 1))
+    windows = met.withColumn("_at", F.explode(F.when(passes, F.array(F.lit(0))).otherwise(F.expr("sequence(0, length - 1)"))))
+    windows = windows.withColumn("_place", F.greatest(F.lit(0), F.col("highest") - F.col("_at"))).select(
+        "key", "content", "state", "doc_id", (F.col("start") + F.col("_at")).alias("start"), "_place",
+        F.when(passes, F.col("length")).otherwise(1).alias("length"),
+        F.expr("before & (shiftleft(1L, 8 * _place) - 1)").alias("_before"),
+        F.expr(f"behind & (shiftleft(1L, 8 * ({BLOCK - 1} - _place)) - 1)").alias("_behind"),
+    )
+    equal = Window.partitionBy("key", "content", "_place", "_before", "_behind").orderBy("doc_id", "start")
+    copies = windows.withColumn("_rank", F.rank().over(equal)).filter(passes | (F.col("_rank") > 1)).select("doc_id", "start", "length")
     removed = sorted_out.filter(F.col("kind") == FOLLOWER).select("doc_id", "start", "length").union(copies).groupBy("doc_id").agg(ranges)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
