@@ -19,7 +19,7 @@ from cardlens.functions import (
     status_label,
     truncate,
 )
-from cardlens.schema import TIME_FORMAT
+from cardlens.schema import DATE_FORMAT, TIME_FORMAT
 
 FEED_LENGTH = 20  # fixed values: lengths of the lists and texts that are served
 NOTIFIED = 5
@@ -52,8 +52,8 @@ def live_stats(fraud: DataFrame, non_fraud: DataFrame, customers: DataFrame, ale
     return counted.withColumn("fraud_rate", F.coalesce(percent(F.col("fraud_count"), total, 2), F.lit(0.0)))
 
 
-def feed_rows(df: DataFrame) -> DataFrame:
-    """The display form of transactions: masked card, formatted time, no NULL texts."""
+def feed_rows(df: DataFrame, also: dict[str, str] | None = None) -> DataFrame:
+    """The display form of transactions: masked card, formatted time, no NULL texts; ``also`` names columns shown as they are."""
     time_text = F.date_format("trans_time", TIME_FORMAT)
     return df.select(
         or_default(F.col("trans_num"), "").alias("trans_num"),
@@ -65,15 +65,21 @@ def feed_rows(df: DataFrame) -> DataFrame:
         or_default(F.col("amt").cast("double"), 0.0).alias("amount"),
         amount_text(or_default(F.col("amt").cast("double"), 0.0)).alias("amount_text"),
         or_default(F.col("category"), "").alias("category"),
+        *[F.col(c).alias(name) for name, c in (also or {}).items()],
     )
 
 
 def recent_fraud(alerts: DataFrame, history: DataFrame, k: int = FEED_LENGTH) -> DataFrame:
-    """The newest alerts, or the newest historical fraud while there are no alerts."""
+    """The newest alerts, or the newest historical fraud while there are no alerts, with the merchant's place if known.
+
+    Whether there are alerts is looked up when the query is built, at the price of one
+    row: the history is not read as long as there are some.
+    """
     columns = ["trans_num", "cc_num", "trans_time", "merchant", "amt", "category"]
-    fallback = history.select(columns).where(~alerts.exists())
-    rows = alerts.select(columns).unionByName(fallback)
-    return feed_rows(rows.orderBy(*newest_first()).limit(k))
+    place = {"lat": "merch_lat", "long": "merch_long"}
+    source = history if alerts.isEmpty() else alerts
+    known = [F.col(c) if c in source.columns else F.lit(None).cast("double").alias(c) for c in place.values()]
+    return feed_rows(source.select(*columns, *known).orderBy(*newest_first()).limit(k), place)
 
 
 def alerts_of_day(alerts: DataFrame, day: str, k: int = NOTIFIED) -> DataFrame:
@@ -134,7 +140,7 @@ def detection_series(alerts: DataFrame, step: str = "5 minutes", points: int = S
     last = alerts.agg(F.max(F.window("trans_time", step)["start"]).alias("last"))
     first_start = last.select(F.col("last") - gap * F.lit(points - 1)).scalar()
     counted = (
-        alerts.where(F.col("trans_time") >= first_start)
+        alerts.where((F.col("trans_time") >= first_start) & (F.col("trans_day") >= F.date_format(first_start, DATE_FORMAT)))
         .groupBy(F.window("trans_time", step)["start"].alias("window_start"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

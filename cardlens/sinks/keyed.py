@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,20 +17,35 @@ from cardlens.workspace import path_exists, remove_path, scratch_path, snapshot
 NO_DAY = "unknown"
 
 
+def keyless(table: KeyedTable) -> Column:
+    return reduce(or_, [F.col(c).isNull() for c in table.key])
+
+
 def partition_value(table: KeyedTable) -> Column:
     if table.time:
         return F.coalesce(F.date_format(table.time, table.time_format), F.lit(NO_DAY))
-    return F.pmod(F.xxhash64(*table.key), F.lit(table.buckets)).cast("int")
+    spread = F.when(keyless(table), F.xxhash64(*table.fields)).otherwise(F.xxhash64(*table.key))
+    return F.pmod(spread, F.lit(table.buckets)).cast("int")
 
 
 def winner_order(table: KeyedTable) -> list[Column]:
     return [F.desc_nulls_last(c) for c in table.newest]
 
 
+def one_per_key(df: DataFrame, table: KeyedTable, newest: list[Column]) -> DataFrame:
+    """One row per key; a row that lacks a part of its key equals only rows with the same fields throughout.
+
+    So no row is lost to another whose key is as unknown as its own, and such rows are
+    dealt out by their content, not all to one task.
+    """
+    content = F.when(keyless(table), F.struct(*table.fields))
+    return latest_per_key(df.withColumn("_content", content), (*table.key, "_content"), newest).drop("_content")
+
+
 def latest_rows(df: DataFrame, table: KeyedTable) -> DataFrame:
     """``df`` in the table's types, one row per key."""
     typed = df.select([F.col(name).try_cast(kind).alias(name) for name, kind in table.fields.items()])
-    keyed = latest_per_key(typed, table.key, winner_order(table))
+    keyed = one_per_key(typed, table, winner_order(table))
     return keyed.withColumn(table.partition, partition_value(table))
 
 
@@ -49,7 +67,7 @@ def upsert_keyed(df: DataFrame, table: KeyedTable, root: str) -> list:
     touched = _folders(incoming, table)
     stored = read_keyed(spark, table, root).where(F.col(table.partition).isin(touched))
     both = stored.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
-    merged = latest_per_key(both, table.key, [F.desc("_new"), *winner_order(table)]).drop("_new")
+    merged = one_per_key(both, table, [F.desc("_new"), *winner_order(table)]).drop("_new")
     _write(snapshot(merged, merged_path), table, root)
     remove_path(spark, incoming_path)
     remove_path(spark, merged_path)

@@ -1,24 +1,29 @@
 """Live scoring of a transaction stream into an alert table.
 
 Scoring is a stateless map, so a late record is scored like any other and never
-dropped.  Each micro-batch is written to its own folder, named by batch id and
-overwritten when Spark replays the batch, so a retry leaves no duplicates.  A batch
-that fails fails the query; nothing is committed that was not written.
+dropped.  Each micro-batch owns the folders of its query and batch id, one below every
+day it has alerts of, and overwrites them when Spark replays the batch: a retry leaves
+no duplicates, and a query with a new checkpoint cannot touch what an earlier one
+stored.  A batch without alerts writes none.  A batch that fails fails the query;
+nothing is committed that was not written.
 """
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cardlens.operators.features import model_features
-from cardlens.operators.keyed import latest_per_key
+from cardlens.operators.features import model_features, with_trans_time
 from cardlens.operators.scoring import alerts
-from cardlens.schema import ALERT_FIELDS, FRAUD_ALERT, INT, STRING, struct_of
-from cardlens.sinks.keyed import NO_DAY, winner_order
-from cardlens.sources.messages import decode_json, malformed, well_formed
+from cardlens.schema import ALERT_FIELDS, FRAUD_ALERT, INT, STRING, TRANSACTION_FIELDS, struct_of
+from cardlens.sinks.keyed import one_per_key, winner_order
+from cardlens.sources.messages import decode_json, encode_json, malformed, well_formed
+from cardlens.workspace import path_exists
 
 TRIGGER = "5 seconds"  # fixed value
 
@@ -27,8 +32,33 @@ def _trigger(writer, available_now: bool, interval: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
-def batch_path(root: str, batch_id: int) -> str:
-    return f"{root}/batch_id={batch_id}"
+def query_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query on its first start; it lasts as long as the checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").head().id
+
+
+def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int, *folders: str) -> None:
+    """Write ``df`` below ``path`` into this batch's own folders, in place of what an earlier try left there."""
+    owner = {"query_id": F.lit(query_id), "batch_id": F.lit(batch_id)}
+    (
+        df.withColumns(owner)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*folders, *owner)
+        .parquet(path)
+    )
+
+
+def complete(decoded: DataFrame) -> DataFrame:
+    """The records that have what an alert is told apart by: a number and a readable time."""
+    return with_trans_time(decoded).where(F.col("trans_num").isNotNull() & F.col("trans_time").isNotNull())
+
+
+def unusable(decoded: DataFrame) -> DataFrame:
+    """Text of the records that are not scored: malformed ones, and those without number or readable time."""
+    timed = with_trans_time(well_formed(decoded))
+    lacking = timed.where(F.col("trans_num").isNull() | F.col("trans_time").isNull()).select(*TRANSACTION_FIELDS)
+    return malformed(decoded).unionByName(encode_json(lacking).withColumnRenamed("value", "record"))
 
 
 def start_detector(
@@ -40,16 +70,16 @@ def start_detector(
     available_now: bool = False,
     interval: str = TRIGGER,
 ) -> StreamingQuery:
-    """Decode, score and store: alerts below ``root/fraud_alert``, bad records below ``root/malformed``."""
+    """Decode, score and store: alerts below ``root/fraud_alert``, unusable records below ``root/malformed``."""
     decoded = decode_json(messages)
+    identity = cache(lambda: query_identity(messages.sparkSession, checkpoint))  # there once the query runs
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # read twice; what an executor loses is read again from the source
         try:
-            found = alerts(model_features(well_formed(batch), as_of), model)
-            found = found.withColumn("trans_day", F.coalesce("trans_day", F.lit(NO_DAY)))
-            found.write.mode("overwrite").partitionBy("trans_day").parquet(batch_path(f"{root}/fraud_alert", batch_id))
-            malformed(batch).write.mode("overwrite").parquet(batch_path(f"{root}/malformed", batch_id))
+            found = alerts(model_features(complete(well_formed(batch)), as_of), model)
+            write_batch(found, f"{root}/fraud_alert", identity(), batch_id, "trans_day")
+            write_batch(unusable(batch), f"{root}/malformed", identity(), batch_id)
         finally:
             batch.unpersist()
 
@@ -59,21 +89,27 @@ def start_detector(
 
 def scored_stream(messages: DataFrame, model: PipelineModel | None = None, as_of: str | None = None) -> DataFrame:
     """The alerts as a stream, for further streaming operators."""
-    return alerts(model_features(well_formed(decode_json(messages)), as_of), model)
+    return alerts(model_features(complete(well_formed(decode_json(messages))), as_of), model)
 
 
 def read_alerts(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
     """The stored alerts, one per key however often a record was delivered.
 
-    With ``day`` only that day's folders are read.
+    With ``day`` only that day's folder is listed and read.
     """
-    schema = struct_of({**ALERT_FIELDS, "batch_id": INT})
-    stored = spark.read.schema(schema).option("basePath", f"{root}/fraud_alert").parquet(f"{root}/fraud_alert")
-    if day is not None:
-        stored = stored.where(F.col("trans_day") == day)
-    newest = [F.desc("batch_id"), *winner_order(FRAUD_ALERT)]
-    return latest_per_key(stored, FRAUD_ALERT.key, newest).select(*ALERT_FIELDS)
+    schema = struct_of({**ALERT_FIELDS, "query_id": STRING, "batch_id": INT})
+    top = f"{root}/fraud_alert"
+    stored = _stored(spark, top, schema, top if day is None else f"{top}/trans_day={day}")
+    newest = [F.desc("batch_id"), *winner_order(FRAUD_ALERT), F.desc("query_id")]
+    return one_per_key(stored, FRAUD_ALERT, newest).select(*ALERT_FIELDS)
 
 
 def read_malformed(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(struct_of({"record": STRING})).parquet(f"{root}/malformed/*")
+    return _stored(spark, f"{root}/malformed", struct_of({"record": STRING}), f"{root}/malformed")
+
+
+def _stored(spark: SparkSession, top: str, schema: T.StructType, path: str) -> DataFrame:
+    """Rows below ``path``, none where nothing was stored yet."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", top).parquet(path)

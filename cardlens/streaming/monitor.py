@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cardlens.operators.serving import NOTIFIED, alert_windows, feed_rows, newest_first, running_totals
-from cardlens.streaming.detector import TRIGGER, _trigger, batch_path, read_alerts
+from cardlens.schema import ALERT_FIELDS, FRAUD_ALERT
+from cardlens.sinks.keyed import one_per_key, winner_order
+from cardlens.streaming.detector import TRIGGER, _trigger, query_identity, read_alerts, write_batch
 
 LATE = "10 minutes"
 
@@ -54,18 +58,25 @@ def start_alert_windows(
 def notification(new_alerts: DataFrame, known: DataFrame, k: int = NOTIFIED) -> DataFrame:
     """One row: new alerts, all alerts of the newest day among them, and the ``k`` newest for display.
 
-    Of ``known`` only the folder of that day is read.
+    An alert delivered twice counts once.  What ``known`` does not hold yet of the new
+    alerts is counted with it, so the result does not hang on how far the detector is.
     """
-    today = new_alerts.agg(F.max("trans_day")).scalar()
-    newest = feed_rows(new_alerts.orderBy(*newest_first()).limit(k)).drop("clock", "merchant_short", "amount_text")
+    new = _once(new_alerts)
+    of_today = F.col("trans_day") == new.agg(F.max("trans_day")).scalar()
+    today = _once(known.where(of_today).unionByName(new.where(of_today)))
+    newest = feed_rows(new.orderBy(*newest_first()).limit(k)).drop("clock", "merchant_short", "amount_text")
     shown = newest.agg(F.sort_array(F.collect_list(F.struct("time", *[c for c in newest.columns if c != "time"])), False))
-    return new_alerts.agg(F.count(F.lit(1)).alias("new")).select(
-        known.where(F.col("trans_day") == today).agg(F.count(F.lit(1))).scalar().alias("count"),
+    return new.agg(F.count(F.lit(1)).alias("new")).select(
+        today.agg(F.count(F.lit(1))).scalar().alias("count"),
         "new",
         shown.scalar().alias("recent"),
     )
 
 
+def _once(alerts: DataFrame) -> DataFrame:
+    return one_per_key(alerts.select(*ALERT_FIELDS), FRAUD_ALERT, winner_order(FRAUD_ALERT))
+
+
 def start_notifications(
     alerts: DataFrame,
     alert_root: str,
@@ -75,12 +86,14 @@ def start_notifications(
     interval: str = TRIGGER,
 ) -> StreamingQuery:
     """A notification row per micro-batch that brought alerts."""
+    identity = cache(lambda: query_identity(alerts.sparkSession, checkpoint))
 
     def notify(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            row = notification(batch, read_alerts(batch.sparkSession, alert_root)).where(F.col("new") > 0)
-            row.write.mode("overwrite").parquet(batch_path(path, batch_id))
+            day = batch.agg(F.max("trans_day")).head()[0]
+            if day is not None:  # the stored alerts of that day alone are listed and read
+                write_batch(notification(batch, read_alerts(batch.sparkSession, alert_root, day)), path, identity(), batch_id)
         finally:
             batch.unpersist()
 

@@ -272,11 +272,11 @@ ORACLE = {
         tx("is_fraud"),
         ALERTS,
     ),
-    "recent_fraud": with_(f"SELECT {FEED} FROM (SELECT * FROM alerts {NEWEST} LIMIT 20) a", ALERTS),
+    "recent_fraud": with_(f"SELECT {FEED}, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS \"long\" FROM (SELECT * FROM alerts {NEWEST} LIMIT 20) a", ALERTS),
     "recent_fraud_history": with_(
-        f"SELECT {FEED} FROM (SELECT trans_num, CAST(cc_num AS VARCHAR) AS cc_num, trans_date_trans_time AS trans_time, merchant, amt, category"
-        f" FROM transactions WHERE is_fraud=1 {NEWEST} LIMIT 20) a",
-        tx("trans_num", "trans_date_trans_time", "cc_num", "merchant", "amt", "category", "is_fraud"),
+        f"SELECT {FEED}, merch_lat AS lat, merch_long AS \"long\" FROM (SELECT trans_num, CAST(cc_num AS VARCHAR) AS cc_num,"
+        f" trans_date_trans_time AS trans_time, merchant, amt, category, merch_lat, merch_long FROM transactions WHERE is_fraud=1 {NEWEST} LIMIT 20) a",
+        tx("trans_num", "trans_date_trans_time", "cc_num", "merchant", "amt", "category", "merch_lat", "merch_long", "is_fraud"),
     ),
     "category_top": with_(
         "SELECT substr(upper(substr(category,1,1))||lower(substr(replace(category,'_',' '),2)),1,15) AS label, count(*) AS fraud_count FROM"
@@ -332,9 +332,10 @@ ORACLE = {
         "m AS (SELECT *, coalesce(hits/NULLIF(CAST(predicted AS DOUBLE),0),0e0) AS p, coalesce(hits/NULLIF(CAST(actual AS DOUBLE),0),0e0) AS r FROM c)",
     ),
     "string_index": with_(
-        "SELECT merchant, CAST(row_number() OVER (ORDER BY n DESC, merchant)-1 AS DOUBLE) AS merchant_idx, n FROM"
-        " (SELECT merchant, count(*) AS n FROM transactions GROUP BY 1) m",
-        tx("merchant"),
+        "SELECT \"column\", value, CAST(row_number() OVER (PARTITION BY \"column\" ORDER BY n DESC, value)-1 AS DOUBLE) AS idx, n FROM"
+        " (SELECT 'category' AS \"column\", category AS value, count(*) AS n FROM transactions GROUP BY 2"
+        " UNION ALL SELECT 'gender', gender, count(*) FROM transactions GROUP BY 2) c",
+        tx("category", "gender"),
     ),
     "standard_scale": with_(
         f"SELECT trans_num, {rounded('(amt-ma)/sa', 4)} AS amt_z, {rounded('(h-mh)/sh', 4)} AS hour_z FROM t,"
@@ -383,6 +384,7 @@ ORACLE = {
         EV,
     ),
     "stream_label_alerts": with_("SELECT * FROM alerts", ALERTS),
+    "stream_two_checkpoints": with_("SELECT * FROM alerts", ALERTS),
     "stream_windows": with_(
         "SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, trans_time) AS window_start,"
         " time_bucket(INTERVAL 5 MINUTE, trans_time) + INTERVAL 5 MINUTE AS window_end, count(*) AS new_alerts FROM alerts GROUP BY 1) w"

@@ -332,14 +332,14 @@ def live_stats(spark, sf_dir):
 
 @query
 def recent_fraud(spark, sf_dir):
-    history = fraud_history(spark, sf_dir, "cc_num", "merchant", "amt", "category")
+    history = fraud_history(spark, sf_dir, "cc_num", "merchant", "amt", "category", "merch_lat", "merch_long")
     return serving.recent_fraud(event_alerts(spark, sf_dir), history.withColumn("cc_num", F.col("cc_num").cast("string")))
 
 
 @query
 def recent_fraud_history(spark, sf_dir):
     """The same before the first alert was raised."""
-    history = fraud_history(spark, sf_dir, "cc_num", "merchant", "amt", "category")
+    history = fraud_history(spark, sf_dir, "cc_num", "merchant", "amt", "category", "merch_lat", "merch_long")
     none_yet = event_alerts(spark, sf_dir).where(F.col("amt") < 0)
     return serving.recent_fraud(none_yet, history.withColumn("cc_num", F.col("cc_num").cast("string")))
 
@@ -416,9 +416,13 @@ def class_metrics(spark, sf_dir):
 
 @query
 def string_index(spark, sf_dir):
-    df = transactions(spark, sf_dir, "merchant")
-    indexer = StringIndexer(inputCol="merchant", outputCol="merchant_idx", handleInvalid="keep", stringOrderType="frequencyDesc")
-    return indexer.fit(df).transform(df).groupBy("merchant", "merchant_idx").agg(F.count(F.lit(1)).alias("n"))
+    """Index of every category and gender: the columns that the classifier indexes, with few values each."""
+    columns = ("category", "gender")
+    df = transactions(spark, sf_dir, *columns)
+    indexer = StringIndexer(inputCols=columns, outputCols=[f"{c}_idx" for c in columns], handleInvalid="keep", stringOrderType="frequencyDesc")
+    counted = indexer.fit(df).transform(df).groupBy(*columns, *[f"{c}_idx" for c in columns]).agg(F.count(F.lit(1)).alias("n"))
+    parts = [counted.select(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(f"{c}_idx").alias("idx"), "n") for c in columns]
+    return keyed.union_all(*parts).groupBy("column", "value", "idx").agg(F.sum("n").alias("n"))
 
 
 @query
@@ -437,7 +441,7 @@ def trained(spark: SparkSession, sf_dir: str) -> Training:
     """One forest per session and folder, shared by the entries below."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _trained:
-        _trained[key] = train(transactions(spark, sf_dir), AS_OF, num_trees=20, max_depth=5)
+        _trained[key] = train(transactions(spark, sf_dir), AS_OF)
     return _trained[key]
 
 
@@ -582,6 +586,18 @@ def stream_label_alerts(spark, sf_dir):
     return untimed(detector.read_alerts(spark, root))
 
 
+@query
+def stream_two_checkpoints(spark, sf_dir):
+    """Two detectors, each with a checkpoint and messages of its own, on one alert table: none loses the other's alerts."""
+    root = scratch_path(spark, "alerts")
+    events = event_transactions(spark, sf_dir)
+    for half in (0, 1):
+        write_message_files(events.where(f"CAST(cc_num AS BIGINT) % 2 = {half}"), f"{root}/topic{half}")
+        files = messages.read_message_files(spark, f"{root}/topic{half}", files_per_batch=1)
+        finish(detector.start_detector(files, root, f"{root}/checkpoint{half}", None, AS_OF, available_now=True))
+    return untimed(detector.read_alerts(spark, root))
+
+
 @query
 def stream_windows(spark, sf_dir):
     """New alerts per closed window: those that ended before the watermark."""

@@ -66,11 +66,23 @@ def test_only_touched_folders_are_rewritten(spark, tmp_path):
     assert len(stored(spark, root)) == 3
 
 
-def test_row_without_time_is_kept(spark, tmp_path):
+def test_rows_without_time_are_all_kept(spark, tmp_path):
+    """Which of them are the same transaction nobody can tell, so only a row with the same content throughout is one."""
     root = str(tmp_path)
-    assert upsert_keyed(history(spark, ("1", None, "a", 1.0)), FRAUD_TRANSACTION, root) == ["unknown"]
-    upsert_keyed(history(spark, ("1", None, "b", 2.0)), FRAUD_TRANSACTION, root)
-    assert stored(spark, root) == [("1", "None", "b", 2.0)]
+    assert upsert_keyed(history(spark, ("1", None, "a", 1.0), ("1", None, "c", 1.0)), FRAUD_TRANSACTION, root) == ["unknown"]
+    for _ in range(2):
+        upsert_keyed(history(spark, ("1", None, "b", 2.0)), FRAUD_TRANSACTION, root)
+    assert sorted(stored(spark, root)) == [("1", "None", "a", 1.0), ("1", "None", "b", 2.0), ("1", "None", "c", 1.0)]
+
+
+def test_rows_without_bucket_key_are_dealt_out(spark, tmp_path):
+    people = spark.range(200).select(F.lit(None).cast("string").alias("cc_num"), F.concat(F.lit("x"), "id").alias("first"))
+    for name, kind in CUSTOMER.fields.items():
+        if name not in people.columns:
+            people = people.withColumn(name, F.lit(None).cast(kind))
+    for _ in range(2):
+        folders = upsert_keyed(people, CUSTOMER, str(tmp_path))
+    assert read_keyed(spark, CUSTOMER, str(tmp_path)).count() == 200 and len(folders) > 30
 
 
 def test_nothing_to_write(spark, tmp_path):
@@ -106,7 +118,7 @@ def test_folder_filter_prunes(spark, tmp_path):
     root = str(tmp_path)
     upsert_keyed(history(spark, ("1", "2020-01-01 10:00:00", "a", 1.0), ("1", "2020-01-02 10:00:00", "b", 2.0)), FRAUD_TRANSACTION, root)
     one_day = read_keyed(spark, FRAUD_TRANSACTION, root).where("trans_day = '2020-01-02'")
-    assert len(one_day.inputFiles()) == 1 or one_day.count() == 1
+    assert one_day.count() == 1
     assert "PartitionFilters: [isnotnull(trans_day" in one_day._jdf.queryExecution().executedPlan().toString()
 
 
