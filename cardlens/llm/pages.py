@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from cardlens.workspace import snapshot
 
 # HTML's own classes of elements and the words that label boilerplate (fixed values)
+TEXTUAL = set("h1 h2 h3 h4 h5 h6 p".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 INLINE = set("a abbr b bdi bdo cite code data dfn em font i ins del kbd label mark q s samp small span strike strong sub sup time tt u var".split())
@@ -54,6 +55,8 @@ class Node:
     role: str = ""
     children: list = field(default_factory=list)  # nodes and texts in order
     mark: int = -1  # place in the pivot
+    names: frozenset = frozenset()  # whole class and id values
+    kept: bool = False  # neither labels nor being a form make it boilerplate
 
     @property
     def key(self) -> tuple:
@@ -106,8 +109,10 @@ def parse(source: str) -> Node:
                 if stack[depth].tag in STOPS:
                     break
         given = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(found[3] or "")}
-        words = frozenset(w for w in re.split(r"[^a-z]+", f"{given.get('class', '')} {given.get('id', '')}".lower()) if w)
-        node = Node(tag, words, given.get("role", "").lower())
+        # an id of a heading or paragraph is the target of a link, commonly made from its text
+        named = f"{given.get('class', '')} {'' if tag in TEXTUAL else given.get('id', '')}".lower()
+        words = frozenset(w for w in re.split(r"[^a-z]+", named) if w)
+        node = Node(tag, words, given.get("role", "").lower(), names=frozenset(named.split()))
         stack[-1].children.append(node)
         if tag in RAW:
             end = low.find("</" + tag, at)
@@ -120,11 +125,20 @@ def parse(source: str) -> Node:
     return root
 
 
-def boilerplate(node: Node, inside: bool) -> bool:
+def labelled(node: Node) -> bool:
+    """A form, or one of its class and id values, as a whole, is a label of boilerplate."""
+    if node.tag == "form" or node.role == "form":
+        return True
+    if node.tag == "article":
+        return bool(node.names & {"comment", "related", "ad", "sponsored"})
+    return node.tag not in ("html", "body", "main") and any(v in LABELS or LABELS.issuperset(filter(None, re.split("[-_]+", v))) and v.strip("-_") for v in node.names)
+
+
+def boilerplate(node: Node, inside: bool, labels: bool = True) -> bool:
     """Named as such by its tag, role or labels; a heading part inside the content is no page header."""
-    if node.tag in DROPPED or node.role in ROLES or (node.tag == "header" and not inside):
+    if node.tag != "form" and (node.tag in DROPPED or node.role in ROLES - {"form"}) or (node.tag == "header" and not inside):
         return True
-    return node.tag not in ("html", "body", "article", "main") and bool(node.labels & LABELS) or (node.tag == "article" and bool(node.labels & {"comment", "related", "ad", "sponsored"}))
+    return labels and not node.kept and labelled(node)
 
 
 def text_of(node: Node, constant: frozenset = frozenset(), inside: bool = True) -> str:
@@ -197,11 +211,11 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int
 def skeleton(node: Node) -> list:
     """The tree for the pivot: tag, labels, digest of the text, children; in-line elements are part of the text."""
     blocks = [skeleton(c) for c in node.elements() if c.tag not in INLINE and c.tag not in RAW][:MOST_CHILDREN]
-    return [node.tag, sorted(node.labels), text_of(node, inside=True)[:200] if not blocks else "", blocks]
+    return [node.tag, sorted(node.labels), text_of(node, inside=True)[:200] if not blocks else "", blocks, sorted(node.names)]
 
 
 def revived(spec: list, numbered: list[Node]) -> Node:
-    node = Node(spec[0], frozenset(spec[1]))
+    node = Node(spec[0], frozenset(spec[1]), names=frozenset(spec[4]))
     node.mark = len(numbered)
     node.role = spec[2]  # here: the text
     numbered.append(node)
@@ -224,18 +238,46 @@ def align(pivot: Node, page: Node) -> list[tuple[Node, Node]]:
 
 
 def lengths(node: Node, known: dict[int, int]) -> int:
-    """Characters of text below every node, boilerplate left out; fills ``known`` by the nodes' identity."""
+    """Characters of text below every node, left out what tags and roles drop; fills ``known`` by the nodes' identity."""
     total = 0
     for child in node.children:
         if isinstance(child, str):
             total += len(child.strip())
         else:
             below = lengths(child, known)
-            total += 0 if boilerplate(child, True) else below
+            total += 0 if boilerplate(child, True, labels=False) else below
     known[id(node)] = total
     return total
 
 
+def spare(root: Node) -> None:
+    """Keep the labelled nodes that hold all the declared content which the page has."""
+    if landmarks(root):
+        return
+
+    def walk(n: Node) -> bool:
+        holds = False
+        for c in n.elements():
+            if boilerplate(c, False, labels=False):
+                continue
+            below = walk(c)
+            if below and labelled(c) and c.tag != "article":
+                c.kept = True
+            holds = holds or below or bool(landmark(c)) and not (c.tag == "article" and labelled(c))
+        return holds
+
+    walk(root)
+
+
+def spare_most(root: Node) -> None:
+    """Keep the labelled nodes that hold more than half of the page's text."""
+    known: dict[int, int] = {}
+    lengths(root, known)
+    for n in _all(root):
+        if 2 * known[id(n)] > known[id(root)] and labelled(n):
+            n.kept = True
+
+
 def observed(pivot_json: str, source: str) -> list[tuple[int, int, int, int]]:
     """Per aligned node of the pivot: its place, 1 if the text is the same, and the length of text here."""
     numbered: list[Node] = []
@@ -245,6 +287,10 @@ def observed(pivot_json: str, source: str) -> list[tuple[int, int, int, int]]:
     return [(p.mark, int(not p.children and text_of(own)[:200] == p.role), known[id(own)]) for p, own in align(pivot, page)]
 
 
+def landmark(n: Node) -> str:
+    return "article" if n.tag == "article" or "articlebody" in n.labels else "main" if n.tag == "main" or n.role == "main" else ""
+
+
 def landmarks(root: Node) -> list[Node]:
     """Elements that declare themselves the main content, outermost first, boilerplate left out."""
     found: dict[str, list[Node]] = {"article": [], "main": []}
@@ -253,7 +299,7 @@ def landmarks(root: Node) -> list[Node]:
         for c in n.elements():
             if boilerplate(c, False):
                 continue
-            kind = "article" if c.tag == "article" or "articlebody" in c.labels else "main" if c.tag == "main" or c.role == "main" else ""
+            kind = landmark(c)
             if kind:
                 found[kind].append(c)
             if kind != "article":
@@ -266,6 +312,7 @@ def landmarks(root: Node) -> list[Node]:
 def extract(source: str, wrapper: str | None) -> str:
     """Main text of one page: the node in the host's content slot, else the page without boilerplate."""
     root = parse(source)
+    spare(root)
     declared = landmarks(root)
     constant: set[int] = set()
     slot = None
@@ -273,13 +320,16 @@ def extract(source: str, wrapper: str | None) -> str:
         spec = json.loads(wrapper)
         numbered: list[Node] = []
         pivot = revived(spec["pivot"], numbered)
-        template = set(spec["constant"])
+        template, kept = set(spec["constant"]), set(spec["kept"])
         for p, own in align(pivot, root):
             own.mark = p.mark
+            own.kept = own.kept or p.mark in kept
             if p.mark == spec["slot"]:
                 slot = own
         # content declared by the page is content even where all pages share it
         constant = template if not declared else set()
+    if not declared and (not wrapper or slot is None):
+        spare_most(root)
     if declared:
         within = [n for n in declared if slot is not None and (n is slot or _holds(slot, n) or _holds(n, slot))] or declared
         return max((text_of(n) for n in within), key=len)
@@ -309,17 +359,37 @@ def wrapper_of(pivot_json: str, stats: list[tuple[int, int, int, int]]) -> str:
     pages, same, length = ({m: row[i] for m, *row in stats} for i in range(3))
     most = max(pages.values(), default=0)
     constant = [m for m in pages if not numbered[m].children and pages[m] >= LEAST_PAGES and same[m] >= SHARED * pages[m]]
-    slot = 0
+    slot, kept = 0, []
     if most >= LEAST_PAGES:
+        fixed, net = set(constant), {}
+
+        def varying(n: Node) -> int:
+            below = [(c, varying(c)) for c in n.elements()]
+            net[n.mark] = 0 if n.mark in fixed else max(0, length.get(n.mark, 0) - sum(length.get(c.mark, 0) - v for c, v in below if not boilerplate(c, True, labels=False)))
+            return net[n.mark]
+
+        whole = varying(numbered[0])
+        for n in numbered:
+            if labelled(n) and 2 * net[n.mark] > whole:
+                n.kept = True
+                kept.append(n.mark)
+
+        def content(n: Node) -> int:
+            below = [(c, content(c)) for c in n.elements()]
+            net[n.mark] -= sum(before[c.mark] - (0 if boilerplate(c, True) else v) for c, v in below if not boilerplate(c, True, labels=False))
+            return net[n.mark]
+
+        before = dict(net)
+        content(numbered[0])
         node = numbered[0]
         while True:
             inner = [c for c in node.elements() if not boilerplate(c, False) and pages.get(c.mark, 0) >= 0.5 * most]
-            inner = [c for c in inner if length[c.mark] >= 0.7 * length.get(node.mark, 0) and c.children]
+            inner = [c for c in inner if net[c.mark] >= 0.7 * net[node.mark] and c.children]
             if not inner:
                 break
-            node = max(inner, key=lambda c: length[c.mark])
+            node = max(inner, key=lambda c: net[c.mark])
         slot = node.mark
-    return json.dumps({"pivot": json.loads(pivot_json), "constant": constant if most >= LEAST_PAGES else [], "slot": slot if slot else -1})
+    return json.dumps({"pivot": json.loads(pivot_json), "constant": constant if most >= LEAST_PAGES else [], "kept": kept, "slot": slot if slot else -1})
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -338,3 +338,26 @@ def test_simple_tree_matching():
     a, b = pages.parse("<div><p>x</p><p>y</p><ul><li>1</ul></div>"), pages.parse("<div><p>z</p><ul><li>2<li>3</ul></div>")
     pairs = []
     assert pages.match(a, b, pairs) == 5 == len(pairs)
+
+
+def texts_of(sources):
+    """Main texts of the pages of one host, as main_text goes about it, without Spark."""
+    pivot = pages.json.dumps(pages.skeleton(pages.parse(sources[0])))
+    sums = defaultdict(lambda: [0, 0, 0])
+    for source in sources:
+        for mark, *seen in pages.observed(pivot, source):
+            sums[mark] = [a + b for a, b in zip(sums[mark], [1, *seen])]
+    wrapper = pages.wrapper_of(pivot, [(m, *v) for m, v in sorted(sums.items())])
+    return [pages.extract(s, wrapper) for s in sources]
+
+
+def test_labels_do_not_drop_the_content():
+    for begin, end in [("<div class='content with-sidebar'>", "</div>"), ("<div class='widget-area'>", "</div>"), ("<div class=widget>", "</div>"), ("<form id=aspnetForm>", "</form>")]:
+        story = lambda i: f"<h2 id=related-work>Work {i}</h2><h3 id=search>Search</h3><p id=ad-hoc-networks>Ad {i}</p><div class=related>no</div>"  # noqa: E731,B023
+        for open_, close in (("<article>", "</article>"), ("<div><div>", "</div></div>")):
+            made = [f"<body><ul class=menu><li>Home</ul>{begin}{open_}{story(i)}{close}{end}" for i in range(6)]
+            alone = f"<body><div class=menu>Home</div>{begin}{open_}{story(0)}{close}{end}"
+            assert pages.extract(alone, None) == "Work 0 Search Ad 0", (begin, open_)
+            assert [t.replace("Search ", "") for t in texts_of(made)] == [f"Work {i} Ad {i}" for i in range(6)], (begin, open_)
+    # labels still decide where declared content is elsewhere
+    assert pages.extract("<body><article>yes</article><div class=related><article>no</article></div>", None) == "yes"
