@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -208,10 +209,15 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int
     return total
 
 
+def signed(text: str) -> str:
+    """Length and digest of a leaf's whole text."""
+    return f"{len(text)}:{xxhash.xxh3_128_hexdigest(text)}" if text else ""
+
+
 def skeleton(node: Node) -> list:
     """The tree for the pivot: tag, labels, digest of the text, children; in-line elements are part of the text."""
     blocks = [skeleton(c) for c in node.elements() if c.tag not in INLINE and c.tag not in RAW][:MOST_CHILDREN]
-    return [node.tag, sorted(node.labels), text_of(node, inside=True)[:200] if not blocks else "", blocks, sorted(node.names)]
+    return [node.tag, sorted(node.labels), signed(text_of(node)) if not blocks else "", blocks, sorted(node.names)]
 
 
 def revived(spec: list, numbered: list[Node]) -> Node:
@@ -284,7 +290,7 @@ def observed(pivot_json: str, source: str) -> list[tuple[int, int, int, int]]:
     pivot, page = revived(json.loads(pivot_json), numbered), parse(source)
     known: dict[int, int] = {}
     lengths(page, known)
-    return [(p.mark, int(not p.children and text_of(own)[:200] == p.role), known[id(own)]) for p, own in align(pivot, page)]
+    return [(p.mark, int(not p.children and signed(text_of(own)) == p.role), known[id(own)]) for p, own in align(pivot, page)]
 
 
 def landmark(n: Node) -> str:

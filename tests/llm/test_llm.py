@@ -361,3 +361,9 @@ def test_labels_do_not_drop_the_content():
             assert [t.replace("Search ", "") for t in texts_of(made)] == [f"Work {i} Ad {i}" for i in range(6)], (begin, open_)
     # labels still decide where declared content is elsewhere
     assert pages.extract("<body><article>yes</article><div class=related><article>no</article></div>", None) == "yes"
+
+
+def test_leaves_are_compared_to_their_end():
+    lead = "The same standing words open every page. " * 10
+    made = [f"<body><ul><li>Home</ul><div><pre>{lead}Then story {i}</pre><div>Terms</div></div>" for i in range(6)]
+    assert texts_of(made) == [f"{lead}Then story {i}" for i in range(6)]
