@@ -5,7 +5,8 @@ and every page of the host is aligned with it by simple tree matching.  Sums ove
 pages tell, for each node of the pivot, in how many pages it was found, in how many
 with the same text, and how much text varied there.  Constant nodes are template; the
 slot where most text varies holds the content.  A page is then aligned with its host's
-pivot once more, and the text of the node in that slot is its main text.
+pivot once more; the text of the node in that slot, and of what the page itself declares
+as its content, without the template, is its main text.
 """
 
 from __future__ import annotations
@@ -298,51 +299,67 @@ def landmark(n: Node) -> str:
 
 
 def landmarks(root: Node) -> list[Node]:
-    """Elements that declare themselves the main content, outermost first, boilerplate left out."""
-    found: dict[str, list[Node]] = {"article": [], "main": []}
+    """Elements that declare themselves the main content, outermost and in page order, boilerplate left out."""
+    found: list[Node] = []
 
     def walk(n: Node) -> None:
         for c in n.elements():
             if boilerplate(c, False):
                 continue
-            kind = landmark(c)
-            if kind:
-                found[kind].append(c)
-            if kind != "article":
+            if landmark(c):
+                found.append(c)
+            else:
                 walk(c)
 
     walk(root)
-    return found["article"] or found["main"]
+    return found
+
+
+def parts_of(root: Node, slot: Node | None, declared: list[Node]) -> list[Node]:
+    """Where the content is, outermost nodes in page order: the host's slot and what the page declares.
+
+    Declared parts widen a slot inside them and stand beside one elsewhere; they narrow a slot around them
+    if they hold most of its text.
+    """
+    if slot is None:
+        return declared
+    inner = [n for n in declared if n is slot or _holds(slot, n)]
+    if not inner and any(_holds(n, slot) for n in declared):
+        return declared
+    known: dict[int, int] = {}
+    if inner and 2 * sum(lengths(n, known) for n in inner) >= lengths(slot, known):
+        return declared
+    chosen = [slot, *(n for n in declared if not any(n is i for i in inner))]
+    return [n for n in _all(root) if any(n is c for c in chosen)]
 
 
 def extract(source: str, wrapper: str | None) -> str:
-    """Main text of one page: the node in the host's content slot, else the page without boilerplate."""
+    """Main text of one page: the content without the host's template, else the page without boilerplate."""
     root = parse(source)
     spare(root)
     declared = landmarks(root)
-    constant: set[int] = set()
+    constant: frozenset[int] = frozenset()
     slot = None
     if wrapper:
         spec = json.loads(wrapper)
         numbered: list[Node] = []
         pivot = revived(spec["pivot"], numbered)
-        template, kept = set(spec["constant"]), set(spec["kept"])
+        constant, kept = frozenset(spec["constant"]), set(spec["kept"])
         for p, own in align(pivot, root):
             own.mark = p.mark
             own.kept = own.kept or p.mark in kept
             if p.mark == spec["slot"]:
                 slot = own
-        # content declared by the page is content even where all pages share it
-        constant = template if not declared else set()
-    if not declared and (not wrapper or slot is None):
+    if not declared and slot is None:
         spare_most(root)
-    if declared:
-        within = [n for n in declared if slot is not None and (n is slot or _holds(slot, n) or _holds(n, slot))] or declared
-        return max((text_of(n) for n in within), key=len)
-    if slot is not None and (text := text_of(slot, frozenset(constant))):
+    parts = parts_of(root, slot, declared)
+    text = " ".join(filter(None, (text_of(n, constant) for n in parts)))
+    if not text and declared:  # declared content that all pages share
+        text = " ".join(filter(None, map(text_of, declared)))
+    if text:
         return text
     bodies = [n for n in _all(root) if n.tag == "body"]
-    return text_of(bodies[0] if bodies else root, frozenset(constant), inside=False)
+    return text_of(bodies[0] if bodies else root, constant, inside=False)
 
 
 def _all(node: Node) -> Iterator[Node]:

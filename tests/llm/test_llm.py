@@ -367,3 +367,13 @@ def test_leaves_are_compared_to_their_end():
     lead = "The same standing words open every page. " * 10
     made = [f"<body><ul><li>Home</ul><div><pre>{lead}Then story {i}</pre><div>Terms</div></div>" for i in range(6)]
     assert texts_of(made) == [f"{lead}Then story {i}" for i in range(6)]
+
+
+def test_wrapper_decides_inside_declared_content():
+    made = [f"<body><main><h1>Story {i}</h1><article><div>Get our paper</div><p>First {i}</p></article><article><p>Second part {i}</p></article><p>Beside {i}</p><div>Terms</div></main>" for i in range(6)]
+    assert texts_of(made) == [f"Story {i} First {i} Second part {i} Beside {i}" for i in range(6)]
+    assert pages.extract("<body><article>one</article><p>between</p><article>two, longer</article>", None) == "one two, longer"
+    # a small declared part beside or within the slot does not replace it
+    made = [f"<body><div><div><p>Long story number {i} with many words</p><p>And more {i}</p></div><article>Box {i}</article></div>" for i in range(6)]
+    assert texts_of(made) == [f"Long story number {i} with many words And more {i} Box {i}" for i in range(6)]
+    assert texts_of(["<body><div>" + f"x{i}</div><article><p>Same</p></article>" for i in range(6)]) == ["Same"] * 6
