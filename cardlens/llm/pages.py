@@ -1,7 +1,7 @@
 """Main text of web pages by wrapper induction over pages of one host.
 
-Each page becomes a small tree of its elements.  On every host one page is the pivot,
-and every page of the host is aligned with it by simple tree matching.  Sums over all
+Each page becomes a small tree of its elements.  For every layout of a host one page is
+the pivot, and every page of that layout is aligned with it by simple tree matching.  Sums over all
 pages tell, for each node of the pivot, in how many pages it was found, in how many
 with the same text, and how much text varied there.  Constant nodes are template; the
 slot where most text varies holds the content.  A page is then aligned with its host's
@@ -14,12 +14,14 @@ from __future__ import annotations
 import html
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from difflib import SequenceMatcher
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.workspace import snapshot
@@ -46,7 +48,7 @@ SIMPLE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 SHARED = 0.95
 LEAST_PAGES = 4
-MOST_CHILDREN = 60  # that are aligned; text is taken from all
+EXACT_CELLS = 2500  # child lists up to this size are aligned exactly; longer ones by anchors and runs
 MAX_DEPTH = 150  # deeper elements are taken as children of the element at this depth
 
 
@@ -57,6 +59,7 @@ class Node:
     role: str = ""
     children: list = field(default_factory=list)  # nodes and texts in order
     mark: int = -1  # place in the pivot
+    text: str = ""  # of a leaf that is aligned: its length and digest
     names: frozenset = frozenset()  # whole class and id values
     kept: bool = False  # neither labels nor being a form make it boilerplate
 
@@ -161,29 +164,107 @@ def text_of(node: Node, constant: frozenset = frozenset(), inside: bool = True)
     return " ".join("".join(parts).split())
 
 
+def anchored(xs: list[Node], ys: list[Node]) -> list[tuple[int, int]]:
+    """Pairs of leaves of equal key and text that are the only ones of their kind on both sides, in order."""
+    def single(nodes: list[Node]) -> dict[tuple, int]:
+        seen: dict[tuple, int] = {}
+        for i, n in enumerate(nodes):
+            if n.text:
+                mark = (n.key, n.text)
+                seen[mark] = -1 if mark in seen else i
+        return {m: i for m, i in seen.items() if i >= 0}
+
+    left, right = single(xs), single(ys)
+    both = [(i, right[m]) for m, i in left.items() if m in right]
+    # longest rising chain of places on the right
+    ends: list[int] = []
+    last: list[int] = []
+    before = [-1] * len(both)
+    for k, (_, j) in enumerate(both):
+        at = bisect_left(ends, j)
+        before[k] = last[at - 1] if at else -1
+        ends[at : at + 1] = [j]
+        last[at : at + 1] = [k]
+    chain, k = [], last[-1] if last else -1
+    while k >= 0:
+        chain.append(both[k])
+        k = before[k]
+    return chain[::-1]
+
+
+def runs_of(nodes: list[Node]) -> list[tuple[tuple, int, int]]:
+    """Runs of equal keys: key, start, end."""
+    made, start = [], 0
+    for i in range(1, len(nodes) + 1):
+        if i == len(nodes) or nodes[i].key != nodes[start].key:
+            made.append((nodes[start].key, start, i))
+            start = i
+    return made
+
+
+def long_pairs(xs: list[Node], ys: list[Node]) -> list[tuple[int, int]]:
+    """An alignment of two long lists without a table of all their pairs.
+
+    Equal ends first, then leaves of one text, and between those runs of equal keys.
+    """
+    same = lambda x, y: x.key == y.key and x.text == y.text
+    low, high_x, high_y = 0, len(xs), len(ys)
+    while low < min(high_x, high_y) and same(xs[low], ys[low]):
+        low += 1
+    while min(high_x, high_y) > low and same(xs[high_x - 1], ys[high_y - 1]):
+        high_x, high_y = high_x - 1, high_y - 1
+    pairs = [(i, i) for i in range(low)]
+    stops = [(low + i, low + j) for i, j in anchored(xs[low:high_x], ys[low:high_y])] + [(high_x, high_y)]
+    from_x = from_y = low
+    for to_x, to_y in stops:
+        left, right = runs_of(xs[from_x:to_x]), runs_of(ys[from_y:to_y])
+        for a, b, size in SequenceMatcher(None, [r[0] for r in left], [r[0] for r in right], False).get_matching_blocks():
+            for (_, i, end_i), (_, j, end_j) in zip(left[a : a + size], right[b : b + size]):
+                # the last ones of a run face each other, as in the exact alignment
+                n = min(end_i - i, end_j - j)
+                pairs += [(from_x + end_i - n + k, from_y + end_j - n + k) for k in range(n)]
+        if to_x < high_x:
+            pairs.append((to_x, to_y))
+        from_x, from_y = to_x + 1, to_y + 1
+    return pairs + [(high_x + k, high_y + k) for k in range(len(xs) - high_x)]
+
+
 def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int:
     """Simple tree matching: the largest number of pairs of equal nodes, in order and under equal parents.
 
-    Fills ``pairs`` with the pairs of one such matching.  Of very long lists the first MOST_CHILDREN are aligned.
+    Fills ``pairs`` with the pairs of one such matching.  Of equally large ones, leaves of equal text decide.
+    Lists with more than EXACT_CELLS pairs of children are aligned as a whole by ``long_pairs``.
     """
-    memo: dict[tuple[int, int], int] = {}
+    memo: dict[tuple[int, int], tuple[int, int]] = {}
 
-    def size(x: Node, y: Node) -> int:
+    def size(x: Node, y: Node) -> tuple[int, int]:
         if x.key != y.key:
-            return 0
+            return 0, 0
         known = memo.get((id(x), id(y)))
         if known is None:
             xs, ys = x.elements(), y.elements()
-            known = memo[id(x), id(y)] = 1 + (table(xs, ys)[-1][-1] if xs and ys else 0)
+            more, alike = 0, int(bool(x.text) and x.text == y.text)
+            if xs and ys:
+                if len(xs) * len(ys) > EXACT_CELLS:
+                    found = [size(xs[i], ys[j]) for i, j in long_pairs(xs, ys)]
+                    more, alike = sum(f[0] for f in found), alike + sum(f[1] for f in found)
+                else:
+                    below = table(xs, ys)[-1][-1]
+                    more, alike = below[0], alike + below[1]
+            known = memo[id(x), id(y)] = 1 + more, alike
         return known
 
-    def table(xs: list[Node], ys: list[Node]) -> list[list[int]]:
-        xs, ys = xs[:MOST_CHILDREN], ys[:MOST_CHILDREN]
-        rows = [[0] * (len(ys) + 1)]
+    def table(xs: list[Node], ys: list[Node]) -> list[list[tuple[int, int]]]:
+        rows = [[(0, 0)] * (len(ys) + 1)]
         for x in xs:
-            last, row = rows[-1], [0]
+            last, row = rows[-1], [(0, 0)]
             for j, y in enumerate(ys):
-                row.append(max(last[j + 1], row[j], last[j] + size(x, y)))
+                best = last[j + 1] if last[j + 1] >= row[j] else row[j]
+                if x.key == y.key:
+                    more, before = size(x, y), last[j]
+                    both = before[0] + more[0], before[1] + more[1]
+                    best = both if both > best else best
+                row.append(best)
             rows.append(row)
         return rows
 
@@ -192,11 +273,15 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int
         xs, ys = x.elements(), y.elements()
         if not xs or not ys:
             return
+        if len(xs) * len(ys) > EXACT_CELLS:
+            for i, j in long_pairs(xs, ys):
+                trace(xs[i], ys[j])
+            return
         rows = table(xs, ys)
         i, j = len(rows) - 1, len(rows[0]) - 1
         while i and j:
-            both = size(xs[i - 1], ys[j - 1])
-            if both and rows[i][j] == rows[i - 1][j - 1] + both:
+            more, before = size(xs[i - 1], ys[j - 1]), rows[i - 1][j - 1]
+            if more[0] and rows[i][j] == (before[0] + more[0], before[1] + more[1]):
                 trace(xs[i - 1], ys[j - 1])
                 i, j = i - 1, j - 1
             elif rows[i][j] == rows[i - 1][j]:
@@ -204,7 +289,7 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int
             else:
                 j -= 1
 
-    total = size(a, b)
+    total = size(a, b)[0]
     if pairs is not None and total:
         trace(a, b)
     return total
@@ -215,33 +300,39 @@ def signed(text: str) -> str:
     return f"{len(text)}:{xxhash.xxh3_128_hexdigest(text)}" if text else ""
 
 
+def blocks_of(node: Node) -> list[Node]:
+    """The children that are aligned; in-line elements, scripts and breaks are no blocks of their own."""
+    return [c for c in node.elements() if c.tag not in INLINE and c.tag not in RAW and c.tag not in VOID]
+
+
 def skeleton(node: Node) -> list:
     """The tree for the pivot: tag, labels, digest of the text, children; in-line elements are part of the text."""
-    blocks = [skeleton(c) for c in node.elements() if c.tag not in INLINE and c.tag not in RAW][:MOST_CHILDREN]
+    blocks = [skeleton(c) for c in blocks_of(node)]
     return [node.tag, sorted(node.labels), signed(text_of(node)) if not blocks else "", blocks, sorted(node.names)]
 
 
 def revived(spec: list, numbered: list[Node]) -> Node:
-    node = Node(spec[0], frozenset(spec[1]), names=frozenset(spec[4]))
+    node = Node(spec[0], frozenset(spec[1]), names=frozenset(spec[4]), text=spec[2])
     node.mark = len(numbered)
-    node.role = spec[2]  # here: the text
     numbered.append(node)
     node.children = [revived(c, numbered) for c in spec[3]]
     return node
 
 
 def trimmed(node: Node) -> Node:
-    """The same tree without in-line elements, pointing at the page's own nodes."""
+    """The same tree as in the pivot, pointing at the page's own nodes."""
     copy = Node(node.tag, node.labels)
-    copy.children = [trimmed(c) for c in node.elements() if c.tag not in INLINE and c.tag not in RAW]
+    copy.children = [trimmed(c) for c in blocks_of(node)]
+    copy.text = "" if copy.children else signed(text_of(node))
     copy.role = node  # the page's node
     return copy
 
 
-def align(pivot: Node, page: Node) -> list[tuple[Node, Node]]:
+def align(pivot: Node, page: Node) -> list[tuple[Node, Node, bool]]:
+    """Pairs of pivot's and page's nodes, and whether they are leaves of one text."""
     pairs: list[tuple[Node, Node]] = []
     match(pivot, trimmed(page), pairs)
-    return [(p, own.role) for p, own in pairs]
+    return [(p, own.role, not p.children and not own.children and own.text == p.text) for p, own in pairs]
 
 
 def lengths(node: Node, known: dict[int, int]) -> int:
@@ -291,7 +382,7 @@ def observed(pivot_json: str, source: str) -> list[tuple[int, int, int, int]]:
     pivot, page = revived(json.loads(pivot_json), numbered), parse(source)
     known: dict[int, int] = {}
     lengths(page, known)
-    return [(p.mark, int(not p.children and signed(text_of(own)) == p.role), known[id(own)]) for p, own in align(pivot, page)]
+    return [(p.mark, int(same), known[id(own)]) for p, own, same in align(pivot, page)]
 
 
 def landmark(n: Node) -> str:
@@ -345,7 +436,7 @@ def extract(source: str, wrapper: str | None) -> str:
         numbered: list[Node] = []
         pivot = revived(spec["pivot"], numbered)
         constant, kept = frozenset(spec["constant"]), set(spec["kept"])
-        for p, own in align(pivot, root):
+        for p, own, _ in align(pivot, root):
             own.mark = p.mark
             own.kept = own.kept or p.mark in kept
             if p.mark == spec["slot"]:
@@ -415,53 +506,73 @@ def wrapper_of(pivot_json: str, stats: list[tuple[int, int, int, int]]) -> str:
     return json.dumps({"pivot": json.loads(pivot_json), "constant": constant if most >= LEAST_PAGES else [], "kept": kept, "slot": slot if slot else -1})
 
 
+def layout_of(page: Column) -> Column:
+    """Signature of a page's layout: which containers it has, by tag, letters of the class, and ids of one plain word."""
+    tags = F.regexp_extract_all(page, F.lit(r"(?i)<(?:div|section|main|article|table|form|header|footer|nav|aside)(?:\s[^<>]*)?>"), F.lit(0))
+
+    def plain(tag: Column) -> Column:
+        kind = F.regexp_extract(tag, r"(?i)^<([a-z]+)", 1)
+        names = F.regexp_extract(tag, r"""(?i)\sclass\s*=\s*("[^"]*"|'[^']*'|[^\s>]*)""", 1)
+        own = F.regexp_extract(tag, r"""(?i)^<(?:div|main|table|form)\s(?:[^>]*\s)?id\s*=\s*["']?([A-Za-z]+)["'\s>]""", 1)
+        return F.concat_ws("|", F.lower(kind), F.regexp_replace(F.lower(names), "[^a-z ]", ""), F.lower(own))
+
+    return F.xxhash64(F.array_join(F.array_sort(F.array_distinct(F.transform(F.array_distinct(tags), plain))), ">"))
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """The main text of every page: ``page_id, url, text, n_chars``.
 
     Pages without a host (null or odd address) form one host of their own.  A null or empty page has an empty text.
-    Identical pages of a host count once when the template is induced; hosts with fewer than LEAST_PAGES different
-    pages have no template, and their pages are read by their own landmarks.  Rows repeated with one id are all kept;
+    Every layout of a host has its own template.  Identical pages count once when it is induced; hosts with fewer than
+    LEAST_PAGES different pages have no template, and their pages are read by their own landmarks.  Rows repeated with one id are all kept;
     an empty table gives an empty result; other columns are not looked at.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), host.alias("host"))
+    source = F.coalesce(F.col(html_col), F.lit(""))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), source.alias("html"), host.alias("host"), layout_of(source).alias("layout"))
 
     def skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [json.dumps(skeleton(parse(s)), ensure_ascii=False) for s in batch.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(made, pa.string())], ["host", "pivot"])
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("part"), pa.array(made, pa.string())], ["host", "part", "pivot"])
 
-    first = snapshot(rows.filter("html <> ''").groupBy("host").agg(F.min(F.struct("page_id", F.xxhash64("html").alias("h"))).alias("_f")).select("host", "_f.*"))
-    chosen = rows.join(first, ["host", "page_id"]).filter(F.xxhash64("html") == F.col("h")).select("host", "html")
-    pivots = snapshot(chosen.mapInArrow(skeletons, "host string, pivot string").groupBy("host").agg(F.min("pivot").alias("pivot")))
+    # copies of a page would make its content look like template: of equal pages the least id counts
+    once = snapshot(rows.filter("html <> ''").groupBy("host", "layout", F.xxhash64("html").alias("h")).agg(F.min("page_id").alias("page_id")))
+    layouts = once.groupBy("host", "layout").agg(F.count("*").alias("n"), F.min(F.struct("page_id", "h")).alias("_f"))
+    largest = layouts.groupBy("host").agg(F.max(F.struct("n", "layout"))["layout"].alias("largest"))
+    # layouts of too few pages are read with the wrapper of the host's largest
+    part = F.when(F.col("n") >= LEAST_PAGES, F.col("layout")).otherwise(F.col("largest"))
+    parts = snapshot(layouts.join(largest, "host").select("host", "layout", part.alias("part"), "_f.*"))
+    first = parts.filter("layout = part").select("host", "part", "page_id", "h")
+    chosen = rows.join(first, ["host", "page_id"]).filter(F.xxhash64("html") == F.col("h")).select("host", "part", "html")
+    pivots = snapshot(chosen.mapInArrow(skeletons, "host string, part bigint, pivot string").groupBy("host", "part").agg(F.min("pivot").alias("pivot")))
 
     def observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, sums = batch.column("host").to_pylist(), {}
-            for h, pivot, source in zip(hosts, batch.column("pivot").to_pylist(), batch.column("html").to_pylist()):
+            keys, sums = zip(batch.column("host").to_pylist(), batch.column("part").to_pylist()), {}
+            for key, pivot, source in zip(keys, batch.column("pivot").to_pylist(), batch.column("html").to_pylist()):
                 for mark, same, length in observed(pivot, source):
-                    total = sums.setdefault((h, mark), [0, 0, 0])
+                    total = sums.setdefault((*key, mark), [0, 0, 0])
                     total[0] += 1
                     total[1] += same
                     total[2] += length
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int32()), *[pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(3)]],
-                ["host", "mark", "pages", "same", "length"],
+                [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int64()), pa.array([k[2] for k in sums], pa.int32()), *[pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(3)]],
+                ["host", "part", "mark", "pages", "same", "length"],
             )
 
-    # copies of a page would make its content look like template: of equal pages the least id counts
-    once = snapshot(rows.filter("html <> ''").groupBy("host", F.xxhash64("html").alias("h")).agg(F.min("page_id").alias("page_id")))
-    distinct_pages = rows.join(once.select("host", "page_id").distinct(), ["host", "page_id"], "left_semi").select("host", "html")
-    seen = distinct_pages.join(pivots, "host").mapInArrow(observe, "host string, mark int, pages bigint, same bigint, length bigint")
-    sums = seen.groupBy("host", "mark").agg(*[F.sum(c).alias(c) for c in ("pages", "same", "length")])
-    stats = sums.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("mark", "pages", "same", "length"))).alias("stats"))
+    counted = once.join(parts.select("host", "layout", "part"), ["host", "layout"]).select("host", "page_id", "part").distinct()
+    distinct_pages = rows.join(counted, ["host", "page_id"]).select("host", "part", "html")
+    seen = distinct_pages.join(pivots, ["host", "part"]).mapInArrow(observe, "host string, part bigint, mark int, pages bigint, same bigint, length bigint")
+    sums = seen.groupBy("host", "part", "mark").agg(*[F.sum(c).alias(c) for c in ("pages", "same", "length")])
+    stats = sums.groupBy("host", "part").agg(F.sort_array(F.collect_list(F.struct("mark", "pages", "same", "length"))).alias("stats"))
 
     def induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [wrapper_of(p, [tuple(r.values()) for r in s]) for p, s in zip(batch.column("pivot").to_pylist(), batch.column("stats").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(made, pa.string())], ["host", "wrapper"])
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("part"), pa.array(made, pa.string())], ["host", "part", "wrapper"])
 
-    wrappers = snapshot(stats.join(pivots, "host").select("host", "pivot", "stats").mapInArrow(induce, "host string, wrapper string"))
+    wrappers = snapshot(stats.join(pivots, ["host", "part"]).select("host", "part", "pivot", "stats").mapInArrow(induce, "host string, part bigint, wrapper string"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -472,5 +583,6 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             )
 
     kind = rows.schema["page_id"].dataType.simpleString()
-    joined = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper")
+    placed = rows.join(parts.select("host", "layout", "part"), ["host", "layout"], "left")
+    joined = placed.join(wrappers, ["host", "part"], "left").select("page_id", "url", "html", "wrapper")
     return joined.mapInArrow(read, f"page_id {kind}, url string, text string, n_chars bigint")

@@ -377,3 +377,24 @@ def test_wrapper_decides_inside_declared_content():
     made = [f"<body><div><div><p>Long story number {i} with many words</p><p>And more {i}</p></div><article>Box {i}</article></div>" for i in range(6)]
     assert texts_of(made) == [f"Long story number {i} with many words And more {i} Box {i}" for i in range(6)]
     assert texts_of(["<body><div>" + f"x{i}</div><article><p>Same</p></article>" for i in range(6)]) == ["Same"] * 6
+
+
+def test_flat_pages_are_aligned_to_the_end():
+    made = []
+    for i in range(6):
+        words = "".join(f"<br><p>Word {i} {k}</p><hr>" for k in range(70 + 5 * i))
+        more = "".join(f"<h3>Head {i} {k}</h3><p>Text {i} {k}</p>" for k in range(40))
+        made.append(f"<body><p>Top</p>{words}<p>Get our paper</p>{more}<div><div><p>Late {i}</p><b>{i}</b></div></div><p>Terms</p>")
+    for i, text in enumerate(texts_of(made)):
+        assert text.startswith(f"Word {i} 0 ") and text.endswith(f"Text {i} 39 Late {i} {i}") and "paper" not in text
+        assert text.count("Word") == 70 + 5 * i
+    slot_behind = ["<body>" + "<ul><li>Home</ul><table><td>x</table>" * 40 + f"<div><div><p>Story {i}</p><p>Part {i}</p></div></div>" for i in range(6)]
+    assert texts_of(slot_behind) == [f"Story {i} Part {i}" for i in range(6)]
+
+
+def test_every_layout_has_its_wrapper(make):
+    one = lambda i: f"<body><div class=top>Menu</div><div class=box><p>First story {i}</p><p>more {i}</p></div><div class=low>Terms</div>"
+    two = lambda i: f"<body><table class=bar><td>Other menu</table><section class=post><h2>Second {i}</h2><p>text {i}</p></section><section class=end>Imprint</section>"
+    rows = [(0, "http://h.example/", "<body><p>Page not found</p>")] + [(i, f"http://h.example/{i}", (one if i % 2 else two)(i)) for i in range(1, 13)]
+    got = {r["page_id"]: r["text"] for r in pages.main_text(make(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {0: "Page not found"} | {i: f"First story {i} more {i}" if i % 2 else f"Second {i} text {i}" for i in range(1, 13)}
