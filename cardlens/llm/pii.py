@@ -11,13 +11,14 @@ who clashes is drawn again.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.workspace import snapshot
 
-DRAWS = 24
+STALLED = 24  # rounds in which a form of fixed length found no free stand-in at all
 MALE_TITLES = ("Mr", "Herr", "Monsieur", "Señor", "Signor", "Господин")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Signora", "Госпожа")
 OTHER_TITLES = ("Dr", "Prof")
@@ -132,12 +133,20 @@ def stand_in(key: str, draw: int) -> Column:
         F.substr(F.translate(long_text, "0123456789abcdef", "Ab3dEf7hJk2mNp9q"), F.lit(1), F.length(normal))
     )
     parts = F.split(normal, " ")
-    # the surname follows from the surname alone, so that it is the same with and without a given name
-    family = _digest(key, F.lit("surname"), F.element_at(parts, -1), F.lit(str(draw // 4)))
+    # the surname follows from the surname alone, so that it is the same with and without a given name; every fourth
+    # draw of a whole name and every draw of a lone surname is a new one, a syllable longer, so that there is no last one
+    alone = F.size(parts) == 1
+    def family(i):
+        turn = F.when(alone, F.lit(draw)).otherwise(F.lit(draw // 4)).cast("string")
+        return _digest(key, F.lit("surname"), F.element_at(parts, -1), turn, *([F.lit(str(i))] if i else []))
+    syllables = F.when(alone, F.lit(4 + draw)).otherwise(F.lit(4 + draw // 4))
+    longest = 4 + draw
+    digests = [family(i) for i in range(-(-longest // 8))]
     given = _digest(key, F.lit("given"), parts[0], F.lit(str(draw)))
     person = None
     for (gender, script), names in GIVEN.items():
-        surname = F.initcap(F.concat(*[_pick(family, s, SYLLABLES[script]) for s in (1, 9, 17, 25)]))
+        all_syllables = [_pick(digests[i // 8], 1 + 8 * (i % 8), SYLLABLES[script]) for i in range(longest)]
+        surname = F.initcap(F.array_join(F.slice(F.array(*all_syllables), F.lit(1), syllables), ""))
         made = F.when(F.size(parts) > 1, F.concat(_pick(given, 1, names), F.lit(" "), surname)).otherwise(surname)
         person = F.when(F.col("traits") == gender + script, made) if person is None else person.when(F.col("traits") == gender + script, made)
     return (
@@ -153,8 +162,8 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     """
     # a person's form has capitals, their normal form none
     real = entities.select(F.col("kind").alias("_k"), F.col("normal").alias("_n")).distinct()
-    pending, settled = entities, None
-    for draw in range(DRAWS):
+    pending, settled, stalled = entities, None, 0
+    for draw in count():
         drawn = pending.withColumn("core", stand_in(key, draw)).join(real, (F.col("kind") == F.col("_k")) & (F.lower("core") == F.lower("_n")), "left")
         drawn = drawn.withColumn("_real", F.col("_n").isNotNull()).drop("_k", "_n")
         if settled is not None:
@@ -167,7 +176,10 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         pending = snapshot(pending.join(done.select("kind", "normal", "traits"), ["kind", "normal", "traits"], "left_anti"))
         if pending.isEmpty():
             return settled
-    raise ValueError(f"no free stand-in after {DRAWS} draws")
+        # persons' names grow with the draw; only numbers, whose length is kept, can run out
+        stalled = stalled + 1 if done.isEmpty() else 0
+        if stalled == STALLED:
+            raise ValueError("more numbers of one form than that form has stand-ins")
 
 
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

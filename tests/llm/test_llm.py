@@ -398,3 +398,11 @@ def test_every_layout_has_its_wrapper(make):
     rows = [(0, "http://h.example/", "<body><p>Page not found</p>")] + [(i, f"http://h.example/{i}", (one if i % 2 else two)(i)) for i in range(1, 13)]
     got = {r["page_id"]: r["text"] for r in pages.main_text(make(rows, "page_id bigint, url string, html string")).collect()}
     assert got == {0: "Page not found"} | {i: f"First story {i} more {i}" if i % 2 else f"Second {i} text {i}" for i in range(1, 13)}
+
+
+def test_stand_ins_do_not_run_out(make, monkeypatch):
+    monkeypatch.setattr(pii, "SYLLABLES", {"latin": ["ba"], "cyrillic": ["ба"]})
+    names = make([(f"n{i}",) for i in range(10)] + [(f"anna n{i}",) for i in range(10, 15)], "normal string")
+    entities = names.select(F.lit("person").alias("kind"), "normal", F.lit("flatin").alias("traits"))
+    cores = pii.assign(entities, "k").collect()
+    assert len(cores) == len({r["core"] for r in cores}) == 15 and all(r["core"].count(" ") == r["normal"].count(" ") for r in cores)
