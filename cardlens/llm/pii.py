@@ -34,6 +34,11 @@ SYLLABLES = {
 }
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _title = "|".join(sorted({*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES}, key=len, reverse=True))
+# one or more titles; then words with inner capitals, hyphens or apostrophes (no genitive), initials, and small words between them
+HEAD = rf"(?:(?:{_title})\.? )+"
+_word = r"(?:(?:\p{Lu}\.-?)+(?=[ \p{Lu}])|\p{Lu}(?:[\p{L}\p{M}]|-(?=\p{L})|['’](?!s(?!\p{L}))(?=\p{L}))*)"
+_small = r"(?:van|von|vom|zu|de|der|den|del|della|di|da|do|dos|du|la|le|bin|ibn|al|el|ter|af|av)"
+NAME = rf"(?:{_small} ){{0,3}}{_word}(?: ?(?: {_small}){{0,3}} {_word}|(?<=\.){_word})*"
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63})+",
     "secret": r"(?i:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_/+-]{16,}|\b[0-9a-fA-F]{32,}\b",
@@ -42,11 +47,11 @@ PATTERNS = {
     "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
     "phone": r"(?<!\d)(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?(?:\d{2,4}[ .-]?){1,4}\d{2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
-    "person": rf"(?<!\p{{L}})(?:{_title})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
+    "person": rf"(?<!\p{{L}}){HEAD}{NAME}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # whatever holds none of these holds no entity
-HINT = rf"\d|@|(?i:token|secret|passw|api[_-]?key)|[0-9a-fA-F]{{32}}|(?:{_title})\.? \p{{Lu}}"
+HINT = rf"\d|@|(?i:token|secret|passw|api[_-]?key)|[0-9a-fA-F]{{32}}|(?:{_title})\.? \p{{L}}"
 VALUE = r"[A-Za-z0-9_/+-]{16,}$"
 
 
@@ -86,7 +91,7 @@ def classified(found: DataFrame) -> DataFrame:
     e = F.col("entity")
     kind = reduce(lambda rest, k: F.when(e.rlike(f"^(?:{PATTERNS[k]})$"), k).otherwise(rest), reversed(PATTERNS), F.lit("person"))
     title = F.regexp_extract(e, rf"^({_title})", 1)
-    name = F.regexp_replace(e, rf"^(?:{_title})\.? ", "")
+    name = F.regexp_replace(e, rf"^{HEAD}", "")
     given_gender = F.when(F.split(name, " ")[0].isin(GIVEN["f", "latin"] + GIVEN["f", "cyrillic"]), "f").otherwise("m")
     gender = F.when(title.isin(*FEMALE_TITLES), "f").when(title.isin(*MALE_TITLES), "m").otherwise(given_gender)
     normal = (
@@ -147,7 +152,9 @@ def stand_in(key: str, draw: int) -> Column:
     for (gender, script), names in GIVEN.items():
         all_syllables = [_pick(digests[i // 8], 1 + 8 * (i % 8), SYLLABLES[script]) for i in range(longest)]
         surname = F.initcap(F.array_join(F.slice(F.array(*all_syllables), F.lit(1), syllables), ""))
-        made = F.when(F.size(parts) > 1, F.concat(_pick(given, 1, names), F.lit(" "), surname)).otherwise(surname)
+        # never the given name that is replaced
+        other = F.when(F.lower(_pick(given, 1, names)) == parts[0], _pick(given, 1, names[1:] + names[:1])).otherwise(_pick(given, 1, names))
+        made = F.when(F.size(parts) > 1, F.concat(other, F.lit(" "), surname)).otherwise(surname)
         person = F.when(F.col("traits") == gender + script, made) if person is None else person.when(F.col("traits") == gender + script, made)
     return (
         F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "iban", iban).when(kind == "ip", ip)
@@ -182,11 +189,31 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
             raise ValueError("more numbers of one form than that form has stand-ins")
 
 
+def _mentions(persons: DataFrame) -> DataFrame:
+    """How a document's persons are named again without a title: ``_of, _known, _again``, map and pattern per document.
+
+    The whole name stands first, then the surname, then the given name, if that is no initial.
+    """
+    bare = lambda c: F.regexp_replace(c, rf"^{HEAD}", "")
+    name, made = F.split(bare(F.col("entity")), " "), F.split(bare(F.col("made")), " ")
+    whole = F.struct(F.lit(0).alias("rank"), F.array_join(name, " ").alias("said"), F.array_join(made, " ").alias("put"))
+    last = F.struct(F.lit(1).alias("rank"), F.element_at(name, -1).alias("said"), F.element_at(made, -1).alias("put"))
+    first = F.struct(F.lit(2).alias("rank"), F.element_at(name, 1).alias("said"), F.element_at(made, 1).alias("put"))
+    ways = persons.select(F.col("doc_id").alias("_of"), F.explode(F.when(F.size(name) > 1, F.array(whole, last, first)).otherwise(F.array(whole))).alias("w"))
+    ways = ways.filter(r"w.said RLIKE '^\\p{Lu}.*\\p{L}\\p{L}' OR w.rank = 0 AND length(w.said) > 1")
+    one = ways.groupBy("_of", F.col("w.said").alias("said")).agg(F.min(F.struct("w.rank", "w.put")).alias("w"))
+    # the longest first, so that a name is not taken for its first word
+    listed = F.sort_array(F.collect_list(F.struct((-F.length("said")).alias("n"), "said")))
+    pattern = F.array_join(F.transform(listed, lambda x: F.replace(x["said"], F.lit("."), F.lit("\\."))), "|")
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), pattern, F.lit(r")(?![\p{L}\p{N}])"))
+    return one.groupBy("_of").agg(F.map_from_entries(F.collect_list(F.struct("said", "w.put"))).alias("_known"), pattern.alias("_again"))
+
+
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every text with its personal data replaced: ``doc_id, text, n_entities``.
 
     Types: e-mail and IP addresses, phone, card, social security and account numbers, secrets, and persons behind a
-    title.  Equal entities get equal stand-ins in all documents, different ones different stand-ins.  Text without an
+    title, with whatever names them again in the same document.  Equal entities get equal stand-ins in all documents, different ones different stand-ins.  Text without an
     entity stays as it is; null stays null with 0 entities.  Rows repeated with one id are all kept.  An empty table gives
     an empty result; other columns are not looked at.
     """
@@ -199,7 +226,7 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     met = snapshot(met)
     cores = assign(snapshot(met.select("kind", "normal", "traits").distinct()), key)
     e, core = F.col("entity"), F.col("core")
-    head = F.regexp_extract(e, rf"^((?:{_title})\.? )", 1)
+    head = F.regexp_extract(e, rf"^({HEAD})", 1)
     made = (
         F.when(F.col("kind") == "person", F.concat(head, core))
         .when(F.col("kind") == "secret", F.concat(F.regexp_replace(e, VALUE, ""), core))
@@ -209,9 +236,21 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     named = met.join(cores, ["kind", "normal", "traits"]).select("doc_id", "entity", made.alias("made"))
     # one map per document; a row without id is matched like any other
     maps = named.groupBy(F.col("doc_id").alias("_id")).agg(F.map_from_entries(F.collect_set(F.struct("entity", "made"))).alias("_map"))
+    joined = hit.join(maps, F.col("doc_id").eqNullSafe(F.col("_id")))
+    known = _mentions(named.filter(F.col("entity").rlike(f"^{HEAD}")))
+    joined = joined.join(known, F.col("doc_id").eqNullSafe(F.col("_of")), "left")
+    again = F.col("_again")
+
+    def gap_of(gap: Column) -> Column:
+        """What is between two entities, with the document's names in it replaced."""
+        met = F.regexp_extract_all(gap, again, F.lit(0))
+        put = F.zip_with(F.split(gap, again, -1), met, lambda g, m: F.concat(g, F.coalesce(F.element_at("_known", m), F.lit(""))))
+        return F.when(again.isNull(), gap).otherwise(F.array_join(put, ""))
+
     gaps = F.split("text", ANY, -1)
     text = F.array_join(
-        F.transform(gaps, lambda g, i: F.concat(g, F.when(i < F.size("_found"), F.element_at("_map", F.get("_found", i))).otherwise(F.lit("")))), ""
+        F.transform(gaps, lambda g, i: F.concat(gap_of(g), F.when(i < F.size("_found"), F.element_at("_map", F.get("_found", i))).otherwise(F.lit("")))), ""
     )
-    changed = hit.join(maps, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", text.alias("text"), F.size("_found").alias("n_entities"))
+    more = F.when(again.isNull(), 0).otherwise(F.aggregate(gaps, F.lit(0), lambda n, g: n + F.regexp_count(g, again)))
+    changed = joined.select("doc_id", text.alias("text"), (F.size("_found") + more).cast("int").alias("n_entities"))
     return clean.unionByName(changed)

@@ -406,3 +406,20 @@ def test_stand_ins_do_not_run_out(make, monkeypatch):
     entities = names.select(F.lit("person").alias("kind"), "normal", F.lit("flatin").alias("traits"))
     cores = pii.assign(entities, "k").collect()
     assert len(cores) == len({r["core"] for r in cores}) == 15 and all(r["core"].count(" ") == r["normal"].count(" ") for r in cores)
+
+
+def test_whole_names_and_their_mentions(make):
+    names = ["Mrs Mary Anne Smith", "Mr John Q. Public", "Mr. Smith-Jones", "Dr. McDonald", "Mr. O'Brien", "Herr Dr. Karl von Moor", "Mr J.R. Ewing", "Prof. D’Arcy"]
+    rows = [(i, f"We met {n}. Then {n.split('. ' if '.' in n[:5] else ' ', 1)[1]} left, with {n.split()[-1]}'s dog.") for i, n in enumerate(names)]
+    rows += [(20, "Mr John Smith and Mrs Anna Smith; John Smith saw Anna and a Smithy. John is not Johnny."), (21, "John Smith alone")]
+    got = {r["doc_id"]: r for r in pii.replace_entities(make(rows), "k").collect()}
+    for i, n in enumerate(names):
+        text = got[i]["text"]
+        for part in re.findall(r"[^\W\d_]{2,}", re.sub(r"^((Mrs|Mr|Dr|Prof|Herr)\.? )+", "", n)):
+            assert part not in text or part == "von", (n, text)
+        surname = re.match(r"We met (?:(?:Mrs|Mr|Dr|Prof|Herr)\.? )+(?:\w+ )?(\w+)\. Then", text)[1]
+        assert text.endswith(f"{surname} left, with {surname}'s dog."), text
+    text = got[20]["text"]
+    given, family = re.match(r"Mr (\w+) (\w+) and Mrs", text).groups()
+    assert f"; {given} {family} saw " in text and text.endswith(f" and a Smithy. {given} is not Johnny.") and "Anna" not in text
+    assert got[20]["n_entities"] == 5 and got[21]["text"] == "John Smith alone"
