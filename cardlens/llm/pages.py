@@ -134,6 +134,8 @@ def labelled(node: Node) -> bool:
     """A form, or one of its class and id values, as a whole, is a label of boilerplate."""
     if node.tag == "form" or node.role == "form":
         return True
+    if not node.names:
+        return False
     if node.tag == "article":
         return bool(node.names & {"comment", "related", "ad", "sponsored"})
     return node.tag not in ("html", "body", "main") and any(v in LABELS or LABELS.issuperset(filter(None, re.split("[-_]+", v))) and v.strip("-_") for v in node.names)
@@ -143,7 +145,7 @@ def boilerplate(node: Node, inside: bool, labels: bool = True) -> bool:
     """Named as such by its tag, role or labels; a heading part inside the content is no page header."""
     if node.tag != "form" and (node.tag in DROPPED or node.role in ROLES - {"form"}) or (node.tag == "header" and not inside):
         return True
-    return labels and not node.kept and labelled(node)
+    return labels and bool(node.names or node.role or node.tag == "form") and not node.kept and labelled(node)
 
 
 def text_of(node: Node, constant: frozenset = frozenset(), inside: bool = True) -> str:
@@ -236,6 +238,7 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int
     Lists with more than EXACT_CELLS pairs of children are aligned as a whole by ``long_pairs``.
     """
     memo: dict[tuple[int, int], tuple[int, int]] = {}
+    tables: dict[tuple[int, int], list] = {}  # by the first children
 
     def size(x: Node, y: Node) -> tuple[int, int]:
         if x.key != y.key:
@@ -255,17 +258,28 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int
         return known
 
     def table(xs: list[Node], ys: list[Node]) -> list[list[tuple[int, int]]]:
+        known = tables.get((id(xs[0]), id(ys[0])))
+        if known is not None:
+            return known
         rows = [[(0, 0)] * (len(ys) + 1)]
+        others = [(y, y.key, not y.children, y.text) for y in ys]
         for x in xs:
-            last, row = rows[-1], [(0, 0)]
-            for j, y in enumerate(ys):
-                best = last[j + 1] if last[j + 1] >= row[j] else row[j]
-                if x.key == y.key:
-                    more, before = size(x, y), last[j]
-                    both = before[0] + more[0], before[1] + more[1]
-                    best = both if both > best else best
+            last, left = rows[-1], (0, 0)
+            row, key, leaf, text = [left], x.key, not x.children, x.text
+            for j, (y, other, other_leaf, other_text) in enumerate(others):
+                best = last[j + 1]
+                if left > best:
+                    best = left
+                if key == other:
+                    more, alike = (1, 1 if text and text == other_text else 0) if leaf or other_leaf else size(x, y)
+                    before = last[j]
+                    both = (before[0] + more, before[1] + alike)
+                    if both > best:
+                        best = both
                 row.append(best)
+                left = best
             rows.append(row)
+        tables[id(xs[0]), id(ys[0])] = rows
         return rows
 
     def trace(x: Node, y: Node) -> None:
@@ -348,10 +362,11 @@ def lengths(node: Node, known: dict[int, int]) -> int:
     return total
 
 
-def spare(root: Node) -> None:
-    """Keep the labelled nodes that hold all the declared content which the page has."""
-    if landmarks(root):
-        return
+def spare(root: Node) -> list[Node]:
+    """Keep the labelled nodes that hold all the declared content which the page has; gives its landmarks."""
+    declared = landmarks(root)
+    if declared:
+        return declared
 
     def walk(n: Node) -> bool:
         holds = False
@@ -364,7 +379,7 @@ def spare(root: Node) -> None:
             holds = holds or below or bool(landmark(c)) and not (c.tag == "article" and labelled(c))
         return holds
 
-    walk(root)
+    return landmarks(root) if walk(root) else []
 
 
 def spare_most(root: Node) -> None:
@@ -427,8 +442,7 @@ def parts_of(root: Node, slot: Node | None, declared: list[Node]) -> list[Node]:
 def extract(source: str, wrapper: str | None) -> str:
     """Main text of one page: the content without the host's template, else the page without boilerplate."""
     root = parse(source)
-    spare(root)
-    declared = landmarks(root)
+    declared = spare(root)
     constant: frozenset[int] = frozenset()
     slot = None
     if wrapper:
