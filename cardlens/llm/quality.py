@@ -1,7 +1,8 @@
 """Quality of texts: random-indexing word vectors, pooled, under a small calibrated network.
 
 Every word, and every word's shape, has a sparse random index vector; its word vector
-is the sum of the index vectors met around it in the sample.  A document is the mean of
+is the sum of the index vectors met around it in all documents; a word outside the
+table has its index vector alone.  A document is the mean of
 its words' vectors with a few measures of the text; a network of two layers, trained
 here in numpy, turns that into a probability, whose temperature is set on texts that
 were not trained on.
@@ -47,16 +48,19 @@ def shape(word: str) -> str:
     return "~" + "".join(k for k, _ in groupby(word))[:8]
 
 
-def index_vector(token: str) -> tuple[np.ndarray, np.ndarray]:
-    """Where a token's index vector is not 0, and its signs there."""
-    bits = xxhash.xxh3_64_intdigest(token, seed=5)
-    places = [(bits >> (8 * i)) % SIZE for i in range(NONZERO)]
-    return np.array(places), np.array([1.0 if bits >> (60 - i) & 1 else -1.0 for i in range(NONZERO)], np.float32)
+def index_rows(tokens: list[str]) -> np.ndarray:
+    """The index vectors of many tokens, as rows."""
+    bits = np.fromiter((xxhash.xxh3_64_intdigest(t, seed=5) for t in tokens), np.uint64, len(tokens))
+    made, row = np.zeros((len(tokens), SIZE), np.float32), np.arange(len(tokens))
+    for i in range(NONZERO):
+        sign = np.where(bits >> np.uint64(60 - i) & np.uint64(1), np.float32(1), np.float32(-1))
+        made[row, (bits >> np.uint64(8 * i)) % np.uint64(SIZE)] += sign
+    return made
 
 
 @dataclass
 class Vectors:
-    """Word vectors of the vocabulary; the last two rows stand for other words and other shapes."""
+    """Word vectors of the vocabulary; the last two rows, of other words and other shapes, are 0: those have their index vectors."""
 
     place: dict[str, int]
     matrix: np.ndarray
@@ -89,6 +93,11 @@ class Vectors:
             times = np.fromiter(seen.values(), np.float32, len(seen)) / n
             rows[i, :SIZE] = times @ self.matrix[ids[:, 0]]
             rows[i, SIZE : 2 * SIZE] = times @ self.matrix[ids[:, 1]]
+            for kind, form in ((0, str.lower), (1, shape)):
+                strange = ids[:, kind] == len(self.place) + kind
+                if strange.any():
+                    own = index_rows([form(w) for w, s in zip(seen, strange) if s])
+                    rows[i, kind * SIZE : (kind + 1) * SIZE] += times[strange] @ own / np.float32(np.sqrt(NONZERO))
             lines = text.split("\n")
             rows[i, 2 * SIZE :] = (
                 np.log1p(n), len(seen) / n, len(text) / n, times.max(), len(set(lines)) / len(lines), times[ids[:, 0] == len(self.place)].sum()
@@ -117,17 +126,91 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
+def forms_of(word: str, memory: dict[str, tuple[str, str]]) -> tuple[str, str]:
+    """Lower case and shape, remembered for words of usual length."""
+    found = memory.get(word)
+    if found is None:
+        found = word.lower(), shape(word)
+        if len(memory) >= MEMORY_WORDS:
+            memory.clear()
+        if len(word) < 60:
+            memory[word] = found
+    return found
+
+
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memory: dict[str, tuple[str, str]] = {}
     for batch in batches:
-        seen: Counter[str] = Counter()
-        for text in batch.column("text").to_pylist():
-            words = set((text or "").split())
-            seen.update({w.lower() for w in words} | {shape(w) for w in words})
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["token", "docs"])
+        texts = batch.column("text")
+        for start, end in slices(pa.compute.utf8_length(texts).to_pylist(), 1 << 24):
+            seen: Counter[str] = Counter()
+            for text in texts.slice(start, end - start).to_pylist():
+                seen.update({form for w in set(text.split()) for form in forms_of(w, memory)})
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["token", "docs"])
+
+
+def add_contexts(total: np.ndarray, texts: list[str], known: Vectors) -> None:
+    """Add to every table row the index vectors of words and shapes within REACH of its places in these texts."""
+    local: dict[str, int] = {}
+    runs = []
+    gap = [-1] * REACH
+    for text in texts:
+        runs += [local.setdefault(w, len(local)) for w in text.split()]
+        runs += gap
+    if not local:
+        return
+    places, words = np.array(runs), list(local)
+    rows = np.zeros((len(words) + 1, SIZE), np.float32)  # the last one is the gap's
+    rows[:-1] = index_rows([w.lower() for w in words]) + index_rows([shape(w) for w in words])
+    both = rows[places]
+    around = np.zeros_like(both)
+    for step in range(1, min(REACH, len(places) - 1) + 1):
+        around[step:] += both[:-step]
+        around[:-step] += both[step:]
+    order = np.argsort(places, kind="stable")
+    starts = np.flatnonzero(np.diff(places[order], prepend=-2))
+    sums = np.add.reduceat(around[order], starts, axis=0)
+    met = places[order][starts]
+    sums = sums[met >= 0]
+    ids = np.array([known.tokens(words[i]) for i in met[met >= 0]])
+    for kind in (0, 1):
+        np.add.at(total, ids[:, kind], sums.astype(np.int64))
+
+
+def word_vectors(docs: DataFrame) -> Vectors:
+    """Document frequencies and contexts over all documents; the table holds the most frequent tokens."""
+    spark = docs.sparkSession
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    counted = texts.mapInArrow(count_words, "token string, docs bigint")
+    common = counted.groupBy("token").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= MIN_DOCS)
+    rows = common.orderBy(F.desc("docs"), "token").limit(VOCABULARY).collect()
+    place = {r["token"]: i for i, r in enumerate(rows)}
+    shared = spark.sparkContext.broadcast(place)
+    names = [f"v{i}" for i in range(SIZE)]
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Vectors(shared.value, np.zeros((0, SIZE), np.float32))
+        total = np.zeros((len(known.place) + 2, SIZE), np.int64)
+        for batch in batches:
+            column = batch.column("text")
+            for start, end in slices(pa.compute.utf8_length(column).to_pylist()):
+                add_contexts(total, column.slice(start, end - start).to_pylist(), known)
+        met = np.flatnonzero(total[:-2].any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), *[pa.array(total[met, i], pa.int64()) for i in range(SIZE)]], ["id", *names])
+
+    # whole numbers, so that the sums do not depend on the order of tasks
+    parts = texts.mapInArrow(neighbours, "id bigint, " + ", ".join(f"{n} bigint" for n in names))
+    matrix = np.zeros((len(place) + 2, SIZE), np.float32)
+    for row in parts.groupBy("id").agg(*[F.sum(n).alias(n) for n in names]).collect():
+        matrix[row[0]] = row[1:]
+    if place:  # a token's own index vector tells tokens with like neighbours apart
+        matrix[:-2] /= np.maximum(1e-6, np.linalg.norm(matrix[:-2], axis=1, keepdims=True))
+        matrix[:-2] += index_rows(list(place)) / np.float32(np.sqrt(NONZERO))
+    return Vectors(place, matrix)
 
 
 def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample_docs: int = SAMPLE_DOCS, learn_from: Column | None = None) -> Classifier:
-    """Fit on about ``sample_docs`` whole labelled documents."""
+    """Word vectors of all documents; the network is fit on about ``sample_docs`` whole labelled ones."""
     spark = docs.sparkSession
     learn_from = ~held_out(F.col("doc_id")) if learn_from is None else learn_from
     even = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
@@ -139,46 +222,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample_do
     # about sample_docs rows of two numbers
     sample = snapshot(texts.join(F.broadcast(chosen), "doc_id").withColumn("validates", even(22) < VALIDATION_SHARE).repartition(SAMPLE_PARTITIONS))
 
-    counted = sample.filter("NOT validates").select("text").mapInArrow(count_words, "token string, docs bigint")
-    common = counted.groupBy("token").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= MIN_DOCS)
-    rows = common.orderBy(F.desc("docs"), "token").limit(VOCABULARY).collect()
-    place = {r["token"]: i for i, r in enumerate(rows)}
-    shared = spark.sparkContext.broadcast(place)
-
-    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        index = np.zeros((len(known) + 2, SIZE), np.float32)
-        for token, i in known.items():
-            where, sign = index_vector(token)
-            np.add.at(index[i], where, sign)
-        total = np.zeros_like(index)
-        empty = Vectors(known, index)
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                words = text.split()
-                if len(words) < 2:
-                    continue
-                ids = np.array([empty.tokens(w) for w in words])
-                around = np.zeros((len(words), SIZE), np.float32)
-                both = index[ids[:, 0]] + index[ids[:, 1]]
-                for step in range(1, min(REACH, len(words) - 1) + 1):
-                    around[step:] += both[:-step]
-                    around[:-step] += both[step:]
-                np.add.at(total, ids[:, 0], around)
-                np.add.at(total, ids[:, 1], around)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
-
-    sums = sample.filter("NOT validates").select("text").coalesce(SAMPLE_PARTITIONS).mapInArrow(neighbours, "total binary").collect()
-    matrix = np.zeros((len(place) + 2, SIZE), np.float32)
-    for row in sums:
-        matrix += np.frombuffer(row["total"], np.float32).reshape(matrix.shape)
-    for token, i in place.items():  # a token's own index vector tells tokens with like neighbours apart
-        where, sign = index_vector(token)
-        matrix[i] /= max(1e-6, float(np.linalg.norm(matrix[i])))
-        np.add.at(matrix[i], where, sign / np.sqrt(NONZERO))
-    for i in (-1, -2):
-        matrix[i] /= max(1e-6, float(np.linalg.norm(matrix[i])))
-    vectors = Vectors(place, matrix)
+    vectors = word_vectors(docs)
     held = spark.sparkContext.broadcast(vectors)
 
     def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -423,3 +423,15 @@ def test_whole_names_and_their_mentions(make):
     given, family = re.match(r"Mr (\w+) (\w+) and Mrs", text).groups()
     assert f"; {given} {family} saw " in text and text.endswith(f" and a Smithy. {given} is not Johnny.") and "Anna" not in text
     assert got[20]["n_entities"] == 5 and got[21]["text"] == "John Smith alone"
+
+
+def test_word_vectors_cover_all_documents(make):
+    docs = make([(i, "common words here") for i in range(40)] + [(100 + i, "rare tongue speaks") for i in range(4)])
+    labels = make([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    vectors = quality.train(docs, labels).vectors
+    assert {"common", "words", "here", "rare", "tongue", "speaks"} <= set(vectors.place)
+    own = lambda t: quality.index_rows([t])[0]
+    want = sum(own(t) for t in ("tongue", "speaks")) + 2 * own("~a")
+    assert np.allclose(vectors.matrix[vectors.place["rare"]], want / np.linalg.norm(want) + own("rare") / 2, atol=1e-5)
+    one, two = vectors.features(["unmet", "unseen"])
+    assert not np.allclose(one[: quality.SIZE], two[: quality.SIZE])
