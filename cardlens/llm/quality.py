@@ -18,6 +18,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (a worker may not have met it)
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
