@@ -14,6 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -39,14 +40,29 @@ VALIDATION_SHARE = 0.2
 MEMORY_WORDS = 300_000
 SAMPLE_PARTITIONS = 4
 
-_kinds = [(re.compile(r"[^\W\d_]+"), lambda m: "".join(k for k, _ in groupby("A" if c.isupper() else "a" for c in m[0]))), (re.compile(r"\d+"), lambda m: "0")]
+
+class _Kinds(dict):
+    """Characters' kinds, found as they are met: letters by case, digits as 0, others as they are."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        kind = "0" if _digit.match(c) else ("A" if c.isupper() else "a") if _letter.match(c) else c
+        self[code] = kind
+        return kind
+
+
+_digit, _letter = re.compile(r"\d"), re.compile(r"[^\W\d_]")
+_kinds = _Kinds()
+
+
+@lru_cache(1 << 16)
+def _without_runs(kinds: str) -> str:
+    return "~" + "".join(k for k, _ in groupby(kinds))[:8]
 
 
 def shape(word: str) -> str:
     """What a word looks like: letters by case, digits as 0, runs as one sign, at most eight of them."""
-    for pattern, form in _kinds:
-        word = pattern.sub(form, word)
-    return "~" + "".join(k for k, _ in groupby(word))[:8]
+    return _without_runs(word.translate(_kinds))
 
 
 def index_rows(tokens: list[str]) -> np.ndarray:
@@ -162,7 +178,9 @@ def add_contexts(total: np.ndarray, texts: list[str], known: Vectors) -> None:
         return
     places, words = np.array(runs), list(local)
     rows = np.zeros((len(words) + 1, SIZE), np.float32)  # the last one is the gap's
-    rows[:-1] = index_rows([w.lower() for w in words]) + index_rows([shape(w) for w in words])
+    shapes: dict[str, int] = {}
+    shaped = [shapes.setdefault(shape(w), len(shapes)) for w in words]
+    rows[:-1] = index_rows([w.lower() for w in words]) + index_rows(list(shapes))[shaped]
     both = rows[places]
     around = np.zeros_like(both)
     for step in range(1, min(REACH, len(places) - 1) + 1):
