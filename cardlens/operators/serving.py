@@ -139,8 +139,11 @@ def detection_series(alerts: DataFrame, step: str = "5 minutes", points: int = S
     gap = F.expr(f"INTERVAL {step}")
     last = alerts.agg(F.max(F.window("trans_time", step)["start"]).alias("last"))
     first_start = last.select(F.col("last") - gap * F.lit(points - 1)).scalar()
+    recent = F.col("trans_time") >= first_start
+    if "trans_day" in alerts.columns:  # the stored table's folders: older days are not read
+        recent &= F.col("trans_day") >= F.date_format(first_start, DATE_FORMAT)
     counted = (
-        alerts.where((F.col("trans_time") >= first_start) & (F.col("trans_day") >= F.date_format(first_start, DATE_FORMAT)))
+        alerts.where(recent)
         .groupBy(F.window("trans_time", step)["start"].alias("window_start"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
