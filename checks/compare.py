@@ -11,7 +11,7 @@ import time
 
 import duckdb
 import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.oracle import ORACLE
 from checks.queries import QUERIES
@@ -29,8 +29,14 @@ def oracle_frame(sf_dir: str, sql: str) -> pd.DataFrame:
     return connection.execute(sql).df()
 
 
+def spark_frame(df: DataFrame) -> pd.DataFrame:
+    """The rows of ``df``; whole numbers stay whole where some are null."""
+    frame = df.toPandas()
+    return frame.astype({name: "Int64" for name, kind in df.dtypes if kind in ("bigint", "int") and frame[name].isna().any()})
+
+
 def _cell(value):
-    if value is None or value is pd.NaT or value != value:
+    if value is None or value is pd.NA or value is pd.NaT or value != value:
         return None
     if isinstance(value, pd.Timestamp):
         return value.isoformat()
@@ -83,7 +89,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     for name in names or QUERIES:
         start = time.time()
         try:
-            actual = QUERIES[name](spark, sf_dir).toPandas()
+            actual = spark_frame(QUERIES[name](spark, sf_dir))
             took = time.time() - start
             problem = differences(actual, oracle_frame(sf_dir, ORACLE[name])) if name in ORACLE else None
             note = "rows only" if name not in ORACLE else "equal"
