@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cardlens.llm import bpe, exact, langid, mixing, neardup, pages, pii, quality, repeats, topk
 from cardlens.llm.common import held_out
 from cardlens.llm.queries import ORACLE, QUERIES, vocabulary_path
-from checks.compare import differences, oracle_frame
+from checks.compare import differences, oracle_frame, spark_frame
 
 SMALL = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -94,7 +94,7 @@ def without_repeats(texts):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_equal_their_sql(workers, name):
-    assert differences(QUERIES[name](workers, SMALL).toPandas(), oracle_frame(SMALL, ORACLE[name])) is None
+    assert differences(spark_frame(QUERIES[name](workers, SMALL)), oracle_frame(SMALL, ORACLE[name])) is None
 
 
 def test_empty_tables(make):
