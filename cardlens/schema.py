@@ -147,4 +147,14 @@ TRANSACTION = KeyedTable(
     newest=("trans_date_trans_time", "cc_num", "amt", "merchant"),
     partition="key_bucket",
 )
+# what training needs of a cardholder, from ``valid_from`` until the card's next row
+CARDHOLDER_DETAILS = ("gender", "lat", "long", "city_pop", "dob")
+CARDHOLDER = KeyedTable(
+    name="cardholder",
+    fields={"cc_num": STRING, "valid_from": TIMESTAMP, **{name: TRANSACTION_FIELDS[name] for name in CARDHOLDER_DETAILS}},
+    key=("cc_num", "valid_from"),
+    newest=CARDHOLDER_DETAILS,
+    partition="valid_day",
+    time="valid_from",
+)
 KEYED_TABLES = {t.name: t for t in (CUSTOMER, FRAUD_TRANSACTION, NON_FRAUD_TRANSACTION, FRAUD_ALERT)}

@@ -47,6 +47,26 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files directly below a folder; none where there is no such folder."""
+    files, target = _file_system(spark, path)
+    return [str(status.getPath()) for status in files.listStatus(target)] if files.exists(target) else []
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file up as a whole: it is written under another name and renamed; False if the name is taken."""
+    files, target = _file_system(spark, path)
+    if files.exists(target):
+        return False
+    _, draft = _file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    out = files.create(draft, False)
+    try:
+        out.write(text.encode("utf-8"))
+    finally:
+        out.close()
+    return files.rename(draft, target)
+
+
 def snapshot(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet and read it back: one computation, short lineage.
 

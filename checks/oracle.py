@@ -371,6 +371,31 @@ ORACLE = {
     ),
     "snapshot_rows": with_("SELECT * FROM transactions", tx("trans_num", "cc_num", "amt")),
     "keyed_upsert": upserted(),
+    "import_rows": with_(
+        "SELECT name, cc_num, trans_num, trans_time, merchant, amt FROM (SELECT *, row_number() OVER (PARTITION BY name, cc_num, trans_time ORDER BY nth DESC, trans_num DESC) AS last"
+        " FROM (SELECT CASE WHEN is_fraud=1 THEN 'fraud_transaction' ELSE 'non_fraud_transaction' END AS name, * FROM w) h) t WHERE last=1"
+        " UNION ALL SELECT 'transactions', cc_num, trans_num, trans_time, merchant, amt FROM"
+        " (SELECT *, row_number() OVER (PARTITION BY trans_num ORDER BY nth DESC) AS last FROM w) t WHERE last=1",
+        tx("cc_num", "trans_date_trans_time", "trans_num", "merchant", "amt", "is_fraud"),
+        "w AS (SELECT CAST(cc_num AS VARCHAR) AS cc_num, trans_num, trans_date_trans_time AS trans_time, 'stale' AS merchant, amt, is_fraud, 1 AS nth FROM transactions WHERE amt<=60000"
+        " UNION ALL SELECT CAST(cc_num AS VARCHAR), trans_num, trans_date_trans_time, merchant, amt, is_fraud, 2 FROM transactions WHERE amt>30000)",
+    ),
+    "log_structured_upserts": with_(
+        "SELECT trans_num, CAST(cc_num AS VARCHAR) AS cc_num, CASE WHEN amt>60000 THEN merchant WHEN amt>30000 THEN 'second' ELSE 'first' END AS merchant, amt, zip, is_fraud FROM transactions",
+        tx("trans_num", "cc_num", "merchant", "amt", "zip", "is_fraud"),
+    ),
+    "log_structured_versions": with_(
+        "SELECT 1 AS version, trans_num, 'stale' AS merchant FROM transactions WHERE amt<=60000"
+        " UNION ALL SELECT 2, trans_num, CASE WHEN amt>30000 THEN merchant ELSE 'stale' END FROM transactions",
+        tx("trans_num", "merchant", "amt"),
+    ),
+    "keyed_training_features": with_(
+        "SELECT trans_num, category, gender, amt, CAST(year(DATE'" + AS_OF + "')-year(dob) AS DOUBLE) AS age,"
+        " CAST(hour(trans_date_trans_time) AS DOUBLE) AS trans_hour, CAST(city_pop AS DOUBLE) AS city_pop, lat, long,"
+        f" CAST(is_fraud AS DOUBLE) AS label, {rounded(DEGREES, 6)} AS distance FROM (SELECT *,"
+        " row_number() OVER (PARTITION BY is_fraud, cc_num, trans_date_trans_time ORDER BY trans_num DESC) AS last FROM transactions) t WHERE last=1",
+        tx("trans_num", "cc_num", "trans_date_trans_time", "category", "gender", "dob", "is_fraud", "amt", "city_pop", "lat", "long", "merch_lat", "merch_long"),
+    ),
     "import_tables": with_(
         "SELECT 'customer' AS name, count(DISTINCT cc_num) AS n FROM transactions"
         " UNION ALL SELECT 'fraud_transaction', count(*) FROM (SELECT DISTINCT cc_num, trans_date_trans_time FROM transactions WHERE is_fraud=1) f"

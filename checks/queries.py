@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from cardlens import functions as fn
 from cardlens.operators import analytics, evaluation, features, keyed, quality, sampling, scoring, serving
-from cardlens.plans.import_batch import TRANSACTIONS, import_transactions
-from cardlens.plans.train import Training, train
-from cardlens.schema import CUSTOMER, CUSTOMER_COLUMNS, FRAUD_TRANSACTION, INT, NON_FRAUD_TRANSACTION, struct_of
+from cardlens.plans.import_batch import import_transactions
+from cardlens.plans.train import Training, keyed_transactions, train
+from cardlens.schema import CUSTOMER, CUSTOMER_COLUMNS, FRAUD_TRANSACTION, INT, NON_FRAUD_TRANSACTION, TRANSACTION, struct_of
 from cardlens.sinks.files import write_parquet
 from cardlens.sinks.keyed import upsert_keyed
 from cardlens.sinks.messages import write_message_files
+from cardlens.sinks.segments import SegmentTable, read_segments
 from cardlens.sources.fallback import first_available
 from cardlens.sources.files import read_snapshot, read_transactions_csv, register
 from cardlens.sources.keyed import read_keyed
@@ -549,9 +550,59 @@ def import_tables(spark, sf_dir):
         read_keyed(spark, t, root).agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit(t.name))
         for t in (CUSTOMER, fraud, non_fraud)
     ]
-    full = read_snapshot(spark, f"{root}/{TRANSACTIONS}").agg(F.count(F.lit(1)).alias("n"))
+    full = read_segments(spark, TRANSACTION, root).agg(F.count(F.lit(1)).alias("n"))
     observed = full.select(F.lit(seen.total).cast("bigint").alias("n"), F.lit("observed").alias("name"))
-    return keyed.union_all(*counted, full.withColumn("name", F.lit(TRANSACTIONS)), observed)
+    return keyed.union_all(*counted, full.withColumn("name", F.lit(TRANSACTION.name)), observed)
+
+
+@query
+def import_rows(spark, sf_dir):
+    """The rows of every table that two overlapping imports write."""
+    root = scratch_path(spark, "import")
+    full, fraud, non_fraud = transactions(spark, sf_dir), FRAUD_TRANSACTION.monthly(), NON_FRAUD_TRANSACTION.monthly()
+    import_transactions(full.where("amt <= 60000").withColumn("merchant", F.lit("stale")), root, AS_OF, fraud, non_fraud)
+    import_transactions(full.where("amt > 30000"), root, AS_OF, fraud, non_fraud)
+    history = [read_keyed(spark, t, root).select(F.lit(t.name).alias("name"), "cc_num", "trans_num", "trans_time", "merchant", "amt") for t in (fraud, non_fraud)]
+    stored = features.with_trans_time(read_segments(spark, TRANSACTION, root))
+    whole = stored.select(F.lit(TRANSACTION.name).alias("name"), "cc_num", "trans_num", "trans_time", "merchant", "amt")
+    return untimed(keyed.union_all(*history, whole))
+
+
+@query
+def log_structured_upserts(spark, sf_dir):
+    """Three overlapping upserts of the full record and a merge of all segments: the last write of every key."""
+    root = scratch_path(spark, "segments")
+    rows = transactions(spark, sf_dir)
+    stored = SegmentTable(spark, TRANSACTION, root)
+    stored.upsert(rows.withColumn("merchant", F.lit("first")))
+    stored.upsert(rows.where("amt > 30000").withColumn("merchant", F.lit("second")))
+    stored.upsert(rows.where("amt > 60000"))
+    stored.compact(everything=True)
+    return stored.read().select("trans_num", "cc_num", "merchant", "amt", "zip", "is_fraud")
+
+
+@query
+def log_structured_versions(spark, sf_dir):
+    """The table as of each of its first two versions, read after the third was written."""
+    root = scratch_path(spark, "segments")
+    rows = transactions(spark, sf_dir)
+    stored = SegmentTable(spark, TRANSACTION, root)
+    stored.upsert(rows.where("amt <= 60000").withColumn("merchant", F.lit("stale")))
+    stored.upsert(rows.where("amt > 30000"))
+    stored.compact(everything=True)
+    return keyed.union_all(*[stored.read(v).select(F.lit(v).alias("version"), "trans_num", "merchant") for v in (1, 2)])
+
+
+@query
+def keyed_training_features(spark, sf_dir):
+    """The features of training from the keyed tables: history joined with the cardholder as of its time."""
+    root = scratch_path(spark, "import")
+    import_transactions(transactions(spark, sf_dir), root, AS_OF, FRAUD_TRANSACTION.monthly(), NON_FRAUD_TRANSACTION.monthly())
+    made = features.model_features(keyed_transactions(spark, root), AS_OF)
+    return made.select(
+        "trans_num", "category", "gender", "amt", "age", "trans_hour", "city_pop", "lat", "long", "label",
+        fn.round_half_up(F.col("distance"), 6).alias("distance"),
+    )
 
 
 # ---- streams

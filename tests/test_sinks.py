@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from cardlens.operators.features import enrich, fraud_rows, history_rows
 from cardlens.plans.import_batch import import_transactions
-from cardlens.schema import CUSTOMER, FRAUD_TRANSACTION, NON_FRAUD_TRANSACTION
+from cardlens.schema import CUSTOMER, FRAUD_TRANSACTION, NON_FRAUD_TRANSACTION, TRANSACTION
 from cardlens.sinks.files import write_parquet, write_store, write_with_fallback
 from cardlens.sinks.keyed import upsert_keyed
+from cardlens.sinks.segments import read_segments
 from cardlens.sinks.report import training_report
 from cardlens.sources.keyed import read_keyed
 from cardlens.workspace import shared_dir, snapshot
@@ -187,7 +188,7 @@ def test_two_imports_accumulate(spark, tmp_path):
     second = rows.where("pmod(hash(trans_num), 2) = 1 OR pmod(hash(trans_num), 4) = 0")
     import_transactions(first, root, "2020-06-21", fraud, normal)
     import_transactions(second, root, "2020-06-21", fraud, normal)
-    stored_rows = spark.read.parquet(f"{root}/transactions")
+    stored_rows = read_segments(spark, TRANSACTION, root)
     assert stored_rows.count() == 6000 and stored_rows.select("trans_num").distinct().count() == 6000
 
 
@@ -199,4 +200,4 @@ def test_rows_without_key_are_set_apart(spark, tmp_path):
     seen = import_transactions(dirty, root, "2020-06-21", fraud, normal)
     expected = rows.where(bad).count()
     assert seen.quarantined == expected == spark.read.parquet(f"{root}/quarantine").count() > 0
-    assert seen.total == 6000 == expected + spark.read.parquet(f"{root}/transactions").count()
+    assert seen.total == 6000 == expected + read_segments(spark, TRANSACTION, root).count()
