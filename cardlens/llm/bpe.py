@@ -24,10 +24,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.llm.common import slices
+from cardlens.llm.common import RangeHash, slices
 
 SHORT_WORD = 96
-MEMORY_WORDS = 300_000
+# what the words remembered by one worker may take, and about what an entry takes besides its text and ids
+MEMORY_BYTES = 48 << 20
+ENTRY_BYTES = 180
 # white space in the sense of Unicode, spelled out: Python's own \s also holds four separators that Rust's lacks
 WHITE = "\t-\r \x85\xa0  -     　"
 # the word pattern of this vocabulary (fixed value)
@@ -57,40 +59,41 @@ class Tokenizer:
         spec = json.loads(definition)
         model = spec["model"]
         byte_of = visible_bytes()
-        self.ids = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items()}
+        ids = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = 1 + max([*self.ids.values(), *self.special.values()])
+        size = 1 + max([*ids.values(), *self.special.values()])
         self.bytes_of: list[bytes] = [b""] * size
-        for token, i in self.ids.items():
+        for token, i in ids.items():
             self.bytes_of[i] = token
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode()
-        self.rank: dict[tuple[int, int], int] = {}
+        rank: dict[int, int] = {}
         made = []
         for place, merge in enumerate(model["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             a, b = (bytes(byte_of[c] for c in part) for part in (left, right))
-            self.rank.setdefault((self.ids[a], self.ids[b]), place)
-            made.append(self.ids[a + b])
+            rank.setdefault(ids[a] << 32 | ids[b], place)
+            made.append(ids[a + b])
         self.made = np.array(made, np.int32)
-        self.single = [self.ids[bytes([b])] for b in range(256)]
+        self.single = [ids[bytes([b])] for b in range(256)]
         self.single_ids = np.array(self.single, np.int32)
         # the pairs in order, with a last one that nothing equals
-        pairs = sorted((a << 32 | b, place) for (a, b), place in self.rank.items())
+        pairs = sorted(rank.items())
         self.pairs = np.array([p for p, _ in pairs] + [2**62], np.int64)
         self.pair_ranks = np.array([r for _, r in pairs] + [NO_RANK], np.int32)
         self.byte_ranks = self._ranks(np.repeat(self.single_ids, 256), np.tile(self.single_ids, 256)).reshape(256, 256)
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.memory: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.remembered = 0
 
-    def merge(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """The parts of every word; short words of like length are merged side by side."""
-        made: list[tuple[int, ...]] = [()] * len(words)
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """The ids of every word, four bytes each; short words of like length are merged side by side."""
+        made = [b""] * len(words)
         rows: dict[int, list[int]] = {}
         for i, word in enumerate(words):
             if len(word) > SHORT_WORD:
-                made[i] = tuple(self._merge_heap([self.single[b] for b in word]))
+                made[i] = np.array(self._merge_heap([self.single[b] for b in word]), np.uint32).tobytes()
             elif word:
                 rows.setdefault(next(w for w in WIDTHS if len(word) <= w), []).append(i)
         for width, own in rows.items():
@@ -105,7 +108,7 @@ class Tokenizer:
         place = np.searchsorted(self.pairs, pair)
         return np.where(self.pairs[place] == pair, self.pair_ranks[place], NO_RANK)
 
-    def _merge_arrays(self, words: list[bytes], width: int) -> Iterator[tuple[int, ...]]:
+    def _merge_arrays(self, words: list[bytes], width: int) -> Iterator[bytes]:
         """One row per word: its parts, and the rank of every adjacent pair, side by side.
 
         Each round scans every row for its lowest rank, deletes that boundary, and looks the two neighbouring
@@ -141,20 +144,25 @@ class Tokenizer:
             ranks[some, at[some]] = self._ranks(parts[some, at[some]], parts[some, at[some] + 1])
             some = np.flatnonzero(at + 1 >= left[rows])
             ranks[some, at[some]] = NO_RANK
-        for row, size in zip(done_parts.tolist(), left.tolist()):
-            yield tuple(row[:size])
+        raw, step = done_parts.astype(np.uint32).tobytes(), 4 * width
+        for row, size in enumerate(left.tolist()):
+            yield raw[row * step : row * step + 4 * size]
 
     def _merge_heap(self, parts: list[int]) -> list[int]:
-        known, n = self.rank, len(parts)
+        n = len(parts)
+        at = np.array(parts, np.int64)
+        first_ranks = self._ranks(at[:-1], at[1:]).tolist()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple[int, int, int, int]] = []
+        def known(left: int, right: int) -> int:
+            place = int(np.searchsorted(self.pairs, left << 32 | right))
+            return int(self.pair_ranks[place]) if self.pairs[place] == left << 32 | right else NO_RANK
 
         def offer(i: int) -> None:
-            if i >= 0 and after[i] < n and (best := known.get((parts[i], parts[after[i]]))) is not None:
+            if i >= 0 and after[i] < n and (best := known(parts[i], parts[after[i]])) != NO_RANK:
                 heapq.heappush(heap, (best, i, parts[i], parts[after[i]]))
 
-        for i in range(n - 1):
-            offer(i)
+        heap = [(best, i, parts[i], parts[i + 1]) for i, best in enumerate(first_ranks) if best != NO_RANK]
+        heapq.heapify(heap)
         while heap:
             best, i, left, right = heapq.heappop(heap)
             j = after[i]
@@ -168,7 +176,7 @@ class Tokenizer:
             offer(i)
         return [p for p in parts if p >= 0]
 
-    def _learn(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
         """Ids of pieces not met lately; the short ones are remembered, in two generations of bounded size."""
         older, ids, split, words = self.older.get, {}, {}, {}
         for text in pieces:
@@ -183,26 +191,33 @@ class Tokenizer:
         fresh = [word for word, found in words.items() if found is None]
         words.update(zip(fresh, self.merge([word.encode("utf-8") for word in fresh])))
         for text, own in split.items():
-            ids[text] = words[own[0]] if len(own) == 1 else tuple(chain.from_iterable(map(words.__getitem__, own)))
-        if len(self.memory) + len(ids) + len(fresh) > MEMORY_WORDS:
-            self.older, self.memory = self.memory, {}
+            ids[text] = words[own[0]] if len(own) == 1 else b"".join(map(words.__getitem__, own))
         for source in (words, ids):
-            self.memory.update((text, found) for text, found in source.items() if len(text) <= SHORT_WORD)
+            for text, found in source.items():
+                if len(text) <= SHORT_WORD and text not in self.memory:
+                    self._remember(text, found)
         return ids
 
+    def _remember(self, text: str, found: bytes) -> None:
+        """Half of the memory is the younger generation; when it is full it becomes the older one, and the older is dropped."""
+        self.remembered += ENTRY_BYTES + 2 * len(text) + len(found)
+        if self.remembered > MEMORY_BYTES // 2:
+            self.older, self.memory, self.remembered = self.memory, {}, 0
+        self.memory[text] = found
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; special strings inside it are their special ids."""
         sections = [self.special_split.split(text) if self.special_split else [text] for text in texts]
         pieces = [[[s] if s in self.special else PIECES.findall(s) for s in own] for own in sections]
         found = [list(map(self.memory.get, chain.from_iterable(own))) for own in pieces]
         unknown = {p for own, ids in zip(pieces, found) if None in ids for p, i in zip(chain.from_iterable(own), ids) if i is None}
-        special = {text: (i,) for text, i in self.special.items()}
+        special = {text: np.uint32(i).tobytes() for text, i in self.special.items()}
         learned = self._learn(unknown - special.keys()) | special if unknown else {}
         made = []
         for own, ids in zip(pieces, found):
             if None in ids:
                 ids = [learned[p] if i is None else i for p, i in zip(chain.from_iterable(own), ids)]
-            made.append(np.fromiter(chain.from_iterable(ids), np.uint32))
+            made.append(np.frombuffer(b"".join(ids), np.uint32))
         return made
 
     def decode(self, ids: np.ndarray) -> str:
@@ -241,8 +256,17 @@ def encode_documents(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        RangeHash.forget()  # of an earlier stage in this worker
         encoder = tokenizer(name)
-        gc.disable()  # millions of small tuples, none in a cycle
+        collecting = gc.isenabled()
+        gc.disable()  # millions of small objects, none in a cycle
+        try:
+            yield from encoded(encoder, batches)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def encoded(encoder: Tokenizer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
             for start, end in slices(pa.compute.binary_length(texts).to_pylist()):

@@ -82,6 +82,11 @@ class RangeHash:
         self.sums = np.zeros(len(symbols) + 1, np.uint64)
         np.cumsum(terms, out=self.sums[1:])
 
+    @classmethod
+    def forget(cls) -> None:
+        """Give back the tables that a worker keeps between tasks."""
+        cls._powers.clear()
+
     @classmethod
     def _tables(cls, base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
         have = cls._powers.get(base)
