@@ -11,17 +11,16 @@ were not trained on.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (a worker may not have met it)
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from cardlens.llm.common import held_out, slices
@@ -37,7 +36,10 @@ REACH = 2
 HIDDEN = 32
 EPOCHS = 60
 VALIDATION_SHARE = 0.2
-MEMORY_WORDS = 300_000
+# characters whose words are counted together; pairs of text and word, and places, whose vectors are held at once
+COUNTED_AT_ONCE = 1 << 22
+PAIRS_AT_ONCE = 1 << 17
+PLACES_AT_ONCE = 1 << 14
 SAMPLE_PARTITIONS = 4
 
 
@@ -65,6 +67,36 @@ def shape(word: str) -> str:
     return _without_runs(word.translate(_kinds))
 
 
+# the commonest looks of a word, told by pattern; any other word is looked at by itself
+PLAIN_SHAPES = {r"^\p{Ll}+$": "~a", r"^\p{Ll}+[.]$": "~a.", r"^\p{Ll}+,$": "~a,", r"^\p{Lu}\p{Ll}+$": "~Aa"}
+
+
+def shapes(words: pa.Array) -> pa.Array:
+    """``shape`` of every word."""
+    made = np.full(len(words), None, object)
+    for pattern, form in PLAIN_SHAPES.items():
+        made[pc.match_substring_regex(words, pattern).to_numpy(zero_copy_only=False)] = form
+    other = np.flatnonzero(np.equal(made, None))
+    made[other] = [shape(w) for w in words.take(pa.array(other)).to_pylist()]
+    return pa.array(made, pa.string())
+
+
+class Words:
+    """The words of some texts: number of the text and of the word at every place, each different word once, and its two forms."""
+
+    def __init__(self, texts: pa.Array):
+        split = pc.utf8_split_whitespace(texts)
+        text, words = pc.list_parent_indices(split), pc.list_flatten(split)
+        real = pc.greater(pc.binary_length(words), 0)  # a blank at an end of the text leaves an empty word
+        self.text = text.filter(real).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = words.filter(real).dictionary_encode()
+        self.code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        forms = [pc.utf8_lower(coded.dictionary), shapes(coded.dictionary)]
+        encoded = [form.dictionary_encode() for form in forms]
+        # per form: the different ones, and the number of each word's own
+        self.forms = [(e.dictionary, e.indices.to_numpy(zero_copy_only=False).astype(np.int64)) for e in encoded]
+
+
 def index_rows(tokens: list[str]) -> np.ndarray:
     """The index vectors of many tokens, as rows."""
     bits = np.fromiter((xxhash.xxh3_64_intdigest(t, seed=5) for t in tokens), np.uint64, len(tokens))
@@ -79,46 +111,52 @@ def index_rows(tokens: list[str]) -> np.ndarray:
 class Vectors:
     """Word vectors of the vocabulary; the last two rows, of other words and other shapes, are 0: those have their index vectors."""
 
-    place: dict[str, int]
+    vocabulary: pa.Array
     matrix: np.ndarray
-    memory: dict[str, tuple[int, int]] = field(default_factory=dict)
-
-    def __getstate__(self):
-        return {"place": self.place, "matrix": self.matrix, "memory": {}}
-
-    def tokens(self, word: str) -> tuple[int, int]:
-        found = self.memory.get(word)
-        if found is None:
-            other = len(self.place)
-            found = self.place.get(word.lower(), other), self.place.get(shape(word), other + 1)
-            if len(self.memory) >= MEMORY_WORDS:
-                self.memory.clear()
-            if len(word) < 60:
-                self.memory[word] = found
-        return found
-
-    def features(self, texts: list[str]) -> np.ndarray:
+
+    def places(self, forms: pa.Array, kind: int) -> np.ndarray:
+        """Row of each form in the table; that of the others for a form outside it."""
+        found = pc.index_in(forms, value_set=self.vocabulary)
+        return pc.fill_null(found, len(self.vocabulary) + kind).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def rows_of(self, forms: pa.Array, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """A vector for every form, and whether it is outside the table."""
+        place = self.places(forms, kind)
+        strange = place == len(self.vocabulary) + kind
+        made = self.matrix[place]
+        made[strange] = index_rows(forms.filter(pa.array(strange)).to_pylist()) / np.float32(np.sqrt(NONZERO))
+        return made, strange
+
+    def features(self, texts: pa.Array) -> np.ndarray:
         """One row per text: means of word and shape vectors, and measures of the text."""
-        rows = np.zeros((len(texts), 2 * SIZE + 6), np.float32)
-        for i, text in enumerate(texts):
-            words = text.split()
-            n = len(words)
-            if not n:
-                continue
-            seen = Counter(words)
-            ids = np.array([self.tokens(w) for w in seen])
-            times = np.fromiter(seen.values(), np.float32, len(seen)) / n
-            rows[i, :SIZE] = times @ self.matrix[ids[:, 0]]
-            rows[i, SIZE : 2 * SIZE] = times @ self.matrix[ids[:, 1]]
-            for kind, form in ((0, str.lower), (1, shape)):
-                strange = ids[:, kind] == len(self.place) + kind
-                if strange.any():
-                    own = index_rows([form(w) for w, s in zip(seen, strange) if s])
-                    rows[i, kind * SIZE : (kind + 1) * SIZE] += times[strange] @ own / np.float32(np.sqrt(NONZERO))
-            lines = text.split("\n")
-            rows[i, 2 * SIZE :] = (
-                np.log1p(n), len(seen) / n, len(text) / n, times.max(), len(set(lines)) / len(lines), times[ids[:, 0] == len(self.place)].sum()
-            )
+        words, rows = Words(texts), np.zeros((len(texts), 2 * SIZE + 6), np.float32)
+        if not len(words.code):
+            return rows
+        pair, times = np.unique(words.text << 32 | words.code, return_counts=True)
+        text, code = pair >> 32, pair & 0xFFFFFFFF
+        first = np.flatnonzero(np.diff(text, prepend=-1))
+        some = text[first]
+        n = np.add.reduceat(times, first)
+        share = (times / np.repeat(n, np.diff(first, append=len(text)))).astype(np.float32)
+        strange_words = np.zeros(0, bool)
+        for kind, (forms, form) in enumerate(words.forms):
+            vectors, strange = self.rows_of(forms, kind)
+            if kind == 0:
+                strange_words = strange[form][code]
+            for start in range(0, len(text), PAIRS_AT_ONCE):
+                part = slice(start, start + PAIRS_AT_ONCE)
+                head = np.flatnonzero(np.diff(text[part], prepend=-1))
+                sums = np.add.reduceat(share[part, None] * vectors[form[code[part]]], head, axis=0)
+                rows[text[part][head], kind * SIZE : (kind + 1) * SIZE] += sums
+        chars = pc.utf8_length(texts).to_numpy(zero_copy_only=False)[some]
+        lines = [(len(own), len(set(own))) for own in (t.split("\n") for t in texts.take(pa.array(some)).to_pylist())]
+        rows[some, 2 * SIZE :] = np.stack(
+            [
+                np.log1p(n), np.diff(first, append=len(text)) / n, chars / n, np.maximum.reduceat(share, first),
+                np.array([b / a for a, b in lines]), np.add.reduceat(share * strange_words, first),
+            ],
+            axis=1,
+        )
         return rows
 
 
@@ -138,62 +176,63 @@ class Classifier:
         x = np.clip((rows - self.centre) / self.scale, -8, 8)
         return (np.maximum(x @ w1 + b1, 0) @ w2 + b2)[:, 0]
 
-    def score(self, texts: list[str]) -> np.ndarray:
+    def score(self, texts: pa.Array) -> np.ndarray:
         z = self.logits(self.vectors.features(texts)).astype(np.float64) / self.temperature
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def forms_of(word: str, memory: dict[str, tuple[str, str]]) -> tuple[str, str]:
-    """Lower case and shape, remembered for words of usual length."""
-    found = memory.get(word)
-    if found is None:
-        found = word.lower(), shape(word)
-        if len(memory) >= MEMORY_WORDS:
-            memory.clear()
-        if len(word) < 60:
-            memory[word] = found
-    return found
-
-
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memory: dict[str, tuple[str, str]] = {}
+    """In how many texts each form occurs."""
     for batch in batches:
         texts = batch.column("text")
-        for start, end in slices(pa.compute.utf8_length(texts).to_pylist(), 1 << 24):
-            seen: Counter[str] = Counter()
-            for text in texts.slice(start, end - start).to_pylist():
-                seen.update({form for w in set(text.split()) for form in forms_of(w, memory)})
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["token", "docs"])
-
-
-def add_contexts(total: np.ndarray, texts: list[str], known: Vectors) -> None:
-    """Add to every table row the index vectors of words and shapes within REACH of its places in these texts."""
-    local: dict[str, int] = {}
-    runs = []
-    gap = [-1] * REACH
-    for text in texts:
-        runs += [local.setdefault(w, len(local)) for w in text.split()]
-        runs += gap
-    if not local:
+        for start, end in slices(pc.utf8_length(texts).to_pylist(), COUNTED_AT_ONCE):
+            words = Words(texts.slice(start, end - start))
+            for forms, form in words.forms:
+                met = np.unique(words.text << 32 | form[words.code]) & 0xFFFFFFFF
+                yield pa.RecordBatch.from_arrays([forms, pa.array(np.bincount(met, minlength=len(forms)), pa.int64())], ["token", "docs"])
+
+
+def add_contexts(total: np.ndarray, texts: pa.Array, known: Vectors) -> None:
+    """Add the index vectors of words and shapes within REACH of its places in these texts to every table row.
+
+    ``total`` has one line a dimension, and a column a row with one more for places between texts.
+    """
+    words = Words(texts)
+    if not len(words.code):
         return
-    places, words = np.array(runs), list(local)
-    rows = np.zeros((len(words) + 1, SIZE), np.float32)  # the last one is the gap's
-    shapes: dict[str, int] = {}
-    shaped = [shapes.setdefault(shape(w), len(shapes)) for w in words]
-    rows[:-1] = index_rows([w.lower() for w in words]) + index_rows(list(shapes))[shaped]
-    both = rows[places]
-    around = np.zeros_like(both)
-    for step in range(1, min(REACH, len(places) - 1) + 1):
-        around[step:] += both[:-step]
-        around[:-step] += both[step:]
-    order = np.argsort(places, kind="stable")
-    starts = np.flatnonzero(np.diff(places[order], prepend=-2))
-    sums = np.add.reduceat(around[order], starts, axis=0)
-    met = places[order][starts]
-    sums = sums[met >= 0]
-    ids = np.array([known.tokens(words[i]) for i in met[met >= 0]])
-    for kind in (0, 1):
-        np.add.at(total, ids[:, kind], sums.astype(np.int64))
+    (lower, of_lower), (shaped, of_shape) = words.forms
+    vectors = index_rows(lower.to_pylist())[of_lower] + index_rows(shaped.to_pylist())[of_shape]
+    vectors = np.concatenate([vectors, np.zeros((1, SIZE), np.float32)]).T.copy()  # the last word stands between texts
+    gap, last = vectors.shape[1] - 1, total.shape[1] - 1
+    rows = [np.append(known.places(forms, kind)[form], last) for kind, (forms, form) in enumerate(words.forms)]
+    breaks = np.flatnonzero(np.diff(words.text)) + 1
+    places = np.concatenate([np.full(REACH, gap), np.insert(words.code, np.repeat(breaks, REACH), gap), np.full(REACH, gap)])
+    for start in range(REACH, len(places) - REACH, PLACES_AT_ONCE):
+        end = min(start + PLACES_AT_ONCE, len(places) - REACH)
+        near, at = places[start - REACH : end + REACH], [row[places[start:end]] for row in rows]
+        for dimension in range(SIZE):
+            met = vectors[dimension][near].astype(np.float64)
+            around = sum(met[REACH + step : REACH + step + end - start] for step in range(-REACH, REACH + 1) if step)
+            for row in at:
+                total[dimension] += np.bincount(row, around, last + 1).astype(np.int64)
+
+
+def first_rows(df: DataFrame, k: int, *order: Column) -> list[Row]:
+    """The first ``k`` rows, of which no more come to the driver than about ``k``, whatever the number of tasks.
+
+    The rows are written in order with the number of their part; parts before the k-th row are taken whole.
+    """
+    ordered = snapshot(df.orderBy(*order).withColumn("_part", F.spark_partition_id()))
+    sizes = sorted(ordered.groupBy("_part").count().collect())
+    before, last = 0, -1
+    for part, size in sizes:
+        last = part
+        if before + size >= k:
+            break
+        before += size
+    whole = ordered.where(F.col("_part") < last).orderBy(*order).collect()
+    rest = ordered.where(F.col("_part") == last).orderBy(*order).limit(k - len(whole)).collect()
+    return [*whole, *rest]
 
 
 def word_vectors(docs: DataFrame) -> Vectors:
@@ -202,30 +241,30 @@ def word_vectors(docs: DataFrame) -> Vectors:
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     counted = texts.mapInArrow(count_words, "token string, docs bigint")
     common = counted.groupBy("token").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= MIN_DOCS)
-    rows = common.orderBy(F.desc("docs"), "token").limit(VOCABULARY).collect()
-    place = {r["token"]: i for i, r in enumerate(rows)}
-    shared = spark.sparkContext.broadcast(place)
+    rows = first_rows(common, VOCABULARY, F.desc("docs"), F.asc("token"))
+    vocabulary = pa.array([r["token"] for r in rows], pa.string())
+    shared = spark.sparkContext.broadcast(vocabulary)
     names = [f"v{i}" for i in range(SIZE)]
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vectors(shared.value, np.zeros((0, SIZE), np.float32))
-        total = np.zeros((len(known.place) + 2, SIZE), np.int64)
+        total = np.zeros((SIZE, len(known.vocabulary) + 3), np.int64)
         for batch in batches:
             column = batch.column("text")
-            for start, end in slices(pa.compute.utf8_length(column).to_pylist()):
-                add_contexts(total, column.slice(start, end - start).to_pylist(), known)
-        met = np.flatnonzero(total[:-2].any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), *[pa.array(total[met, i], pa.int64()) for i in range(SIZE)]], ["id", *names])
+            for start, end in slices(pc.utf8_length(column).to_pylist(), COUNTED_AT_ONCE):
+                add_contexts(total, column.slice(start, end - start), known)
+        met = np.flatnonzero(total[:, :-3].any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), *[pa.array(line[met], pa.int64()) for line in total]], ["id", *names])
 
     # whole numbers, so that the sums do not depend on the order of tasks
     parts = texts.mapInArrow(neighbours, "id bigint, " + ", ".join(f"{n} bigint" for n in names))
-    matrix = np.zeros((len(place) + 2, SIZE), np.float32)
+    matrix = np.zeros((len(vocabulary) + 2, SIZE), np.float32)
     for row in parts.groupBy("id").agg(*[F.sum(n).alias(n) for n in names]).collect():
         matrix[row[0]] = row[1:]
-    if place:  # a token's own index vector tells tokens with like neighbours apart
+    if rows:  # a token's own index vector tells tokens with like neighbours apart
         matrix[:-2] /= np.maximum(1e-6, np.linalg.norm(matrix[:-2], axis=1, keepdims=True))
-        matrix[:-2] += index_rows(list(place)) / np.float32(np.sqrt(NONZERO))
-    return Vectors(place, matrix)
+        matrix[:-2] += index_rows(vocabulary.to_pylist()) / np.float32(np.sqrt(NONZERO))
+    return Vectors(vocabulary, matrix)
 
 
 def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample_docs: int = SAMPLE_DOCS, learn_from: Column | None = None) -> Classifier:
@@ -246,7 +285,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample_do
 
     def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = held.value.features(batch.column("text").to_pylist())
+            made = held.value.features(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("validates"), pa.array(list(made), pa.list_(pa.float32()))], ["label", "validates", "x"])
 
     table = sample.orderBy("doc_id").select("label", "validates", "text").mapInArrow(pooled, "label int, validates boolean, x array<float>").collect()
@@ -303,8 +342,8 @@ def score_quality(docs: DataFrame, model: Classifier, id_col: str = "doc_id", te
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
-            for start, end in slices(pa.compute.utf8_length(texts).to_pylist()):
-                score = shared.value.score(texts.slice(start, end - start).to_pylist())
+            for start, end in slices(pc.utf8_length(texts).to_pylist()):
+                score = shared.value.score(texts.slice(start, end - start))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(start, end - start), pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32), pa.int32())],
                     ["doc_id", "score", "predicted"],

@@ -10,6 +10,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -429,9 +430,57 @@ def test_word_vectors_cover_all_documents(make):
     docs = make([(i, "common words here") for i in range(40)] + [(100 + i, "rare tongue speaks") for i in range(4)])
     labels = make([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
     vectors = quality.train(docs, labels).vectors
-    assert {"common", "words", "here", "rare", "tongue", "speaks"} <= set(vectors.place)
+    assert {"common", "words", "here", "rare", "tongue", "speaks"} <= set(vectors.vocabulary.to_pylist())
     own = lambda t: quality.index_rows([t])[0]
     want = sum(own(t) for t in ("tongue", "speaks")) + 2 * own("~a")
-    assert np.allclose(vectors.matrix[vectors.place["rare"]], want / np.linalg.norm(want) + own("rare") / 2, atol=1e-5)
-    one, two = vectors.features(["unmet", "unseen"])
+    assert np.allclose(vectors.matrix[vectors.vocabulary.to_pylist().index("rare")], want / np.linalg.norm(want) + own("rare") / 2, atol=1e-5)
+    one, two = vectors.features(pa.array(["unmet", "unseen"]))
     assert not np.allclose(one[: quality.SIZE], two[: quality.SIZE])
+
+
+def test_vectors_and_features_equal_a_loop(make, monkeypatch):
+    """Counts, context sums and pooled rows word by word; pieces are small, so that texts reach over several."""
+    for name in ("PLACES_AT_ONCE", "PAIRS_AT_ONCE"):
+        monkeypatch.setattr(quality, name, 7)
+    texts = [r[1] or "" for r in documents(n=30)][:34] + ["One Two, three. 4x5 --- Öl ÖL", " lead and trail \u00a0 "]
+    column = pa.array(texts)
+    batch = pa.RecordBatch.from_arrays([column], ["text"])
+    counted = Counter()
+    for made in quality.count_words([batch]):
+        counted.update(dict(zip(made["token"].to_pylist(), made["docs"].to_pylist())))
+    want = Counter(form for t in texts for form in {w.lower() for w in t.split()} | {quality.shape(w) for w in t.split()})
+    assert counted == want
+
+    table = sorted(want, key=lambda w: (-want[w], w))[:40]
+    known = quality.Vectors(pa.array(table), np.zeros((42, quality.SIZE), np.float32))
+    total = np.zeros((quality.SIZE, 43), np.int64)
+    quality.add_contexts(total, column, known)
+    own = {form: quality.index_rows([form])[0] for form in want}
+    sums = np.zeros((42, quality.SIZE))
+    row = {form: i for i, form in enumerate(table)}
+    for t in texts:
+        words = t.split()
+        for i, w in enumerate(words):
+            around = sum((own[x.lower()] + own[quality.shape(x)] for x in words[max(0, i - 2) : i] + words[i + 1 : i + 3]), np.zeros(quality.SIZE))
+            sums[row.get(w.lower(), 40)] += around
+            sums[row.get(quality.shape(w), 41)] += around
+    assert np.array_equal(total[:, :42].T, sums)
+
+    known.matrix[:40] = sums[:40]
+    got = known.features(column)
+    for t, line in zip(texts, got):
+        words = t.split()
+        if not words:
+            assert not line.any()
+            continue
+        parts = [[known.matrix[row[f]] if f in row else own[f] / 2 for f in forms] for forms in ([w.lower() for w in words], [quality.shape(w) for w in words])]
+        lines, n = t.split("\n"), len(words)
+        tail = [np.log1p(n), len(set(words)) / n, len(t) / n, max(Counter(words).values()) / n, len(set(lines)) / len(lines), sum(w.lower() not in row for w in words) / n]
+        assert np.allclose(line, np.concatenate([*(np.mean(p, axis=0) for p in parts), tail]), rtol=1e-4, atol=1e-4)
+
+
+def test_first_rows_come_in_order_from_any_number_of_parts(make):
+    docs = make([(i, str(i * 7919 % 1000)) for i in range(1000)]).repartition(13)
+    for k in (0, 1, 5, 400, 1000, 2000):
+        assert [r["doc_id"] for r in quality.first_rows(docs.select("doc_id"), k, F.desc("doc_id"))] == list(range(999, 999 - min(k, 1000), -1))
+    assert quality.first_rows(docs.limit(0), 5, F.asc("doc_id")) == []
