@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
 from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,6 +13,7 @@ from cardlens.operators.serving import NOTIFIED, alert_windows, feed_rows, newes
 from cardlens.schema import ALERT_FIELDS, FRAUD_ALERT
 from cardlens.sinks.keyed import one_per_key, winner_order
 from cardlens.streaming.detector import TRIGGER, _trigger, query_identity, read_alerts, write_batch
+from cardlens.streaming.state import QUIET, REMEMBERED, WINDOW_COUNTS, first_deliveries, keyed_state, window_counts
 
 LATE = "10 minutes"
 
@@ -44,7 +46,7 @@ def start_alert_windows(
     available_now: bool = False,
     interval: str = TRIGGER,
 ) -> StreamingQuery:
-    """New alerts per closed event-time window, appended as Parquet."""
+    """New alerts per closed event-time window, appended as Parquet; ``start_window_counts`` has the open ones too."""
     writer = (
         alert_windows(alerts, step, late)
         .writeStream.outputMode("append")
@@ -84,8 +86,9 @@ def start_notifications(
     checkpoint: str,
     available_now: bool = False,
     interval: str = TRIGGER,
+    remember: datetime.timedelta = REMEMBERED,
 ) -> StreamingQuery:
-    """A notification row per micro-batch that brought alerts."""
+    """A notification row per micro-batch that brought alerts; one that was delivered before, within ``remember``, is not new."""
     identity = cache(lambda: query_identity(alerts.sparkSession, checkpoint))
 
     def notify(batch: DataFrame, batch_id: int) -> None:
@@ -97,5 +100,36 @@ def start_notifications(
         finally:
             batch.unpersist()
 
-    writer = alerts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(notify)
-    return _trigger(writer, available_now, interval).start()
+    with keyed_state(alerts.sparkSession, available_now):
+        writer = first_deliveries(alerts, remember).writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(notify)
+        return _trigger(writer, available_now, interval).start()
+
+
+def start_window_counts(
+    alerts: DataFrame,
+    path: str,
+    checkpoint: str,
+    step: str = "5 minutes",
+    quiet: datetime.timedelta = QUIET,
+    remember: datetime.timedelta = REMEMBERED,
+    available_now: bool = False,
+    interval: str = TRIGGER,
+) -> StreamingQuery:
+    """Alerts per event-time window, with every batch that adds some and once more when the window closes; read with ``read_window_counts``."""
+    identity = cache(lambda: query_identity(alerts.sparkSession, checkpoint))
+    with keyed_state(alerts.sparkSession, available_now):
+        writer = (
+            window_counts(alerts, step, quiet, remember)
+            .writeStream.outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda batch, batch_id: write_batch(batch, path, identity(), batch_id))
+        )
+        return _trigger(writer, available_now, interval).start()
+
+
+def read_window_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The last known state of every window: each update counts on from the one before."""
+    rows = spark.read.schema(WINDOW_COUNTS + ", query_id string, batch_id int").parquet(path)
+    names = [c for c in rows.columns if c not in ("window_start", "query_id", "batch_id")]
+    last = F.max_by(F.struct(*names), F.struct("revision", "batch_id"))
+    return rows.groupBy("window_start").agg(last.alias("w")).select("window_start", "w.window_end", "w.new_alerts", "w.late_alerts", "w.closed")

@@ -331,6 +331,12 @@ ORACLE = {
         ' coalesce(SUM("count") FILTER (label=k.c AND prediction=k.c),0) AS hits FROM confusion, (VALUES (0e0),(1e0)) k(c) GROUP BY 1)',
         "m AS (SELECT *, coalesce(hits/NULLIF(CAST(predicted AS DOUBLE),0),0e0) AS p, coalesce(hits/NULLIF(CAST(actual AS DOUBLE),0),0e0) AS r FROM c)",
     ),
+    "exact_auc": with_(
+        f"SELECT CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives, {rounded('CAST(SUM(pos*(2*coalesce(below,0)+neg)) AS DOUBLE)/CAST(2*SUM(pos)*SUM(neg) AS DOUBLE)', 12)} AS auc"
+        " FROM (SELECT *, SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below FROM"
+        " (SELECT floor(amt/50) AS score, count(*) FILTER (is_fraud=1) AS pos, count(*) FILTER (is_fraud=0) AS neg FROM transactions GROUP BY 1) c) r",
+        tx("amt", "is_fraud"),
+    ),
     "string_index": with_(
         "SELECT \"column\", value, CAST(row_number() OVER (PARTITION BY \"column\" ORDER BY n DESC, value)-1 AS DOUBLE) AS idx, n FROM"
         " (SELECT 'category' AS \"column\", category AS value, count(*) AS n FROM transactions GROUP BY 2"
@@ -371,6 +377,18 @@ ORACLE = {
     ),
     "snapshot_rows": with_("SELECT * FROM transactions", tx("trans_num", "cc_num", "amt")),
     "keyed_upsert": upserted(),
+    "table_samples": with_(
+        "SELECT * FROM (SELECT name, CAST(row_number() OVER (PARTITION BY name ORDER BY md5(k)) AS INT) AS place, cc_num, trans_time, trans_num, merchant FROM s) t WHERE place<=5",
+        tx("cc_num", "trans_date_trans_time", "trans_num", "merchant", "amt", "is_fraud"),
+        "w AS (SELECT CAST(cc_num AS VARCHAR) AS cc_num, trans_num, trans_date_trans_time AS trans_time, 'stale' AS merchant, amt, is_fraud, 1 AS nth FROM transactions WHERE amt<=60000"
+        " UNION ALL SELECT CAST(cc_num AS VARCHAR), trans_num, trans_date_trans_time, merchant, amt, is_fraud, 2 FROM transactions WHERE amt>30000)",
+        ALERTS,
+        "s AS (SELECT name, concat(cc_num,'|',epoch_us(trans_time)) AS k, cc_num, trans_time, CAST(NULL AS VARCHAR) AS trans_num, merchant FROM"
+        " (SELECT *, row_number() OVER (PARTITION BY name, cc_num, trans_time ORDER BY nth DESC, trans_num DESC) AS last"
+        " FROM (SELECT CASE WHEN is_fraud=1 THEN 'fraud_transaction' ELSE 'non_fraud_transaction' END AS name, * FROM w) h) t WHERE last=1"
+        " UNION ALL SELECT 'customer', cc_num, cc_num, CAST(NULL AS TIMESTAMP), NULL, NULL FROM (SELECT DISTINCT cc_num FROM w) c"
+        " UNION ALL SELECT 'fraud_alert', concat(trans_day,'|',epoch_us(trans_time),'|',trans_num), CAST(NULL AS VARCHAR), trans_time, trans_num, merchant FROM alerts)",
+    ),
     "import_rows": with_(
         "SELECT name, cc_num, trans_num, trans_time, merchant, amt FROM (SELECT *, row_number() OVER (PARTITION BY name, cc_num, trans_time ORDER BY nth DESC, trans_num DESC) AS last"
         " FROM (SELECT CASE WHEN is_fraud=1 THEN 'fraud_transaction' ELSE 'non_fraud_transaction' END AS name, * FROM w) h) t WHERE last=1"
@@ -410,6 +428,12 @@ ORACLE = {
     ),
     "stream_label_alerts": with_("SELECT * FROM alerts", ALERTS),
     "stream_two_checkpoints": with_("SELECT * FROM alerts", ALERTS),
+    "stream_window_counts": with_(
+        "SELECT time_bucket(INTERVAL 5 MINUTE, trans_time) AS window_start, time_bucket(INTERVAL 5 MINUTE, trans_time) + INTERVAL 5 MINUTE AS window_end,"
+        " count(*) AS new_alerts FROM alerts GROUP BY 1",
+        ALERTS,
+    ),
+    "stream_new_alerts": with_('SELECT count(*) AS "new" FROM alerts', ALERTS),
     "stream_windows": with_(
         "SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, trans_time) AS window_start,"
         " time_bucket(INTERVAL 5 MINUTE, trans_time) + INTERVAL 5 MINUTE AS window_end, count(*) AS new_alerts FROM alerts GROUP BY 1) w"

@@ -17,7 +17,8 @@ from cardlens import functions as fn
 from cardlens.operators import analytics, evaluation, features, keyed, quality, sampling, scoring, serving
 from cardlens.plans.import_batch import import_transactions
 from cardlens.plans.train import Training, keyed_transactions, train
-from cardlens.schema import CUSTOMER, CUSTOMER_COLUMNS, FRAUD_TRANSACTION, INT, NON_FRAUD_TRANSACTION, TRANSACTION, struct_of
+from cardlens.schema import CUSTOMER, CUSTOMER_COLUMNS, FRAUD_ALERT, FRAUD_TRANSACTION, INT, NON_FRAUD_TRANSACTION, TRANSACTION, struct_of
+from cardlens.sinks import statistics
 from cardlens.sinks.files import write_parquet
 from cardlens.sinks.keyed import upsert_keyed
 from cardlens.sinks.messages import write_message_files
@@ -303,6 +304,37 @@ def approx_cards(spark, sf_dir):
     return quality.approx_distinct(transactions(spark, sf_dir, "cc_num"))
 
 
+_imported: dict[tuple[str, str], str] = {}
+
+
+def imported(spark: SparkSession, sf_dir: str) -> str:
+    """Two overlapping imports and the alerts, with the statistics that each write leaves; once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _imported:
+        root = scratch_path(spark, "import")
+        full, fraud, non_fraud = snapshot(transactions(spark, sf_dir)), FRAUD_TRANSACTION.monthly(), NON_FRAUD_TRANSACTION.monthly()
+        import_transactions(full.where("amt <= 60000").withColumn("merchant", F.lit("stale")), root, AS_OF, fraud, non_fraud)
+        import_transactions(full.where("amt > 30000"), root, AS_OF, fraud, non_fraud)
+        statistics.write_statistics(event_alerts(spark, sf_dir), FRAUD_ALERT, root)
+        _imported[key] = root
+    return _imported[key]
+
+
+@query
+def table_estimates(spark, sf_dir):
+    """Rows and cards of the four tables, from their sketches alone."""
+    return statistics.table_estimates(spark, imported(spark, sf_dir))
+
+
+@query
+def table_samples(spark, sf_dir):
+    """Five sample rows of each of the four tables, merged from what every write left."""
+    root = imported(spark, sf_dir)
+    tables = (CUSTOMER, FRAUD_TRANSACTION, NON_FRAUD_TRANSACTION, FRAUD_ALERT)
+    found = [statistics.table_sample(spark, t, root).select(F.lit(t.name).alias("name"), "place", *t.key, "merchant" if t != CUSTOMER else F.lit(None).cast("string").alias("merchant")) for t in tables]
+    return untimed(keyed.union_all(*found).select("name", "place", "cc_num", "trans_time", "trans_num", "merchant"))
+
+
 # ---- sampling
 
 
@@ -415,6 +447,14 @@ def class_metrics(spark, sf_dir):
     return metrics.select([fn.round_half_up(F.col(c), 9).alias(c) for c in metrics.columns])
 
 
+@query
+def exact_auc(spark, sf_dir):
+    """The area under the curve of the rule's scores, in which many rows tie."""
+    scores = transactions(spark, sf_dir, "amt", "is_fraud").select(F.floor(F.col("amt") / 50).alias("score"), F.col("is_fraud").alias("label"))
+    found = evaluation.exact_auc(scores)
+    return found.withColumn("auc", fn.round_half_up(F.col("auc"), 12))
+
+
 @query
 def string_index(spark, sf_dir):
     """Index of every category and gender: the columns that the classifier indexes, with few values each."""
@@ -558,10 +598,7 @@ def import_tables(spark, sf_dir):
 @query
 def import_rows(spark, sf_dir):
     """The rows of every table that two overlapping imports write."""
-    root = scratch_path(spark, "import")
-    full, fraud, non_fraud = transactions(spark, sf_dir), FRAUD_TRANSACTION.monthly(), NON_FRAUD_TRANSACTION.monthly()
-    import_transactions(full.where("amt <= 60000").withColumn("merchant", F.lit("stale")), root, AS_OF, fraud, non_fraud)
-    import_transactions(full.where("amt > 30000"), root, AS_OF, fraud, non_fraud)
+    root, fraud, non_fraud = imported(spark, sf_dir), FRAUD_TRANSACTION.monthly(), NON_FRAUD_TRANSACTION.monthly()
     history = [read_keyed(spark, t, root).select(F.lit(t.name).alias("name"), "cc_num", "trans_num", "trans_time", "merchant", "amt") for t in (fraud, non_fraud)]
     stored = features.with_trans_time(read_segments(spark, TRANSACTION, root))
     whole = stored.select(F.lit(TRANSACTION.name).alias("name"), "cc_num", "trans_num", "trans_time", "merchant", "amt")
@@ -658,6 +695,32 @@ def stream_windows(spark, sf_dir):
     return untimed(spark.read.parquet(f"{root}/rows"))
 
 
+def delivered_twice(spark, sf_dir, root: str):
+    """All events as message files, one a batch; the alerts of even cards come once more in later batches."""
+    events = event_transactions(spark, sf_dir)
+    write_message_files(events.repartition(2), f"{root}/topic")
+    write_message_files(events.where("CAST(cc_num AS BIGINT) % 2 = 0").coalesce(1), f"{root}/topic")
+    return detector.scored_stream(messages.read_message_files(spark, f"{root}/topic", files_per_batch=1), None, AS_OF)
+
+
+@query
+def stream_window_counts(spark, sf_dir):
+    """Every window of alerts, the open ones too, from a stream that delivers half of the alerts twice."""
+    root = scratch_path(spark, "windows")
+    found = delivered_twice(spark, sf_dir, root)
+    finish(monitor.start_window_counts(found, f"{root}/rows", f"{root}/checkpoint", available_now=True))
+    return untimed(monitor.read_window_counts(spark, f"{root}/rows").select("window_start", "window_end", "new_alerts"))
+
+
+@query
+def stream_new_alerts(spark, sf_dir):
+    """New alerts over all notifications of a stream that delivers half of the alerts twice: each is new once."""
+    root = scratch_path(spark, "notify")
+    found = delivered_twice(spark, sf_dir, root)
+    finish(monitor.start_notifications(found, root, f"{root}/rows", f"{root}/checkpoint", available_now=True))
+    return spark.read.parquet(f"{root}/rows/*").agg(F.sum("new").alias("new"))
+
+
 @query
 def stream_totals(spark, sf_dir):
     root = scratch_path(spark, "totals")
