@@ -18,6 +18,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -40,6 +41,9 @@ LABELS = set(
     "recommended share sharing social cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription signup login comment comments disqus respond "
     "replies form search pagination pager toolbar skip banner masthead".split()
 )
+# one of these words is enough, unless one of the others stands with it
+ALONE = set("ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored cookie cookies consent gdpr comment comments disqus newsletter".split())
+NEGATED = set("no non not with without has have free hide hidden disable disabled".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S
@@ -47,6 +51,8 @@ TOKEN = re.compile(
 SIMPLE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 SHARED = 0.95
+# pivots and wrappers that a worker keeps at hand
+PIVOTS = 128
 LEAST_PAGES = 4
 EXACT_CELLS = 2500  # child lists up to this size are aligned exactly; longer ones by anchors and runs
 MAX_DEPTH = 150  # deeper elements are taken as children of the element at this depth
@@ -71,6 +77,15 @@ class Node:
         return [c for c in self.children if isinstance(c, Node)]
 
 
+def described(tag: str, attributes: str) -> Node:
+    """An element with its labels and role."""
+    given = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
+    # an id of a heading or paragraph is the target of a link, commonly made from its text
+    named = f"{given.get('class', '')} {'' if tag in TEXTUAL else given.get('id', '')}".lower()
+    words = frozenset(w for w in re.split(r"[^a-z]+", named) if w)
+    return Node(tag, words, given.get("role", "").lower(), names=frozenset(named.split()))
+
+
 def parse(source: str) -> Node:
     """A tree of the page; unclosed and stray tags are taken as browsers commonly do."""
     root = Node("#root")
@@ -113,11 +128,7 @@ def parse(source: str) -> Node:
                     break
                 if stack[depth].tag in STOPS:
                     break
-        given = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(found[3] or "")}
-        # an id of a heading or paragraph is the target of a link, commonly made from its text
-        named = f"{given.get('class', '')} {'' if tag in TEXTUAL else given.get('id', '')}".lower()
-        words = frozenset(w for w in re.split(r"[^a-z]+", named) if w)
-        node = Node(tag, words, given.get("role", "").lower(), names=frozenset(named.split()))
+        node = described(tag, found[3]) if found[3] else Node(tag)
         stack[-1].children.append(node)
         if tag in RAW:
             end = low.find("</" + tag, at)
@@ -130,15 +141,25 @@ def parse(source: str) -> Node:
     return root
 
 
+@lru_cache(1 << 14)
+def names_boilerplate(value: str) -> bool:
+    """Whether a class or id value, as a whole, is a label of boilerplate, or has a word that nothing but boilerplate has.
+
+    ``comments-area`` and ``google-ad`` are; ``with-sidebar`` and ``related-work`` may be the content, ``ad-free`` is.
+    """
+    words = [w for w in re.split("[^a-z]+", value) if w]
+    return bool(words) and (value in LABELS or LABELS.issuperset(words) or not ALONE.isdisjoint(words) and NEGATED.isdisjoint(words))
+
+
 def labelled(node: Node) -> bool:
-    """A form, or one of its class and id values, as a whole, is a label of boilerplate."""
+    """A form, or one of its class and id values names boilerplate."""
     if node.tag == "form" or node.role == "form":
         return True
     if not node.names:
         return False
     if node.tag == "article":
         return bool(node.names & {"comment", "related", "ad", "sponsored"})
-    return node.tag not in ("html", "body", "main") and any(v in LABELS or LABELS.issuperset(filter(None, re.split("[-_]+", v))) and v.strip("-_") for v in node.names)
+    return node.tag not in ("html", "body", "main") and any(map(names_boilerplate, node.names))
 
 
 def boilerplate(node: Node, inside: bool, labels: bool = True) -> bool:
@@ -391,10 +412,28 @@ def spare_most(root: Node) -> None:
             n.kept = True
 
 
+@lru_cache(PIVOTS)
+def pivot_of(pivot_json: str) -> tuple[Node, list[Node]]:
+    """The pivot and its nodes by place; read by all pages of its host in a task, and changed by none."""
+    numbered: list[Node] = []
+    return revived(json.loads(pivot_json), numbered), numbered
+
+
+class Wrapper:
+    """What a host's pages have in common, ready for use."""
+
+    def __init__(self, text: str):
+        spec = json.loads(text)
+        self.pivot = revived(spec["pivot"], [])
+        self.constant, self.kept, self.slot = frozenset(spec["constant"]), frozenset(spec["kept"]), spec["slot"]
+
+
+wrapper_from = lru_cache(PIVOTS)(Wrapper)
+
+
 def observed(pivot_json: str, source: str) -> list[tuple[int, int, int, int]]:
     """Per aligned node of the pivot: its place, 1 if the text is the same, and the length of text here."""
-    numbered: list[Node] = []
-    pivot, page = revived(json.loads(pivot_json), numbered), parse(source)
+    (pivot, _), page = pivot_of(pivot_json), parse(source)
     known: dict[int, int] = {}
     lengths(page, known)
     return [(p.mark, int(same), known[id(own)]) for p, own, same in align(pivot, page)]
@@ -446,14 +485,12 @@ def extract(source: str, wrapper: str | None) -> str:
     constant: frozenset[int] = frozenset()
     slot = None
     if wrapper:
-        spec = json.loads(wrapper)
-        numbered: list[Node] = []
-        pivot = revived(spec["pivot"], numbered)
-        constant, kept = frozenset(spec["constant"]), set(spec["kept"])
-        for p, own, _ in align(pivot, root):
+        host = wrapper_from(wrapper)
+        constant = host.constant
+        for p, own, _ in align(host.pivot, root):
             own.mark = p.mark
-            own.kept = own.kept or p.mark in kept
-            if p.mark == spec["slot"]:
+            own.kept = own.kept or p.mark in host.kept
+            if p.mark == host.slot:
                 slot = own
     if not declared and slot is None:
         spare_most(root)

@@ -484,3 +484,30 @@ def test_first_rows_come_in_order_from_any_number_of_parts(make):
     for k in (0, 1, 5, 400, 1000, 2000):
         assert [r["doc_id"] for r in quality.first_rows(docs.select("doc_id"), k, F.desc("doc_id"))] == list(range(999, 999 - min(k, 1000), -1))
     assert quality.first_rows(docs.limit(0), 5, F.asc("doc_id")) == []
+
+
+BOILERPLATE_CLASSES = (
+    "comments-area", "reader-comments", "user-comments", "comment-list", "comment-thread", "ad-slot", "ad-container", "google-ad",
+    "advert-box", "adsbygoogle", "cookie-notice-bar",
+)
+
+
+def test_one_word_of_a_compound_class_names_boilerplate():
+    for name in BOILERPLATE_CLASSES:
+        own = f"<div class='{name}'><p>Somebody says something else here.</p></div>"
+        assert pages.extract(f"<body><article><p>The text of it.</p>{own}</article></body>", None) == "The text of it.", name
+        sources = [f"<body><div class=top>Host</div><div class=post><p>{'story ' * 30}{i}</p>{own.replace('here', str(i))}</div><div class=end>Imprint</div></body>" for i in range(8)]
+        root = pages.parse(sources[0])
+        pivot = pages.json.dumps(pages.skeleton(root))
+        stats = defaultdict(lambda: [0, 0, 0])
+        for s in sources:
+            for mark, same, length in pages.observed(pivot, s):
+                stats[mark] = [a + b for a, b in zip(stats[mark], (1, same, length))]
+        wrapper = pages.wrapper_of(pivot, [(m, *v) for m, v in sorted(stats.items())])
+        assert pages.extract(sources[3], wrapper) == "story " * 30 + "3", name
+
+
+def test_a_labelled_node_with_the_content_stays():
+    for name in ("content with-sidebar", "no-comments", "ad-free", "comments-area", "related-work"):
+        assert pages.extract(f"<body><div class='{name}'><article><p>The text of it.</p></article></div></body>", None) == "The text of it.", name
+    assert pages.extract("<body><div id=main><div class=ad-free>First part.</div><p id=comments>Second part.</p></div></body>", None) == "First part. Second part."
