@@ -28,9 +28,9 @@ REPEATED = (
     "category_avg", "haversine", "enrich_history", "model_features", "customer_dim", "upsert_latest",
     "column_mode", "mode_impute", "value_counts", "balance", "split", "live_stats", "recent_fraud",
     "category_top", "fraud_points", "alerts_by_day", "alert_rate_5m", "detection_rate_60",
-    "score_rule", "class_metrics", "table_profile", "decode_messages",
+    "score_rule", "class_metrics", "exact_auc", "table_profile", "decode_messages",
 )
-ONCE = ("stream_alerts", "stream_totals", "csv_source", "import_tables")
+ONCE = ("stream_alerts", "stream_totals", "csv_source", "import_tables", "log_structured_upserts")
 
 
 def timed(action) -> float:
