@@ -28,7 +28,7 @@ from cardlens.llm.common import RangeHash, slices
 
 SHORT_WORD = 96
 # what the words remembered by one worker may take, and about what an entry takes besides its text and ids
-MEMORY_BYTES = 48 << 20
+MEMORY_BYTES = 72 << 20
 ENTRY_BYTES = 180
 # white space in the sense of Unicode, spelled out: Python's own \s also holds four separators that Rust's lacks
 WHITE = "\t-\r \x85\xa0  -     　"
