@@ -38,7 +38,13 @@ def read_transactions_csv(
 
 
 def _read_one(spark: SparkSession, path: str, strict_header: bool, keep_corrupt: bool) -> DataFrame:
-    names = _header(spark, path)
+    return drop_index_columns(read_under_header(spark, _header(spark, path), path, strict_header, keep_corrupt))
+
+
+def read_under_header(
+    spark: SparkSession, names: list[str], path: str | list[str], strict_header: bool, keep_corrupt: bool
+) -> DataFrame:
+    """Files that have ``names`` as their header, with the record's types and text for what the record does not know."""
     unnamed = {"": INDEX_COLUMNS[0]}
     as_named = names if strict_header else [unnamed.get(name, name) for name in names]
     fields = [T.StructField(name, TRANSACTION_FIELDS.get(name, STRING), True) for name in as_named]
@@ -47,8 +53,7 @@ def _read_one(spark: SparkSession, path: str, strict_header: bool, keep_corrupt:
         fields.append(T.StructField(CORRUPT, STRING, True))
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     df = reader.schema(T.StructType(fields)).csv(path)
-    df = df.toDF(*[unnamed.get(field.name, field.name) for field in fields])
-    return drop_index_columns(df)
+    return df.withColumnsRenamed({name: known for name, known in unnamed.items() if name in df.columns})
 
 
 def csv_sources(spark: SparkSession, *names: str):
@@ -56,15 +61,15 @@ def csv_sources(spark: SparkSession, *names: str):
     return [lambda folder=folder: read_transactions_csv(spark, *[f"{folder}/{n}" for n in names]) for folder in CSV_FOLDERS]
 
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the raw text of lines that did not fit the schema.
+def split_corrupt(df: DataFrame, *origin: str) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and the raw text of lines that did not fit the schema, with the columns in ``origin`` that say where they are from.
 
     The parsed rows are written once and both sides read that copy: Spark parses only
     the columns a query asks for, and which lines are bad must not depend on the query.
     """
     df = snapshot(df)
-    good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT, *origin)
+    bad = df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT, *origin)
     return good, bad
 
 

@@ -371,6 +371,11 @@ ORACLE = {
         "SELECT trans_num, strftime(trans_date_trans_time,'%Y-%m-%d %H:%M:%S') AS trans_date_trans_time, zip, amt, city_pop, is_fraud FROM transactions",
         tx("trans_num", "trans_date_trans_time", "zip", "amt", "city_pop", "is_fraud"),
     ),
+    "csv_folder": with_(
+        "SELECT trans_num, strftime(trans_date_trans_time,'%Y-%m-%d %H:%M:%S') AS trans_date_trans_time, CAST(cc_num AS VARCHAR) AS cc_num, zip, amt, city_pop, job, is_fraud"
+        " FROM transactions",
+        tx("trans_num", "trans_date_trans_time", "cc_num", "zip", "amt", "city_pop", "job", "is_fraud"),
+    ),
     "source_order": with_(
         "SELECT count(*) AS total_rows, count(*) FILTER (is_fraud=1) AS fraud_rows, count(*) FILTER (is_fraud=0) AS non_fraud_rows, 'full' AS source FROM transactions",
         tx("is_fraud"),

@@ -4,6 +4,10 @@ from pyspark.sql import functions as F
 from cardlens.schema import FRAUD_ALERT, TRANSACTION_FIELDS, transaction_schema
 from cardlens.sources.fallback import first_available
 from cardlens.sources.files import csv_sources, read_snapshot, read_transactions_csv, register, split_corrupt
+from cardlens.plans.import_batch import UNREADABLE, import_csv_folder
+from cardlens.schema import TRANSACTION
+from cardlens.sinks.segments import read_segments
+from cardlens.sources.headers import header_census, read_csv_folder
 from cardlens.sources.keyed import read_keyed, read_keyed_or_empty
 from cardlens.sources.messages import decode_json, encode_json, malformed, read_topic, well_formed
 
@@ -54,6 +58,63 @@ def test_csv_strict_header(spark, tmp_path):
         read_transactions_csv(spark, str(folder), strict_header=True).collect()
 
 
+def mixed_folder(tmp_path):
+    folder = tmp_path / "mixed, {a}[b] %41"
+    folder.mkdir()
+    write_csv(folder / "a.csv", ["", *GOOD], {"": 0, **GOOD}, {"": 1, **GOOD, "trans_num": "t2"})
+    write_csv(folder / "b c.csv", ["note", *reversed(GOOD)], {**GOOD, "note": "x", "trans_num": "t3"})
+    write_csv(folder / "d.csv", ["", *GOOD], {"": 0, **GOOD, "trans_num": "t4"})
+    write_csv(folder / "e.csv", [n for n in GOOD if n != "city"], {**GOOD, "trans_num": "t5"}, {**GOOD, "trans_num": "t6", "amt": "much"})
+    write_csv(folder / "f.csv", [*GOOD])
+    (folder / "empty.csv").write_text("")
+    return folder.as_uri().replace("%7B", "\\{").replace("%7D", "\\}").replace("%5B", "\\[").replace("%5D", "\\]").replace("%20", " ").replace("%25", "%").replace("%2C", ",")
+
+
+def test_csv_folder_of_different_headers(spark, tmp_path):
+    path = mixed_folder(tmp_path)
+    groups = header_census(spark, path)
+    assert sorted(len(g.files) for g in groups) == [1, 1, 1, 2]
+    df = read_csv_folder(spark, path)
+    assert df.schema == transaction_schema()
+    rows = {r.trans_num: r for r in df.collect()}
+    assert set(rows) == {"t1", "t2", "t3", "t4", "t5", "t6"}
+    whole = next(iter(read_csv_folder(spark, path).where("trans_num = 't1'").collect())).asDict()
+    for number in ("t2", "t3", "t4"):
+        assert rows[number].asDict() == {**whole, "trans_num": number}
+    assert rows["t5"].asDict() == {**whole, "trans_num": "t5", "city": None}
+
+
+def test_csv_folder_import_keeps_bad_lines_apart(spark, tmp_path):
+    root = f"{tmp_path}/tables"
+    summary, unreadable = import_csv_folder(spark, root, mixed_folder(tmp_path), as_of="2020-06-21")
+    assert (summary.total, unreadable) == (5, 1)
+    bad = spark.read.parquet(f"{root}/{UNREADABLE}").head()
+    assert "much" in bad[0] and bad.source_file.endswith("e.csv")
+    assert read_segments(spark, TRANSACTION, root).count() == 5
+
+
+def test_csv_folder_with_a_headless_file_is_an_error(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", [*GOOD], GOOD)
+    (tmp_path / "b.csv").write_text("1,2,3\n4,5,6\n")
+    with pytest.raises(ValueError, match="b.csv"):
+        read_csv_folder(spark, str(tmp_path))
+
+
+def test_csv_folder_long_files_are_split(spark, tmp_path, monkeypatch):
+    """Lines in the middle of a file are no headers, however a file is cut up."""
+    write_csv(tmp_path / "a.csv", [*GOOD], *[{**GOOD, "trans_num": f"a{i}"} for i in range(400)])
+    write_csv(tmp_path / "b.csv", [*reversed(GOOD)], *[{**GOOD, "trans_num": f"b{i}"} for i in range(400)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert len(header_census(spark, str(tmp_path))) == 2
+        df = read_csv_folder(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 2
+        assert df.where("zip = '01234' AND amt = 4.97").select("trans_num").distinct().count() == 800
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_csv_without_rows(spark, tmp_path):
     assert read_transactions_csv(spark, write_csv(tmp_path / "a.csv", [*GOOD])).isEmpty()
 
