@@ -9,6 +9,7 @@ keys lie within the range of another's file are written anew; the others pass fr
 
 from __future__ import annotations
 
+import datetime
 import json
 import uuid
 from bisect import bisect_left, bisect_right
@@ -130,6 +131,16 @@ class SegmentTable:
         """The table's rows, one per key, as of the newest or a given version."""
         return self._rows(self.manifest(version).segments)
 
+    def read_times(self, day: str, version: int | None = None) -> DataFrame:
+        """The table's rows from the files that may hold times of ``day`` in any time zone: a part of the table that has all rows of that day.
+
+        For tables with a time in their key: their files are ranges of time first.
+        """
+        noon = datetime.datetime.fromisoformat(day).replace(hour=12, tzinfo=datetime.timezone.utc)
+        low, high = (int((noon + datetime.timedelta(hours=h)).timestamp()) * 1_000_000 for h in (-36, 36))
+        near = lambda f: f.low[0] <= (True, high) and f.high[0] >= (True, low)
+        return self._rows(tuple(Segment(tuple(f for f in s.files if near(f))) for s in self.manifest(version).segments))
+
     def _load(self, files: Iterable[DataFile]) -> DataFrame:
         paths = [f"{self.path}/{f.path}" for f in files]
         return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
@@ -228,8 +239,9 @@ class SegmentTable:
         versions = self.versions()
         kept = {f.path for v in versions[-keep:] for s in self.manifest(v).segments for f in s.files}
         gone = {f.path for v in versions[:-keep] for s in self.manifest(v).segments for f in s.files} - kept
-        for path in sorted(gone):
-            remove_path(self.spark, f"{self.path}/{path}")
+        used = {path.rsplit("/", 1)[0] for path in kept}
+        for path in sorted({p if p.rsplit("/", 1)[0] in used else p.rsplit("/", 1)[0] for p in gone}):
+            remove_path(self.spark, f"{self.path}/{path}")  # a folder of which nothing is used goes as a whole
         for version in versions[:-keep]:
             remove_path(self.spark, self._manifest_path(version))
         return len(gone)

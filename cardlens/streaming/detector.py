@@ -5,7 +5,8 @@ dropped.  Each micro-batch owns the folders of its query and batch id, one below
 day it has alerts of, and overwrites them when Spark replays the batch: a retry leaves
 no duplicates, and a query with a new checkpoint cannot touch what an earlier one
 stored.  A batch without alerts writes none.  A batch that fails fails the query;
-nothing is committed that was not written.
+nothing is committed that was not written.  Every so many batches the committed ones are folded into few files
+(``cardlens.streaming.store``).
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cardlens.operators.features import model_features, with_trans_time
 from cardlens.operators.scoring import alerts
-from cardlens.schema import ALERT_FIELDS, FRAUD_ALERT, INT, STRING, TRANSACTION_FIELDS, struct_of
+from cardlens.schema import ALERT_FIELDS, FRAUD_ALERT, STRING, TRANSACTION_FIELDS, struct_of
 from cardlens.sinks.keyed import one_per_key, winner_order
 from cardlens.sources.messages import decode_json, encode_json, malformed, well_formed
+from cardlens.streaming.store import FOLD_EVERY, fold_batches, read_merged, stored_schema
 from cardlens.workspace import path_exists
 
 TRIGGER = "5 seconds"  # fixed value
@@ -69,8 +71,12 @@ def start_detector(
     as_of: str | None = None,
     available_now: bool = False,
     interval: str = TRIGGER,
+    fold_every: int | None = FOLD_EVERY,
 ) -> StreamingQuery:
-    """Decode, score and store: alerts below ``root/fraud_alert``, unusable records below ``root/malformed``."""
+    """Decode, score and store: alerts below ``root/fraud_alert``, unusable records below ``root/malformed``.
+
+    Before every ``fold_every``-th batch is done, the batches before it are folded; with None they stay as they are.
+    """
     decoded = decode_json(messages)
     identity = cache(lambda: query_identity(messages.sparkSession, checkpoint))  # there once the query runs
 
@@ -80,6 +86,8 @@ def start_detector(
             found = alerts(model_features(complete(well_formed(batch)), as_of), model)
             write_batch(found, f"{root}/fraud_alert", identity(), batch_id, "trans_day")
             write_batch(unusable(batch), f"{root}/malformed", identity(), batch_id)
+            if fold_every and batch_id and batch_id % fold_every == 0:
+                fold_batches(batch.sparkSession, root, identity(), batch_id)
         finally:
             batch.unpersist()
 
@@ -95,11 +103,13 @@ def scored_stream(messages: DataFrame, model: PipelineModel | None = None, as_of
 def read_alerts(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
     """The stored alerts, one per key however often a record was delivered.
 
-    With ``day`` only that day's folder is listed and read.
+    With ``day`` only that day's folder is listed and read, and of the folded files those with times around it.
+    Batches are listed before the folded files: what is folded in between is found in both places, not in none.
     """
-    schema = struct_of({**ALERT_FIELDS, "query_id": STRING, "batch_id": INT})
     top = f"{root}/fraud_alert"
-    stored = _stored(spark, top, schema, top if day is None else f"{top}/trans_day={day}")
+    stored = _stored(spark, top, stored_schema(), top if day is None else f"{top}/trans_day={day}")
+    for folded in read_merged(spark, root, day):
+        stored = stored.unionByName(folded)
     newest = [F.desc("batch_id"), *winner_order(FRAUD_ALERT), F.desc("query_id")]
     return one_per_key(stored, FRAUD_ALERT, newest).select(*ALERT_FIELDS)
 

@@ -12,10 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 from cardlens.operators.serving import NOTIFIED, alert_windows, feed_rows, newest_first, running_totals
 from cardlens.schema import ALERT_FIELDS, FRAUD_ALERT
 from cardlens.sinks.keyed import one_per_key, winner_order
+from cardlens.sinks.segments import SegmentTable, read_segments
 from cardlens.streaming.detector import TRIGGER, _trigger, query_identity, read_alerts, write_batch
 from cardlens.streaming.state import QUIET, REMEMBERED, WINDOW_COUNTS, first_deliveries, keyed_state, window_counts
+from cardlens.streaming.store import KEPT_VERSIONS, MINUTE_TOTALS
 
 LATE = "10 minutes"
+RECENT_MINUTES = 5
 
 
 def unique_alerts(alerts: DataFrame, late: str = LATE) -> DataFrame:
@@ -37,6 +40,57 @@ def start_totals(
     return _trigger(writer, available_now, interval).start()
 
 
+def minute_totals(transactions: DataFrame) -> DataFrame:
+    """Transactions, fraud, first and last time per minute of event time; records without a time make a minute of their own."""
+    minute = F.coalesce(F.date_format("trans_time", "yyyy-MM-dd HH:mm"), F.lit("unknown"))
+    return transactions.groupBy(minute.alias("minute")).agg(
+        F.count(F.lit(1)).alias("processed"),
+        F.count_if(F.col("is_fraud") == 1).alias("fraud"),
+        F.min("trans_time").alias("first_time"),
+        F.max("trans_time").alias("last_time"),
+    )
+
+
+def start_stored_totals(transactions: DataFrame, root: str, checkpoint: str, available_now: bool = False, interval: str = TRIGGER) -> StreamingQuery:
+    """Running totals kept below ``root`` by minute; read with ``read_totals``, also while the stream runs and after it has ended.
+
+    A batch writes the minutes it changes and nothing else, as one version of a keyed table, so a batch that is played again
+    counts once and a restart goes on from the checkpoint.  There is no watermark: late records count.  The state is one
+    row a minute.  A query with a new checkpoint has rows of its own, which add to those of the others.
+    """
+    identity = cache(lambda: query_identity(transactions.sparkSession, checkpoint))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        table = SegmentTable(batch.sparkSession, MINUTE_TOTALS, root)
+        table.upsert(batch.withColumn("query_id", F.lit(identity())))
+        table.vacuum(KEPT_VERSIONS)
+
+    writer = minute_totals(transactions).writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(store)
+    return _trigger(writer, available_now, interval).start()
+
+
+def read_totals(spark: SparkSession, root: str, minutes: int = RECENT_MINUTES) -> DataFrame:
+    """One row: all transactions and fraud, their rate per second of event time, and the same of the last ``minutes`` minutes.
+
+    The last minutes are whole ones and the open one; their rate is per second from the first of them to the last record.
+    """
+    rows = read_segments(spark, MINUTE_TOTALS, root)
+    ends = rows.agg(F.max("last_time").alias("last_time")).select(
+        "last_time", (F.date_trunc("minute", "last_time") - F.make_dt_interval(mins=F.lit(minutes - 1))).alias("since")
+    )
+    recent = F.col("first_time") >= ends.select("since").scalar()
+    seconds = lambda start: F.unix_micros(F.max("last_time")) - F.unix_micros(start)
+    rate = lambda count, start: F.coalesce(F.try_divide(count * F.lit(1e6), seconds(start)), F.lit(0.0))
+    of_recent = F.coalesce(F.sum(F.when(recent, F.col("processed"))), F.lit(0))
+    return rows.agg(
+        F.coalesce(F.sum("processed"), F.lit(0)).alias("total_processed"),
+        F.coalesce(F.sum("fraud"), F.lit(0)).alias("fraud_count"),
+        rate(F.sum("processed"), F.min("first_time")).alias("per_second"),
+        of_recent.alias("recent_processed"),
+        rate(of_recent, F.date_trunc("minute", F.max("last_time")) - F.make_dt_interval(mins=F.lit(minutes - 1))).alias("recent_per_second"),
+    )
+
+
 def start_alert_windows(
     alerts: DataFrame,
     path: str,

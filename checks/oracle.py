@@ -433,6 +433,14 @@ ORACLE = {
     ),
     "stream_label_alerts": with_("SELECT * FROM alerts", ALERTS),
     "stream_two_checkpoints": with_("SELECT * FROM alerts", ALERTS),
+    "stream_folded_alerts": with_("SELECT * FROM alerts", ALERTS),
+    "stream_stored_totals": with_(
+        "SELECT count(*) AS total_processed, count(*) FILTER (is_fraud=1) AS fraud_count, count(*)*1e6/(epoch_us(max(t))-epoch_us(min(t))) AS per_second,"
+        " count(*) FILTER (t>=since) AS recent_processed, count(*) FILTER (t>=since)*1e6/(epoch_us(max(t))-epoch_us(max(since))) AS recent_per_second"
+        " FROM timed, (SELECT date_trunc('minute', max(t)) - INTERVAL 4 MINUTE AS since FROM timed) s",
+        EV,
+        "timed AS (SELECT CAST(trans_date_trans_time AS TIMESTAMP) AS t, is_fraud FROM ev)",
+    ),
     "stream_window_counts": with_(
         "SELECT time_bucket(INTERVAL 5 MINUTE, trans_time) AS window_start, time_bucket(INTERVAL 5 MINUTE, trans_time) + INTERVAL 5 MINUTE AS window_end,"
         " count(*) AS new_alerts FROM alerts GROUP BY 1",

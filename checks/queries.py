@@ -701,6 +701,18 @@ def stream_two_checkpoints(spark, sf_dir):
     return untimed(detector.read_alerts(spark, root))
 
 
+@query
+def stream_folded_alerts(spark, sf_dir):
+    """Nine micro-batches, a third of the messages delivered twice, folded into few files every third batch."""
+    root = scratch_path(spark, "alerts")
+    events = event_transactions(spark, sf_dir)
+    write_message_files(events.repartition(6), f"{root}/topic")
+    write_message_files(events.where("CAST(cc_num AS BIGINT) % 3 = 0").repartition(3), f"{root}/topic")
+    files = messages.read_message_files(spark, f"{root}/topic", files_per_batch=1)
+    finish(detector.start_detector(files, root, f"{root}/checkpoint", None, AS_OF, available_now=True, fold_every=3))
+    return untimed(detector.read_alerts(spark, root))
+
+
 @query
 def stream_windows(spark, sf_dir):
     """New alerts per closed window: those that ended before the watermark."""
@@ -745,6 +757,19 @@ def stream_totals(spark, sf_dir):
     return spark.table(name)
 
 
+@query
+def stream_stored_totals(spark, sf_dir):
+    """Running totals in a table, over a stream that ends half way and is started again."""
+    root = scratch_path(spark, "totals")
+    events = event_transactions(spark, sf_dir)
+    for half in (0, 1):
+        write_message_files(events.where(f"CAST(trans_num AS BIGINT) % 2 = {half}").coalesce(1), f"{root}/topic")
+        decoded = messages.decode_json(messages.read_message_files(spark, f"{root}/topic", files_per_batch=1))
+        rows = features.with_trans_time(messages.well_formed(decoded))
+        finish(monitor.start_stored_totals(rows, root, f"{root}/checkpoint", available_now=True))
+    return monitor.read_totals(spark, root)
+
+
 @query
 def stream_notifications(spark, sf_dir):
     """Sum over the notifications of new alerts, and the newest of the last one."""
