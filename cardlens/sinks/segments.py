@@ -13,7 +13,7 @@ import datetime
 import json
 import uuid
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass
 from functools import reduce
 
@@ -139,7 +139,15 @@ class SegmentTable:
         noon = datetime.datetime.fromisoformat(day).replace(hour=12, tzinfo=datetime.timezone.utc)
         low, high = (int((noon + datetime.timedelta(hours=h)).timestamp()) * 1_000_000 for h in (-36, 36))
         near = lambda f: f.low[0] <= (True, high) and f.high[0] >= (True, low)
-        return self._rows(tuple(Segment(tuple(f for f in s.files if near(f))) for s in self.manifest(version).segments))
+        return self.read_files(self.manifest(version), lambda files: [f for f in files if near(f)])
+
+    def rows_of(self, files: Iterable[DataFile]) -> DataFrame:
+        """What was written into some files, whatever replaced it later."""
+        return self._load(files)
+
+    def read_files(self, manifest: Manifest, choose: Callable[[Iterable[DataFile]], Iterable[DataFile]]) -> DataFrame:
+        """The rows of a version from the files that ``choose`` picks of each segment; it must pick all files of a key or none."""
+        return self._rows(tuple(Segment(tuple(choose(s.files))) for s in manifest.segments))
 
     def _load(self, files: Iterable[DataFile]) -> DataFrame:
         paths = [f"{self.path}/{f.path}" for f in files]

@@ -403,6 +403,16 @@ ORACLE = {
         "w AS (SELECT CAST(cc_num AS VARCHAR) AS cc_num, trans_num, trans_date_trans_time AS trans_time, 'stale' AS merchant, amt, is_fraud, 1 AS nth FROM transactions WHERE amt<=60000"
         " UNION ALL SELECT CAST(cc_num AS VARCHAR), trans_num, trans_date_trans_time, merchant, amt, is_fraud, 2 FROM transactions WHERE amt>30000)",
     ),
+    "rollup_reports": with_(
+        "SELECT 'all' AS report, concat(min(t),'/',max(t)) AS key, COUNT(*) AS total_txn, CAST(SUM(is_fraud) AS BIGINT) AS fraud_txn,"
+        f" {pct('SUM(is_fraud)', 'COUNT(*)', 3)} AS fraud_rate_pct, {rounded(MONEY_MEAN, 2)} AS avg_amount, {rounded('max(amt)', 2)} AS max_amount FROM w"
+        f" UNION ALL SELECT 'day', substr(t,1,10), {TRAFFIC}, NULL FROM w GROUP BY 2"
+        f" UNION ALL SELECT 'category', category, {TRAFFIC}, NULL FROM w GROUP BY 2"
+        f" UNION ALL SELECT 'state', state, {TRAFFIC}, NULL FROM w GROUP BY 2",
+        tx("trans_date_trans_time", "category", "state", "amt", "is_fraud"),
+        "w AS (SELECT strftime(trans_date_trans_time,'%Y-%m-%d %H:%M:%S') AS t, CASE WHEN amt>30000 THEN category ELSE 'stale' END AS category, state,"
+        " CASE WHEN amt>30000 THEN amt ELSE amt*2 END AS amt, is_fraud FROM transactions)",
+    ),
     "log_structured_upserts": with_(
         "SELECT trans_num, CAST(cc_num AS VARCHAR) AS cc_num, CASE WHEN amt>60000 THEN merchant WHEN amt>30000 THEN 'second' ELSE 'first' END AS merchant, amt, zip, is_fraud FROM transactions",
         tx("trans_num", "cc_num", "merchant", "amt", "zip", "is_fraud"),

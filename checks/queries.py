@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens import functions as fn
-from cardlens.operators import analytics, evaluation, features, keyed, quality, sampling, scoring, serving
+from cardlens.operators import analytics, evaluation, features, keyed, quality, rollups, sampling, scoring, serving
 from cardlens.plans.import_batch import import_transactions
 from cardlens.plans.train import Training, keyed_transactions, train
 from cardlens.schema import CUSTOMER, CUSTOMER_COLUMNS, FRAUD_ALERT, FRAUD_TRANSACTION, INT, NON_FRAUD_TRANSACTION, TRANSACTION, struct_of
 from cardlens.sinks import statistics
 from cardlens.sinks.files import write_parquet
 from cardlens.sinks.keyed import upsert_keyed
+from cardlens.sinks.rollup import read_rollup
 from cardlens.sinks.messages import write_message_files
 from cardlens.sinks.segments import SegmentTable, read_segments
 from cardlens.sources.fallback import first_available
@@ -620,6 +621,25 @@ def import_rows(spark, sf_dir):
     return untimed(keyed.union_all(*history, whole))
 
 
+@query
+def rollup_reports(spark, sf_dir):
+    """The reports by day, category, state and over all, from the rollup that two overlapping imports kept; the second replaces amounts and categories."""
+    root, rows = scratch_path(spark, "import"), transactions(spark, sf_dir)
+    monthly = (FRAUD_TRANSACTION.monthly(), NON_FRAUD_TRANSACTION.monthly())
+    stale = rows.where("amt <= 60000").withColumns({"amt": F.col("amt") * 2, "category": F.lit("stale")})
+    for batch in (stale, rows.where("amt > 30000")):
+        import_transactions(batch, root, AS_OF, *monthly, rollup=True)
+    kept = read_rollup(spark, root)
+    total = rollups.kpi_overview(kept).select(
+        F.lit("all").alias("report"), F.concat_ws("/", F.lit(None).cast("string"), "first_date", "last_date").alias("key"),
+        F.col("total_transactions").alias("total_txn"), F.col("total_fraud").alias("fraud_txn"), "fraud_rate_pct", "avg_amount", "max_amount",
+    )
+    parts = [("day", rollups.daily_trend(kept).withColumnRenamed("txn_date", "day"))]
+    parts += [(key, rollups.fraud_rate_by(kept, key, k=None)) for key in ("category", "state")]
+    named = [df.withColumn("key", F.col(c).cast("string")).drop(c).withColumn("report", F.lit(c)) for c, df in parts]
+    return keyed.union_all(total, *named)
+
+
 @query
 def log_structured_upserts(spark, sf_dir):
     """Three overlapping upserts of the full record and a merge of all segments: the last write of every key."""

@@ -1,0 +1,67 @@
+"""The rollup against the reports over the whole table, after overlapping writes and after one that stopped half way."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardlens.operators import analytics, rollups
+from cardlens.schema import TRANSACTION, TRANSACTION_FIELDS
+from cardlens.sinks import rollup
+from cardlens.sinks.rollup import read_rollup, rollup_version, upsert_with_rollup
+from cardlens.sinks.segments import SegmentTable, read_segments
+
+
+def transactions(spark, rows):
+    """(number, day, category, state, amount, label) as full records."""
+    df = spark.createDataFrame(list(rows), "trans_num string, day int, category string, state string, amt double, is_fraud int")
+    df = df.withColumn("trans_date_trans_time", F.format_string("2024-01-%02d 10:00:00", "day"))
+    return df.select([(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in TRANSACTION_FIELDS.items()])
+
+
+def assert_reports_agree(spark, root):
+    full, kept = read_segments(spark, TRANSACTION, root), read_rollup(spark, root)
+    for name in ("kpi_overview", "daily_trend", "fraud_distribution"):
+        assert getattr(rollups, name)(kept).collect() == getattr(analytics, name)(full).collect(), name
+    for key in ("category", "state"):
+        assert rollups.fraud_rate_by(kept, key, k=None).collect() == analytics.fraud_rate_by(full, key, k=None).collect(), key
+    assert rollup_version(spark, root) == SegmentTable(spark, TRANSACTION, root).manifest().version
+
+
+def test_random_overlapping_writes(spark, tmp_path):
+    rnd, root = random.Random(8), str(tmp_path)
+    for _ in range(5):
+        numbers = rnd.sample(range(40), 25)
+        rows = [(f"t{n:02d}", rnd.randint(1, 3), rnd.choice(["a", "b", None]), rnd.choice(["x", "y"]), rnd.choice([None, 1.0, 2.5, 99.99, 100.0]), rnd.choice([0, 0, 1])) for n in numbers]
+        upsert_with_rollup(transactions(spark, rows), root)
+        assert_reports_agree(spark, root)
+
+
+def test_the_row_that_held_the_extremes_is_replaced(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    upsert_with_rollup(transactions(spark, [("a", 1, "c", "s", 100.0, 0), ("b", 1, "c", "s", 5.0, 0), ("z", 2, "d", "s", 7.0, 1)]), root)
+    with monkeypatch.context() as patch:  # nothing is built anew
+        patch.setattr(rollup, "_anew", None)
+        upsert_with_rollup(transactions(spark, [("a", 1, "c", "s", 3.0, 0)]), root)
+        assert {r.max_amt for r in read_rollup(spark, root).collect()} == {5.0, 7.0}
+        upsert_with_rollup(transactions(spark, [("z", 3, "c", "t", 1.0, 1)]), root)  # its group is empty now
+    assert_reports_agree(spark, root)
+    assert read_rollup(spark, root).count() == 2
+
+
+def test_a_write_that_stopped_before_the_rollup(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    upsert_with_rollup(transactions(spark, [("a", 1, "c", "s", 100.0, 0), ("b", 2, "c", "s", 5.0, 0)]), root)
+    with monkeypatch.context() as patch:
+        patch.setattr(rollup, "_delta", lambda *a: (_ for _ in ()).throw(OSError("store is down")))
+        with pytest.raises(OSError):
+            upsert_with_rollup(transactions(spark, [("b", 1, "d", "s", 6.0, 1)]), root)
+    assert read_rollup(spark, root).agg(F.sum("cents")).head()[0] == 10_500  # still of the version before
+    upsert_with_rollup(transactions(spark, [("e", 1, "d", "s", 1.0, 1)]), root)
+    assert_reports_agree(spark, root)
+
+
+def test_nothing_written(spark, tmp_path):
+    root = str(tmp_path)
+    upsert_with_rollup(transactions(spark, []), root)
+    assert read_rollup(spark, root).isEmpty() and rollups.kpi_overview(read_rollup(spark, root)).head().total_transactions == 0
