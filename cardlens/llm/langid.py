@@ -24,6 +24,8 @@ ORDER = 5
 # bound of the labelled sample: documents per language, chosen by a hash of the id
 SAMPLE_DOCS = 400
 CALIBRATION_SHARE = 0.25
+# a language with fewer documents in the sample learns from all of them, and is calibrated by what is usual for the others
+LEAST_TO_CALIBRATE = 20
 MAX_LANGUAGES = 500
 UNKNOWN = "und"
 BLANK = 32
@@ -186,7 +188,12 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, learn_from: Column | None = None) -> Models:
-    """Fit and calibrate on a sample of about ``sample_docs`` whole labelled documents per language."""
+    """Fit and calibrate on a sample of about ``sample_docs`` whole labelled documents per language.
+
+    Every label that a sampled text with a letter has is learned, however few documents have it.  Documents are chosen by their ids, so
+    repeated rows are in or out together, and reruns agree; rows without text or label teach nothing.
+    An empty table, or one without labels, gives a model that knows no language.
+    """
     learn_from = ~held_out(F.col("doc_id")) if learn_from is None else learn_from
     labelled = docs.select("doc_id", "text", "lang").filter(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = labelled.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
@@ -196,7 +203,9 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, learn_from: Column |
         return Models([], *[[np.empty(0, np.uint64)] * (ORDER + 1) for _ in range(4)], 0.0)
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, sample_docs / r["count"]))])[F.col("lang")]
     even = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.filter(even(11) < share).withColumn("calibrates", even(12) < CALIBRATION_SHARE)
+    many = [r["lang"] for r in sizes if min(r["count"], sample_docs) >= LEAST_TO_CALIBRATE]
+    calibrates = F.col("lang").isin(many) & (even(12) < CALIBRATION_SHARE)
+    sample = labelled.filter(even(11) < share).withColumn("calibrates", calibrates)
     counted = sample.filter("NOT calibrates").select("lang", "text").mapInArrow(count_grams, "lang string, gram binary, n bigint")
     table = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(table.column("lang").to_pylist()))

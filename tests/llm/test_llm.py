@@ -511,3 +511,16 @@ def test_a_labelled_node_with_the_content_stays():
     for name in ("content with-sidebar", "no-comments", "ad-free", "comments-area", "related-work"):
         assert pages.extract(f"<body><div class='{name}'><article><p>The text of it.</p></article></div></body>", None) == "The text of it.", name
     assert pages.extract("<body><div id=main><div class=ad-free>First part.</div><p id=comments>Second part.</p></div></body>", None) == "First part. Second part."
+
+
+def test_every_labelled_language_is_learned(spark):
+    """Forty languages of one document each beside a large one: none is lost to the calibration."""
+    letters = [chr(0x4E00 + 50 * i) + chr(0x4E01 + 50 * i) for i in range(40)]
+    small = spark.createDataFrame([(10_000 + i, " ".join([w] * 30), f"x{i}") for i, w in enumerate(letters)], "doc_id long, text string, lang string")
+    large = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    models = langid.train(large.unionByName(small), learn_from=F.lit(True))
+    assert {f"x{i}" for i in range(40)} <= set(models.languages)
+    found = langid.identify(small, models).join(small.select("doc_id", "lang"), "doc_id").collect()
+    assert all(r["lang_pred"] == r["lang"] for r in found)
+    alone = langid.train(small, learn_from=F.lit(True))
+    assert len(alone.languages) == 40 and langid.identify(small, alone).filter("lang_pred LIKE 'x%'").count() == 40
