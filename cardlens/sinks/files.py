@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +27,11 @@ def sorted_layout(df: DataFrame, partition: str, key: tuple[str, ...], newest: t
 
 
 def write_with_fallback(write: Callable[[], None], fallback: Callable[[], None]) -> str:
-    """Run ``write``; if the store refuses it as a whole, run ``fallback``."""
+    """Run ``write``; if the store refuses it as a whole, run ``fallback``.  Errors of the program itself are raised."""
     try:
         write()
         return "primary"
-    except Exception:
+    except (PySparkException, Py4JJavaError, OSError):
         fallback()
         return "fallback"
 

@@ -403,6 +403,7 @@ ORACLE = {
         "w AS (SELECT CAST(cc_num AS VARCHAR) AS cc_num, trans_num, trans_date_trans_time AS trans_time, 'stale' AS merchant, amt, is_fraud, 1 AS nth FROM transactions WHERE amt<=60000"
         " UNION ALL SELECT CAST(cc_num AS VARCHAR), trans_num, trans_date_trans_time, merchant, amt, is_fraud, 2 FROM transactions WHERE amt>30000)",
     ),
+    "resumed_write": with_("SELECT * FROM transactions", tx("trans_num", "cc_num", "amt", "category")),
     "rollup_reports": with_(
         "SELECT 'all' AS report, concat(min(t),'/',max(t)) AS key, COUNT(*) AS total_txn, CAST(SUM(is_fraud) AS BIGINT) AS fraud_txn,"
         f" {pct('SUM(is_fraud)', 'COUNT(*)', 3)} AS fraud_rate_pct, {rounded(MONEY_MEAN, 2)} AS avg_amount, {rounded('max(amt)', 2)} AS max_amount FROM w"

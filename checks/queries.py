@@ -18,7 +18,7 @@ from cardlens.operators import analytics, evaluation, features, keyed, quality,
 from cardlens.plans.import_batch import import_transactions
 from cardlens.plans.train import Training, keyed_transactions, train
 from cardlens.schema import CUSTOMER, CUSTOMER_COLUMNS, FRAUD_ALERT, FRAUD_TRANSACTION, INT, NON_FRAUD_TRANSACTION, TRANSACTION, struct_of
-from cardlens.sinks import statistics
+from cardlens.sinks import external, statistics
 from cardlens.sinks.files import write_parquet
 from cardlens.sinks.keyed import upsert_keyed
 from cardlens.sinks.rollup import read_rollup
@@ -596,6 +596,23 @@ def keyed_upsert(spark, sf_dir):
     return untimed(read_keyed(spark, monthly, root).select("cc_num", "trans_time", "trans_num", "merchant", "trans_month"))
 
 
+@query
+def resumed_write(spark, sf_dir):
+    """All transactions written in chunks by a writer that stops half way and is started again."""
+    root, full = scratch_path(spark, "external"), transactions(spark, sf_dir, "trans_num", "cc_num", "amt", "category")
+
+    def store(rows: DataFrame, number: int, stops: bool) -> None:
+        if stops and number == 2:
+            raise OSError("store is down")
+        rows.write.mode("overwrite").parquet(f"{root}/stored/part={number}")
+
+    try:
+        external.write_chunks(full, f"{root}/ledger", lambda rows, n: store(rows, n, True), chunks=4, attempts=1)
+    except OSError:
+        external.write_chunks(full.limit(0), f"{root}/ledger", lambda rows, n: store(rows, n, False), chunks=4)
+    return spark.read.parquet(f"{root}/stored").drop("part")
+
+
 @query
 def import_tables(spark, sf_dir):
     """Rows of every table that the import writes, and rows seen."""
