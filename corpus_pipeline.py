@@ -38,26 +38,40 @@ def _only(docs: DataFrame, decided: DataFrame, *keys: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the models recognise; they are learned from the labelled ones."""
+    """Documents whose language the models recognise; they are learned from the labelled ones.
+
+    Documents without text or letters have no language and go, as do all where none is labelled.  Repeated rows stay or go
+    together, texts of any length are read whole, an empty table stays empty.
+    """
     ship(spark)
     return accept(docs, train(docs))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each set of equal texts, that with the largest id; a repeated row stays once."""
+    """One document of each set of equal texts, that with the largest id; a repeated row stays once.
+
+    A missing text equals an empty one.  Columns of any name are carried in a struct, so none can clash.
+    """
     kept = exact_dedup(docs).filter("kept").select("doc_id", "text_sha256").distinct()
     signed = _whole(docs, "doc_id", F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256).alias("text_sha256"))
     return _only(signed, kept, "doc_id", "text_sha256").dropDuplicates(["doc_id", "text_sha256"]).select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates, that with the least id."""
+    """One document of each component of near duplicates, that with the least id.
+
+    Documents without words are linked with nothing and stay; rows that share an id stay or go together.
+    """
     ship(spark)
     return _only(_whole(docs, "doc_id"), near_duplicates(docs).filter("kept").select("doc_id"), "doc_id").select("row.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a document as often as it is taken whole, and once more with the words taken beyond that."""
+    """The mix: a document as often as it is taken whole, and once more with the words taken beyond that.
+
+    Documents without words have size 0, so none of theirs are taken and they are not in the mix; a missing source is one of its
+    own.  ``n_chars`` is counted anew.  Ties in the quotas go by a fixed order, so reruns agree.
+    """
     taken = mix_sources(docs).groupBy("doc_id", "source", "size").agg(F.max("taken").alias("_taken")).filter("_taken > 0")
     sized = _whole(docs, "doc_id", F.col("source").alias("from"), "text", n_words(F.col("text")).alias("words"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("from").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size"))
@@ -72,7 +86,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's token ids with their number and digests."""
+    """Every document's token ids with their number and digests; a missing text is an empty one, with no tokens."""
     ship(spark)
     return encode_documents(docs, vocabulary_path(), keep_ids=True)
 
