@@ -301,6 +301,28 @@ def test_top_k_equals_brute_force(make):
     assert got == want
 
 
+def test_top_k_prunes_clusters(make, monkeypatch):
+    rnd = np.random.default_rng(5)
+    centres = rnd.normal(0, 1, (40, 64))
+    rows = [(i, [float(x) for x in centres[i % 40] + rnd.normal(0, 0.1, 64)]) for i in range(2000)]
+    vectors = make(rows, "vec_id bigint, embedding array<double>")
+    asked = vectors.filter("vec_id % 50 = 0")
+    by_level = {r["segments"]: r for r in topk.pruning(vectors, asked).collect()}
+    assert sorted(by_level) == [4, 8, 16, 32] and by_level[4]["met"] == 40 * 1999
+    assert all(by_level[s]["left"] == by_level[2 * s]["met"] for s in (4, 8, 16))
+    assert by_level[32]["left"] < 0.2 * by_level[4]["met"]
+    # small blocks, so that thresholds are carried on, and many passes
+    want = topk.top_k(vectors, asked).orderBy("query_id", "rank").collect()
+    for name, value in {"QUERY_BLOCK": 8, "VECTOR_BLOCK": 50, "PASS_BYTES": 10_000}.items():
+        monkeypatch.setattr(topk, name, value)
+    again = topk.top_k(vectors, asked)
+    assert again.orderBy("query_id", "rank").collect() == want
+    whole = {i: np.floor(256 * np.array(v)) for i, v in rows}
+    for q in (0, 50, 1950):
+        scored = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:5]
+        assert [(r["vec_id"], -r["score"]) for r in want if r["query_id"] == q] == [(i, s) for s, i in scored]
+
+
 def test_quality_on_held_out_texts(workers, make):
     docs = workers.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = workers.read.parquet("/root/testdata/sf0.01/labels.parquet")
