@@ -55,7 +55,7 @@ SHARED = 0.95
 PIVOTS = 128
 LEAST_PAGES = 4
 EXACT_CELLS = 2500  # child lists up to this size are aligned exactly; longer ones by anchors and runs
-MAX_DEPTH = 150  # deeper elements are taken as children of the element at this depth
+ALIGNED_DEPTH = 150  # template is induced down to this depth; an element there is one block with all that is below it
 
 
 @dataclass
@@ -90,6 +90,13 @@ def parse(source: str) -> Node:
     """A tree of the page; unclosed and stray tags are taken as browsers commonly do."""
     root = Node("#root")
     stack, at, low = [root], 0, source.lower()
+    open_: dict[str, int] = {}  # of each tag, how many are in the stack
+
+    def leave(depth: int) -> None:
+        for n in stack[depth:]:
+            open_[n.tag] -= 1
+        del stack[depth:]
+
     while at < len(source):
         begin = source.find("<", at)
         if begin < 0:
@@ -107,24 +114,24 @@ def parse(source: str) -> Node:
             continue
         tag, closing = found[2].lower(), bool(found[1])
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if open_.get(tag) else ():
                 if stack[depth].tag == tag:
-                    del stack[depth:]
+                    leave(depth)
                     break
                 if tag in INLINE and stack[depth].tag not in INLINE:
                     break
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and open_.get("p"):
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == "p":
-                    del stack[depth:]
+                    leave(depth)
                     break
                 if stack[depth].tag not in INLINE:
                     break
         if tag in CLOSES_SELF:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag in CLOSES_SELF[tag]:
-                    del stack[depth:]
+                    leave(depth)
                     break
                 if stack[depth].tag in STOPS:
                     break
@@ -136,8 +143,9 @@ def parse(source: str) -> Node:
             node.children.append(source[at:end])
             close = source.find(">", end)
             at = len(source) if close < 0 else close + 1
-        elif tag not in VOID and len(stack) < MAX_DEPTH and not (found[3] or "").endswith("/"):
+        elif tag not in VOID and not (found[3] or "").endswith("/"):
             stack.append(node)
+            open_[tag] = open_.get(tag, 0) + 1
     return root
 
 
@@ -172,18 +180,16 @@ def boilerplate(node: Node, inside: bool, labels: bool = True) -> bool:
 def text_of(node: Node, constant: frozenset = frozenset(), inside: bool = True) -> str:
     """The node's text: references decoded, white space to single blanks, blocks joined by one blank."""
     parts: list[str] = []
-
-    def walk(n: Node) -> None:
-        for child in n.children:
-            if isinstance(child, str):
-                parts.append(html.unescape(child))
-            elif not boilerplate(child, inside) and child.mark not in constant:
-                edge = "" if child.tag in INLINE else " "
-                parts.append(edge)
-                walk(child)
-                parts.append(edge)
-
-    walk(node)
+    ahead = node.children[::-1]  # the next one last
+    while ahead:
+        child = ahead.pop()
+        if isinstance(child, str):
+            parts.append(html.unescape(child))
+        elif not boilerplate(child, inside) and child.mark not in constant:
+            if child.tag not in INLINE:
+                parts.append(" ")
+                ahead.append(" ")
+            ahead += child.children[::-1]
     return " ".join("".join(parts).split())
 
 
@@ -335,14 +341,14 @@ def signed(text: str) -> str:
     return f"{len(text)}:{xxhash.xxh3_128_hexdigest(text)}" if text else ""
 
 
-def blocks_of(node: Node) -> list[Node]:
+def blocks_of(node: Node, depth: int) -> list[Node]:
     """The children that are aligned; in-line elements, scripts and breaks are no blocks of their own."""
-    return [c for c in node.elements() if c.tag not in INLINE and c.tag not in RAW and c.tag not in VOID]
+    return [c for c in node.elements() if c.tag not in INLINE and c.tag not in RAW and c.tag not in VOID] if depth < ALIGNED_DEPTH else []
 
 
-def skeleton(node: Node) -> list:
+def skeleton(node: Node, depth: int = 1) -> list:
     """The tree for the pivot: tag, labels, digest of the text, children; in-line elements are part of the text."""
-    blocks = [skeleton(c) for c in blocks_of(node)]
+    blocks = [skeleton(c, depth + 1) for c in blocks_of(node, depth)]
     return [node.tag, sorted(node.labels), signed(text_of(node)) if not blocks else "", blocks, sorted(node.names)]
 
 
@@ -354,10 +360,10 @@ def revived(spec: list, numbered: list[Node]) -> Node:
     return node
 
 
-def trimmed(node: Node) -> Node:
+def trimmed(node: Node, depth: int = 1) -> Node:
     """The same tree as in the pivot, pointing at the page's own nodes."""
     copy = Node(node.tag, node.labels)
-    copy.children = [trimmed(c) for c in blocks_of(node)]
+    copy.children = [trimmed(c, depth + 1) for c in blocks_of(node, depth)]
     copy.text = "" if copy.children else signed(text_of(node))
     copy.role = node  # the page's node
     return copy
@@ -372,15 +378,15 @@ def align(pivot: Node, page: Node) -> list[tuple[Node, Node, bool]]:
 
 def lengths(node: Node, known: dict[int, int]) -> int:
     """Characters of text below every node, left out what tags and roles drop; fills ``known`` by the nodes' identity."""
-    total = 0
-    for child in node.children:
-        if isinstance(child, str):
-            total += len(child.strip())
-        else:
-            below = lengths(child, known)
-            total += 0 if boilerplate(child, True, labels=False) else below
-    known[id(node)] = total
-    return total
+    for n in reversed([node, *_all(node)]):
+        total = 0
+        for child in n.children:
+            if isinstance(child, str):
+                total += len(child.strip())
+            elif not boilerplate(child, True, labels=False):
+                total += known[id(child)]
+        known[id(n)] = total
+    return known[id(node)]
 
 
 def spare(root: Node) -> list[Node]:
@@ -389,18 +395,16 @@ def spare(root: Node) -> list[Node]:
     if declared:
         return declared
 
-    def walk(n: Node) -> bool:
-        holds = False
-        for c in n.elements():
-            if boilerplate(c, False, labels=False):
-                continue
-            below = walk(c)
-            if below and labelled(c) and c.tag != "article":
-                c.kept = True
-            holds = holds or below or bool(landmark(c)) and not (c.tag == "article" and labelled(c))
-        return holds
-
-    return landmarks(root) if walk(root) else []
+    seen, holding = [(root, None)], set()
+    for n, _ in seen:  # parents before children
+        seen += [(c, n) for c in n.elements() if not boilerplate(c, False, labels=False)]
+    for n, above in reversed(seen[1:]):
+        below = id(n) in holding
+        if below and n.tag != "article" and labelled(n):
+            n.kept = True
+        if below or landmark(n) and not (n.tag == "article" and labelled(n)):
+            holding.add(id(above))
+    return landmarks(root) if holding else []
 
 
 def spare_most(root: Node) -> None:
@@ -446,17 +450,15 @@ def landmark(n: Node) -> str:
 def landmarks(root: Node) -> list[Node]:
     """Elements that declare themselves the main content, outermost and in page order, boilerplate left out."""
     found: list[Node] = []
-
-    def walk(n: Node) -> None:
-        for c in n.elements():
-            if boilerplate(c, False):
-                continue
-            if landmark(c):
-                found.append(c)
-            else:
-                walk(c)
-
-    walk(root)
+    ahead = root.elements()[::-1]
+    while ahead:
+        n = ahead.pop()
+        if boilerplate(n, False):
+            continue
+        if landmark(n):
+            found.append(n)
+        else:
+            ahead += n.elements()[::-1]
     return found
 
 
@@ -505,9 +507,12 @@ def extract(source: str, wrapper: str | None) -> str:
 
 
 def _all(node: Node) -> Iterator[Node]:
-    for c in node.elements():
-        yield c
-        yield from _all(c)
+    """The elements below a node, in page order."""
+    ahead = node.elements()[::-1]
+    while ahead:
+        n = ahead.pop()
+        yield n
+        ahead += n.elements()[::-1]
 
 
 def _holds(outer: Node, inner: Node) -> bool:

@@ -579,3 +579,22 @@ def test_every_labelled_language_is_learned(spark):
     assert all(r["lang_pred"] == r["lang"] for r in found)
     alone = langid.train(small, learn_from=F.lit(True))
     assert len(alone.languages) == 40 and langid.identify(small, alone).filter("lang_pred LIKE 'x%'").count() == 40
+
+
+def test_pages_of_any_depth():
+    for depth in (10, 149, 400, 60_000):
+        deep = "<div>" * depth + "<nav>One</nav>text<p>Menu?</p><footer>Imprint</footer><div class=comments>bad</div><aside>Advert</aside>" + "</div>" * depth + "<p>after</p>"
+        assert pages.extract(f"<body>{deep}</body>", None) == "text Menu? after", depth
+        assert pages.extract(f"<body><article>{deep}</article></body>", None) == "text Menu? after", depth
+    # a template below the depth that is aligned: the host's pages still give their own text
+    sources = ["<body><div>Site</div>" + "<div>" * 200 + f"<p>Story {i} of its own</p>" + "</div>" * 200 + "</body>" for i in range(6)]
+    pivot = pages.json.dumps(pages.skeleton(pages.parse(sources[0])))
+    sums = {}
+    for source in sources:
+        for mark, same, length in pages.observed(pivot, source):
+            total = sums.setdefault(mark, [0, 0, 0])
+            total[0], total[1], total[2] = total[0] + 1, total[1] + same, total[2] + length
+    wrapper = pages.wrapper_of(pivot, [(m, *v) for m, v in sorted(sums.items())])
+    assert [pages.extract(x, wrapper) for x in sources] == [f"Story {i} of its own" for i in range(6)]
+    # end tags without a begin, deep in open elements
+    assert pages.extract("<div>" * 20_000 + "x</p></b></li>" * 20_000, None) == "x" * 20_000
