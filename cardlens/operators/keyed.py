@@ -15,10 +15,15 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def customer_rows(df: DataFrame, columns: tuple[str, ...] = CUSTOMER_COLUMNS) -> DataFrame:
+    """The cardholder's columns of every row."""
+    casts = {"zip": F.col("zip").cast("string"), "dob": F.col("dob").try_cast("timestamp")}
+    return df.select([casts.get(c, F.col(c)).alias(c) for c in columns])
+
+
 def customer_dim(df: DataFrame, columns: tuple[str, ...] = CUSTOMER_COLUMNS) -> DataFrame:
     """Distinct cardholder rows; a card whose details differ between rows appears several times."""
-    casts = {"zip": F.col("zip").cast("string"), "dob": F.col("dob").try_cast("timestamp")}
-    return df.select([casts.get(c, F.col(c)).alias(c) for c in columns]).distinct()
+    return customer_rows(df, columns).distinct()
 
 
 def latest_per_key(df: DataFrame, key: tuple[str, ...], newest: list[Column]) -> DataFrame:
@@ -29,3 +34,14 @@ def latest_per_key(df: DataFrame, key: tuple[str, ...], newest: list[Column]) ->
     """
     order = Window.partitionBy(*key).orderBy(*newest)
     return df.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
+
+
+def latest_in_ranges(df: DataFrame, ranges: list[str], places: list[str], identity: list[Column], newest: list[Column]) -> DataFrame:
+    """One row per key, the first by ``newest``, dealt out by ranges of the key and sorted by ``places``, or by the ranges: one shuffle for both.
+
+    ``ranges`` are columns that are equal for rows of one key, so those meet in one range; ``places`` are columns that follow from
+    them, and ``identity`` is what else tells keys apart.  For keys with few copies each: copies meet after the shuffle only.
+    """
+    dealt = df.repartitionByRange(*ranges)
+    order = Window.partitionBy(*places, *ranges, *identity).orderBy(*newest)
+    return dealt.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place").sortWithinPartitions(*places or ranges)

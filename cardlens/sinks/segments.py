@@ -21,13 +21,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardlens.operators.keyed import latest_in_ranges
 from cardlens.schema import KeyedTable
 from cardlens.sinks.files import MAX_RECORDS_PER_FILE
-from cardlens.sinks.keyed import keyless, one_per_key, winner_order
+from cardlens.sinks.keyed import keyless, winner_order
 from cardlens.workspace import list_files, put_text, remove_path
 
 FAN = 4
 CONTENT = "_content"
+SPREAD = "_spread"
+AGE = "_age"
 
 
 @dataclass(frozen=True)
@@ -166,11 +169,17 @@ class SegmentTable:
                 parts.append(self._load(clear))
             if mixed:
                 around, _ = overlapping(newer, mixed)
-                parts.append(self._without(self._load(mixed), self._load(around)))
+                parts.append(self._without(self._load(mixed), self._load(around), self._keyed_throughout(mixed)))
             newer = [*newer, *segment.files]
         return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], self.schema)
 
-    def _without(self, rows: DataFrame, newer: DataFrame) -> DataFrame:
+    def _keyed_throughout(self, files: Iterable[DataFile]) -> bool:
+        """Whether no row lacks its key, as far as the ranges tell: a missing part sorts first, but only the first part shows in them."""
+        return len(self.table.key) == 1 and all(f.low[0][0] for f in files)
+
+    def _without(self, rows: DataFrame, newer: DataFrame, keyed: bool) -> DataFrame:
+        if keyed:  # nothing but the key is read of ``newer``, and nothing but what is asked for of ``rows``
+            return rows.join(newer.select(*self.table.key), list(self.table.key), "left_anti")
         names = [*self.table.key, CONTENT]
         keys = self._identified(newer).select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(names)])
         same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(names)])
@@ -186,7 +195,7 @@ class SegmentTable:
     def upsert(self, df: DataFrame, compact: bool = True) -> Manifest:
         """Add ``df`` as a segment of its own; no stored file is read or rewritten, but for a merge that falls due."""
         typed = df.select([F.col(name).try_cast(kind).alias(name) for name, kind in self.table.fields.items()])
-        files = self._write(one_per_key(typed, self.table, winner_order(self.table)))
+        files = self._write(typed, winner_order(self.table))
         manifest = self.manifest()
         if files:
             manifest = self._commit(Manifest(manifest.version + 1, (*manifest.segments, Segment(files))))
@@ -198,11 +207,21 @@ class SegmentTable:
         names = [*time, *[c for c in self.table.key if c not in time]]
         return [F.unix_micros(c) if isinstance(self.table.fields[c], T.TimestampType) else F.col(c) for c in names]
 
-    def _write(self, rows: DataFrame) -> tuple[DataFile, ...]:
-        """Rows in files that each hold a range of keys; rows without key are dealt out by their content."""
+    def _write(self, rows: DataFrame, newest: list[Column]) -> tuple[DataFile, ...]:
+        """The first row by ``newest`` of every key, in files that each hold a range of keys; rows without key are dealt out by their content.
+
+        One shuffle brings copies of a key together and makes the ranges: rows are dealt out by range first and
+        ranked where they lie.
+        """
+        keys = [self.table.time] if self.table.time in self.table.key else []
+        keys += [c for c in self.table.key if c not in keys]
+        ranges = list(keys)
+        if any(rows.schema[c].nullable for c in keys):  # a column that is always null would not count as a range
+            rows, ranges = rows.withColumn(SPREAD, F.when(keyless(self.table), F.xxhash64(*self.table.fields))), [*keys, SPREAD]
+        whole = F.when(keyless(self.table), F.struct(*self.table.fields))
+        placed = latest_in_ranges(rows, ranges, [], [whole], newest).select(*self.table.fields)
         folder = f"data/{uuid.uuid4().hex}"
-        order = [*self._order(), F.when(keyless(self.table), F.xxhash64(*self.table.fields))]
-        writer = rows.repartitionByRange(*order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        writer = placed.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         for name in self.table.key:  # a look-up of one key skips the files that do not hold it
             writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
         writer.parquet(f"{self.path}/{folder}")
@@ -237,8 +256,9 @@ class SegmentTable:
             rewrite += mixed
             keep += clear
         again = set(rewrite)
-        mixed_run = tuple(Segment(tuple(f for f in s.files if f in again)) for s in run)
-        merged = self._write(self._rows(mixed_run)) if rewrite else ()
+        # all versions of a row meet in the one shuffle that writing needs anyway
+        aged = [self._load(files).withColumn(AGE, F.lit(age)) for age, s in enumerate(run) if (files := [f for f in s.files if f in again])]
+        merged = self._write(reduce(DataFrame.unionByName, aged), [F.desc(AGE)]) if rewrite else ()
         whole = Segment(tuple(sorted([*keep, *merged], key=lambda f: f.low)))
         return self._commit(Manifest(manifest.version + 1, (*old, whole)))
 

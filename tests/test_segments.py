@@ -10,6 +10,7 @@ from cardlens.schema import FRAUD_TRANSACTION, STRING, KeyedTable
 from cardlens.schema import DOUBLE
 from cardlens.sinks import segments
 from cardlens.sinks.segments import ConcurrentWrite, DataFile, Manifest, Segment, SegmentTable, overlapping
+from cardlens.workspace import snapshot
 from tests.test_sinks import history
 
 PAIRS = KeyedTable(name="pairs", fields={"k": STRING, "v": DOUBLE}, key=("k",), newest=("v",), partition="bucket")
@@ -159,3 +160,32 @@ def test_ranges_against_all_pairs():
 def test_manifest_text_round_trip():
     manifest = Manifest(3, (Segment((DataFile("data/x", 2, ((False, ""), (True, 5)), ((True, "é"), (True, 7))),)),))
     assert Manifest.parse(manifest.text()) == manifest
+
+
+def test_a_write_and_a_merge_shuffle_rows_once(spark, tmp_path, monkeypatch):
+    """Copies of a key meet in the shuffle that makes the ranges; none is sorted or moved a second time."""
+    stored, plans, write = SegmentTable(spark, PAIRS, str(tmp_path)), [], segments.latest_in_ranges
+
+    def noted(*args):
+        made = write(*args)
+        plans.append(made._jdf.queryExecution().executedPlan().toString())
+        return made
+
+    monkeypatch.setattr(segments, "latest_in_ranges", noted)
+    first = numbered(spark, 0, 1_000, 1).unionByName(numbered(spark, 500, 700, 2))
+    stored.upsert(snapshot(first).where("k IS NOT NULL"))
+    stored.upsert(numbered(spark, 600, 1_200, 3))
+    stored.compact(everything=True)
+    assert len(plans) == 3 and all(p.count("Exchange ") == 1 and p.count("Sort [") == 1 and "Join" not in p for p in plans)
+    values = {int(r.k): r.v for r in stored.read().collect()}
+    assert values == {i: 3.0 if i >= 600 else 2.0 if i >= 500 else 1.0 for i in range(1_200)}
+
+
+def test_a_read_compares_keys_alone(spark, tmp_path):
+    stored = SegmentTable(spark, PAIRS, str(tmp_path))
+    stored.upsert(numbered(spark, 0, 100, 1))
+    stored.upsert(numbered(spark, 50, 150, 2))
+    rows = stored.read().select("k")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "ReadSchema: struct<k:string,v:double>" not in plan
+    assert rows.distinct().count() == rows.count() == 150
