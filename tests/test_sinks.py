@@ -8,7 +8,7 @@ from cardlens.operators.features import enrich, fraud_rows, history_rows
 from cardlens.plans.import_batch import import_transactions
 from cardlens.schema import CUSTOMER, FRAUD_TRANSACTION, NON_FRAUD_TRANSACTION, TRANSACTION
 from cardlens.sinks.files import write_parquet, write_store, write_with_fallback
-from cardlens.sinks.keyed import upsert_keyed
+from cardlens.sinks.keyed import _by_time, partition_value, upsert_keyed, winner_order
 from cardlens.sinks.segments import read_segments
 from cardlens.sinks.report import training_report
 from cardlens.sources.keyed import read_keyed
@@ -201,3 +201,13 @@ def test_rows_without_key_are_set_apart(spark, tmp_path):
     expected = rows.where(bad).count()
     assert seen.quarantined == expected == spark.read.parquet(f"{root}/quarantine").count() > 0
     assert seen.total == 6000 == expected + read_segments(spark, TRANSACTION, root).count()
+
+
+def test_history_rows_are_shuffled_once(spark, tmp_path):
+    """Folders, order and last writes come of one shuffle by ranges, whether or not rows are stored already."""
+    rows = snapshot(history(spark, ("1", "2020-01-01 10:00:00", "a", 1.0), ("1", "2020-01-01 10:00:00", "b", 2.0))).withColumn("trans_month", partition_value(MONTHLY))
+    for table_rows, newest in ((rows, winner_order(MONTHLY)), (rows.withColumn("_new", F.lit(1)), [F.desc("_new"), *winner_order(MONTHLY)])):
+        laid = _by_time(table_rows, MONTHLY, newest)
+        plan = laid._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == 1 and plan.count("Sort [") == 1
+        assert [r.trans_num for r in laid.collect()] == ["b"] and "_new" not in laid.columns
