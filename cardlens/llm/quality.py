@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, partial
 from itertools import groupby
 
 import numpy as np
@@ -39,7 +39,7 @@ VALIDATION_SHARE = 0.2
 # characters whose words are counted together; pairs of text and word, and places, whose vectors are held at once
 COUNTED_AT_ONCE = 1 << 22
 PAIRS_AT_ONCE = 1 << 17
-PLACES_AT_ONCE = 1 << 14
+PLACES_AT_ONCE = 1 << 16
 SAMPLE_PARTITIONS = 4
 
 
@@ -97,14 +97,14 @@ class Words:
         self.forms = [(e.dictionary, e.indices.to_numpy(zero_copy_only=False).astype(np.int64)) for e in encoded]
 
 
-def index_rows(tokens: list[str]) -> np.ndarray:
-    """The index vectors of many tokens, as rows."""
-    bits = np.fromiter((xxhash.xxh3_64_intdigest(t, seed=5) for t in tokens), np.uint64, len(tokens))
-    made, row = np.zeros((len(tokens), SIZE), np.float32), np.arange(len(tokens))
+def index_rows(tokens: list[str], kind: type = np.float32, size: float = 1) -> np.ndarray:
+    """The index vectors of many tokens, as rows whose NONZERO signs count ``size`` each."""
+    bits = np.fromiter(map(partial(xxhash.xxh3_64_intdigest, seed=5), tokens), np.uint64, len(tokens))
+    made, first = np.zeros(len(tokens) * SIZE, kind), np.arange(len(tokens)) * SIZE
     for i in range(NONZERO):
-        sign = np.where(bits >> np.uint64(60 - i) & np.uint64(1), np.float32(1), np.float32(-1))
-        made[row, (bits >> np.uint64(8 * i)) % np.uint64(SIZE)] += sign
-    return made
+        sign = np.where(bits >> np.uint64(60 - i) & np.uint64(1), kind(size), kind(-size))
+        made[first + ((bits >> np.uint64(8 * i)) % np.uint64(SIZE)).astype(np.int64)] += sign
+    return made.reshape(-1, SIZE)
 
 
 @dataclass
@@ -124,7 +124,7 @@ class Vectors:
         place = self.places(forms, kind)
         strange = place == len(self.vocabulary) + kind
         made = self.matrix[place]
-        made[strange] = index_rows(forms.filter(pa.array(strange)).to_pylist()) / np.float32(np.sqrt(NONZERO))
+        made[strange] = index_rows(forms.filter(pa.array(strange)).to_pylist(), size=1 / np.sqrt(NONZERO))
         return made, strange
 
     def features(self, texts: pa.Array) -> np.ndarray:
@@ -201,8 +201,9 @@ def add_contexts(total: np.ndarray, texts: pa.Array, known: Vectors) -> None:
     if not len(words.code):
         return
     (lower, of_lower), (shaped, of_shape) = words.forms
-    vectors = index_rows(lower.to_pylist())[of_lower] + index_rows(shaped.to_pylist())[of_shape]
-    vectors = np.concatenate([vectors, np.zeros((1, SIZE), np.float32)]).T.copy()  # the last word stands between texts
+    # whole numbers that stay below 128 even when all places within reach are added up: 2 * REACH * 2 * NONZERO
+    vectors = index_rows(lower.to_pylist(), np.int8)[of_lower] + index_rows(shaped.to_pylist(), np.int8)[of_shape]
+    vectors = np.concatenate([vectors, np.zeros((1, SIZE), np.int8)]).T.copy()  # the last word stands between texts
     gap, last = vectors.shape[1] - 1, total.shape[1] - 1
     rows = [np.append(known.places(forms, kind)[form], last) for kind, (forms, form) in enumerate(words.forms)]
     breaks = np.flatnonzero(np.diff(words.text)) + 1
@@ -211,8 +212,8 @@ def add_contexts(total: np.ndarray, texts: pa.Array, known: Vectors) -> None:
         end = min(start + PLACES_AT_ONCE, len(places) - REACH)
         near, at = places[start - REACH : end + REACH], [row[places[start:end]] for row in rows]
         for dimension in range(SIZE):
-            met = vectors[dimension][near].astype(np.float64)
-            around = sum(met[REACH + step : REACH + step + end - start] for step in range(-REACH, REACH + 1) if step)
+            met = vectors[dimension][near]
+            around = sum(met[REACH + step : REACH + step + end - start] for step in range(-REACH, REACH + 1) if step).astype(np.float64)
             for row in at:
                 total[dimension] += np.bincount(row, around, last + 1).astype(np.int64)
 

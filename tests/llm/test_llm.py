@@ -598,3 +598,12 @@ def test_pages_of_any_depth():
     assert [pages.extract(x, wrapper) for x in sources] == [f"Story {i} of its own" for i in range(6)]
     # end tags without a begin, deep in open elements
     assert pages.extract("<div>" * 20_000 + "x</p></b></li>" * 20_000, None) == "x" * 20_000
+
+
+def test_index_vectors_as_small_numbers_and_scaled():
+    tokens = [f"w{i}" for i in range(500)]
+    whole = quality.index_rows(tokens)
+    small = quality.index_rows(tokens, np.int8)
+    assert small.dtype == np.int8 and (small == whole).all() and np.abs(small).max() <= quality.NONZERO
+    assert (quality.index_rows(tokens, size=0.5) == whole / 2).all()
+    assert 2 * quality.REACH * 2 * quality.NONZERO < 128  # what is added up for one place
