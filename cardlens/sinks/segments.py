@@ -221,7 +221,7 @@ class SegmentTable:
         whole = F.when(keyless(self.table), F.struct(*self.table.fields))
         placed = latest_in_ranges(rows, ranges, [], [whole], newest).select(*self.table.fields)
         folder = f"data/{uuid.uuid4().hex}"
-        writer = placed.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        writer = placed.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", "zstd")
         for name in self.table.key:  # a look-up of one key skips the files that do not hold it
             writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
         writer.parquet(f"{self.path}/{folder}")

@@ -189,3 +189,9 @@ def test_a_read_compares_keys_alone(spark, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Join" in plan and "ReadSchema: struct<k:string,v:double>" not in plan
     assert rows.distinct().count() == rows.count() == 150
+
+
+def test_segments_are_written_small(spark, tmp_path):
+    stored = SegmentTable(spark, PAIRS, str(tmp_path))
+    made = files_of(stored.upsert(numbered(spark, 0, 100, 1)))
+    assert made and all(path.endswith(".zstd.parquet") for path in made) and stored.read().count() == 100
