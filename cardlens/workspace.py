@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own_dirs: dict[str, str] = {}
 
 
@@ -67,6 +70,21 @@ def put_text(spark: SparkSession, path: str, text: str) -> bool:
     return files.rename(draft, target)
 
 
+@contextmanager
+def passing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes within are removed as each write ends, whatever way it ends.
+
+    Else they lie on the executors' disks until the driver next collects its garbage, which a driver that holds little does seldom:
+    a job of several writes would need room for the shuffles of all of them at once.
+    """
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
+
+
 def snapshot(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet and read it back: one computation, short lineage.
 
@@ -75,5 +93,6 @@ def snapshot(df: DataFrame, path: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, "snapshot")
-    df.write.mode("overwrite").parquet(path)
+    with passing_shuffles(spark):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
