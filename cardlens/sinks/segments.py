@@ -5,6 +5,7 @@ oldest first, with the least and the greatest key of every file; a new one is pu
 rename, so a reader sees the table before or after a write.  Rows of a later segment replace those of an earlier
 one when the table is read.  Segments of like size that follow one another are merged, and of those only the files whose
 keys lie within the range of another's file are written anew; the others pass from one segment to the next as they are.
+A large merge goes range by range.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ from cardlens.operators.keyed import latest_in_ranges
 from cardlens.schema import KeyedTable
 from cardlens.sinks.files import MAX_RECORDS_PER_FILE
 from cardlens.sinks.keyed import keyless, winner_order
-from cardlens.workspace import list_files, put_text, remove_path
+from cardlens.workspace import list_files, passing_shuffles, put_text, remove_path
 
 FAN = 4
+MERGE_ROWS = 25_000_000
 CONTENT = "_content"
 SPREAD = "_spread"
 AGE = "_age"
@@ -224,7 +226,8 @@ class SegmentTable:
         writer = placed.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", "zstd")
         for name in self.table.key:  # a look-up of one key skips the files that do not hold it
             writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
-        writer.parquet(f"{self.path}/{folder}")
+        with passing_shuffles(self.spark):
+            writer.parquet(f"{self.path}/{folder}")
         key = F.struct(*[F.struct(c.isNotNull().alias("known"), c.alias("value")) for c in self._order()])
         stored = self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}")
         ranges = stored.groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
@@ -256,12 +259,23 @@ class SegmentTable:
             rewrite += mixed
             keep += clear
         again = set(rewrite)
-        # all versions of a row meet in the one shuffle that writing needs anyway
-        aged = [self._load(files).withColumn(AGE, F.lit(age)) for age, s in enumerate(run) if (files := [f for f in s.files if f in again])]
-        merged = self._write(reduce(DataFrame.unionByName, aged), [F.desc(AGE)]) if rewrite else ()
+        merged = [f for low, high in _passes(rewrite) for f in self._merged([[f for f in s.files if f in again] for s in run], low, high)]
         whole = Segment(tuple(sorted([*keep, *merged], key=lambda f: f.low)))
         return self._commit(Manifest(manifest.version + 1, (*old, whole)))
 
+    def _merged(self, files: list[list[DataFile]], low, high) -> tuple[DataFile, ...]:
+        """One file after another of the rows from ``low`` up to ``high``, of every key the row of the last of ``files`` that has it."""
+        first = self._order()[0]
+        within = F.lit(True) if low is None else first >= low
+        if high is not None:
+            within = within & (first < high)
+        if low is None:
+            within = within | first.isNull()
+        near = [[f for f in some if (high is None or f.low[0] < (True, high)) and (low is None or f.high[0] >= (True, low))] for some in files]
+        # all versions of a row meet in the one shuffle that writing needs anyway
+        aged = [self._load(some).where(within).withColumn(AGE, F.lit(age)) for age, some in enumerate(near) if some]
+        return self._write(reduce(DataFrame.unionByName, aged), [F.desc(AGE)])
+
     def vacuum(self, keep: int = 1) -> int:
         """Remove what only versions before the newest ``keep`` need; returns how many files went."""
         versions = self.versions()
@@ -275,6 +289,21 @@ class SegmentTable:
         return len(gone)
 
 
+def _passes(files: Iterable[DataFile]) -> list[tuple]:
+    """Ranges of the key's first part that hold about ``MERGE_ROWS`` rows each, as far as the files' beginnings tell; ``None`` is no bound.
+
+    A merge needs room for the shuffle of one of them at a time, not for that of all its rows.
+    """
+    ordered = sorted(files, key=lambda f: f.low)
+    cuts, rows = [], 0
+    for file in ordered:
+        known, value = file.low[0]
+        if rows >= MERGE_ROWS and known and file.low[0] != ordered[0].low[0] and value not in cuts[-1:]:
+            cuts, rows = [*cuts, value], 0
+        rows += file.rows
+    return list(zip([None, *cuts], [*cuts, None])) if ordered else []
+
+
 def _plain(key) -> tuple:
     """A key that sorts in Python as in Spark: what is missing first, whatever its type."""
     return tuple((part["known"], part["value"]) if part["known"] else (False, "") for part in key)

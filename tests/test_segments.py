@@ -195,3 +195,41 @@ def test_segments_are_written_small(spark, tmp_path):
     stored = SegmentTable(spark, PAIRS, str(tmp_path))
     made = files_of(stored.upsert(numbered(spark, 0, 100, 1)))
     assert made and all(path.endswith(".zstd.parquet") for path in made) and stored.read().count() == 100
+
+
+def test_a_large_merge_goes_range_by_range(spark, tmp_path, small_files, monkeypatch):
+    """Every row of a key is in one range, those without key in the first; no write of the merge has all rows."""
+    stored, sizes, write = SegmentTable(spark, PAIRS, str(tmp_path)), [], SegmentTable._write
+
+    def noted(table, rows, newest):
+        sizes.append(rows.count())
+        return write(table, rows, newest)
+
+    stored.upsert(numbered(spark, 0, 1_000, 1).unionByName(pairs(spark, [(None, 5.0), (None, 6.0)])), compact=False)
+    stored.upsert(numbered(spark, 400, 1_400, 2).unionByName(pairs(spark, [(None, 5.0)])), compact=False)
+    before = content(stored.read())
+    monkeypatch.setattr(segments, "MERGE_ROWS", 300)
+    monkeypatch.setattr(SegmentTable, "_write", noted)
+    files = stored.compact(everything=True).segments[0].files
+    assert len(sizes) > 3 and sum(sizes) <= 2_003 and max(sizes) < 900
+    assert content(stored.read()) == before and len(before) == 1_402
+    assert all(a.high < b.low for a, b in zip(files, files[1:]))
+
+
+def test_a_large_merge_of_keys_with_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(segments, "MERGE_ROWS", 1)
+    stored = SegmentTable(spark, FRAUD_TRANSACTION, str(tmp_path))
+    days = [("1", f"2020-01-0{d} 10:00:00", "a", 1.0) for d in range(1, 6)] + [("2", None, "c", 1.0)]
+    for amount in (1.0, 2.0, 3.0):
+        stored.upsert(history(spark, *[(c, t, n, amount) for c, t, n, _ in days[int(amount) - 1 :]]), compact=False)
+    stored.compact(everything=True)
+    found = sorted((str(r.trans_time), r.amt) for r in stored.read().collect())
+    assert found == sorted([*[(f"2020-01-0{d} 10:00:00", min(d, 3.0)) for d in range(1, 6)], *[("None", a) for a in (1.0, 2.0, 3.0)]])
+
+
+def test_ranges_of_a_merge(monkeypatch):
+    """Each has a file that begins in it, also where many files begin with one key."""
+    monkeypatch.setattr(segments, "MERGE_ROWS", 10)
+    made = lambda *lows: [DataFile(str(i), 6, ((True, low),), ((True, "z"),)) for i, low in enumerate(lows)]
+    assert segments._passes([]) == [] and segments._passes(made("a", "a", "a", "a")) == [(None, None)]
+    assert segments._passes(made("a", "a", "a", "b", "b", "b", "c")) == [(None, "b"), ("b", "c"), ("c", None)]

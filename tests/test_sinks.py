@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from cardlens.operators.features import enrich, fraud_rows, history_rows
 from cardlens.plans.import_batch import import_transactions
-from cardlens.schema import CUSTOMER, FRAUD_TRANSACTION, NON_FRAUD_TRANSACTION, TRANSACTION
+from cardlens.schema import CARDHOLDER, CARDHOLDER_DETAILS, CUSTOMER, FRAUD_TRANSACTION, NON_FRAUD_TRANSACTION, TRANSACTION
 from cardlens.sinks.files import write_parquet, write_store, write_with_fallback
 from cardlens.sinks.keyed import _by_time, partition_value, upsert_keyed, winner_order
-from cardlens.sinks.segments import read_segments
+from cardlens.sinks.segments import SegmentTable, read_segments
 from cardlens.sinks.report import training_report
 from cardlens.sources.keyed import read_keyed
-from cardlens.workspace import shared_dir, snapshot
+from cardlens.workspace import DROP_SHUFFLES, shared_dir, snapshot
+from checks.queries import QUERIES
 from checks.tables import transactions
 from tests.conftest import SMALL
 
@@ -211,3 +212,29 @@ def test_history_rows_are_shuffled_once(spark, tmp_path):
         plan = laid._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange ") == 1 and plan.count("Sort [") == 1
         assert [r.trans_num for r in laid.collect()] == ["b"] and "_new" not in laid.columns
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for top in folders for _, _, names in os.walk(str(top)) for f in names if f.startswith("shuffle_")}
+
+
+def test_shuffles_go_with_the_write_that_made_them(spark, tmp_path):
+    rows = spark.range(2_000).withColumn("v", F.xxhash64("id"))
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    old = shuffle_files(spark)
+    kept = snapshot(rows.repartition(4, "v").groupBy("v").count())
+    assert kept.count() == 2_000
+    upsert_keyed(snapshot(history(spark, ("1", "2020-01-01 10:00:00", "a", 1.0))), MONTHLY, str(tmp_path), copied=True)
+    SegmentTable(spark, CARDHOLDER, str(tmp_path)).upsert(rows.select(F.col("v").cast("string").alias("cc_num"), F.timestamp_seconds("id").alias("valid_from"), *[F.lit(None).cast(CARDHOLDER.fields[c]).alias(c) for c in CARDHOLDER_DETAILS]))
+    sizes = shuffle_files(spark) - old
+    assert len(sizes) < 8 and spark.conf.get(DROP_SHUFFLES, None) == before  # what is left is of counts and ranges, a row a task
+
+
+@pytest.mark.parametrize("name", ["csv_folder", "log_structured_versions", "log_structured_upserts"])
+def test_copies_go_once_they_are_read(spark, name):
+    def copies():
+        return {d for d in os.listdir(shared_dir(spark).removeprefix("file:")) if d.startswith(("joined-", "snapshot-"))}
+
+    before = copies()
+    assert QUERIES[name](spark, SMALL).count() > 0 and copies() == before
