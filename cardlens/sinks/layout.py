@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardlens.operators.cardholders import HOT_SHARE, as_of_time, as_of_time_salted, hot_cards
-from cardlens.workspace import snapshot
+from cardlens.workspace import passing_shuffles, snapshot
 
 CARD_BUCKETS = 64
 
@@ -19,7 +19,8 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
     """Parquet files that each hold one bucket of ``key``; a bucket with most of the rows is written by several tasks."""
     name = f"bucketed_{uuid.uuid4().hex}"
     spread = df.hint("rebalance", buckets, F.col(key))
-    spread.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    with passing_shuffles(df.sparkSession):
+        spread.write.bucketBy(buckets, key).sortBy(key).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(name)
     df.sparkSession.sql(f"DROP TABLE {name}")  # the files stay: a table with a path of its own is external
 
 
@@ -62,5 +63,6 @@ def lay_out_by_card(history: DataFrame, versions: DataFrame, path: str, buckets:
     hot = F.broadcast(snapshot(hot_cards(history, share), f"{path}/hot"))  # fewer than ``share`` rows
     for name, df in (("history", history), ("versions", versions)):
         write_bucketed(df.join(hot, "cc_num", "left_anti"), f"{path}/{name}", "cc_num", buckets)
-        df.join(hot, "cc_num", "left_semi").write.parquet(f"{path}/hot_{name}")
+        with passing_shuffles(df.sparkSession):
+            df.join(hot, "cc_num", "left_semi").write.option("compression", "zstd").parquet(f"{path}/hot_{name}")
     return CardLayout(path, buckets, history.schema, versions.schema)
