@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -96,3 +97,10 @@ def snapshot(df: DataFrame, path: str | None = None) -> DataFrame:
     with passing_shuffles(spark):
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_snapshot(copy: DataFrame) -> None:
+    """Delete the scratch copy that ``snapshot`` returned, once nothing reads it any more; other files are left alone."""
+    for folder in {unquote(file.rsplit("/", 1)[0]) for file in copy.inputFiles()}:
+        if folder.rsplit("/", 1)[-1].startswith("snapshot-"):
+            remove_path(copy.sparkSession, folder)

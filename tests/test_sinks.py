@@ -1,4 +1,5 @@
 import os
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -214,21 +215,26 @@ def test_history_rows_are_shuffled_once(spark, tmp_path):
         assert [r.trans_num for r in laid.collect()] == ["b"] and "_new" not in laid.columns
 
 
-def shuffle_files(spark):
+def shuffle_sizes(spark):
     folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
-    return {f for top in folders for _, _, names in os.walk(str(top)) for f in names if f.startswith("shuffle_")}
+    found = (os.path.join(d, f) for top in folders for d, _, names in os.walk(str(top)) for f in names if f.startswith("shuffle_"))
+    return {path: os.path.getsize(path) for path in found if os.path.exists(path)}
 
 
 def test_shuffles_go_with_the_write_that_made_them(spark, tmp_path):
-    rows = spark.range(2_000).withColumn("v", F.xxhash64("id"))
-    before = spark.conf.get(DROP_SHUFFLES, None)
-    old = shuffle_files(spark)
-    kept = snapshot(rows.repartition(4, "v").groupBy("v").count())
-    assert kept.count() == 2_000
-    upsert_keyed(snapshot(history(spark, ("1", "2020-01-01 10:00:00", "a", 1.0))), MONTHLY, str(tmp_path), copied=True)
-    SegmentTable(spark, CARDHOLDER, str(tmp_path)).upsert(rows.select(F.col("v").cast("string").alias("cc_num"), F.timestamp_seconds("id").alias("valid_from"), *[F.lit(None).cast(CARDHOLDER.fields[c]).alias(c) for c in CARDHOLDER_DETAILS]))
-    sizes = shuffle_files(spark) - old
-    assert len(sizes) < 8 and spark.conf.get(DROP_SHUFFLES, None) == before  # what is left is of counts and ranges, a row a task
+    """What is left is of counts and ranges, a row a task; files are removed a moment after the write."""
+    rows = spark.range(50_000).withColumn("v", F.xxhash64("id"))
+    before, old = spark.conf.get(DROP_SHUFFLES, None), shuffle_sizes(spark)
+    kept = snapshot(rows.repartition(4, "v"))
+    versions = kept.select(F.col("v").cast("string").alias("cc_num"), F.timestamp_seconds("id").alias("valid_from"), *[F.lit(None).cast(CARDHOLDER.fields[c]).alias(c) for c in CARDHOLDER_DETAILS])
+    stored = SegmentTable(spark, CARDHOLDER, str(tmp_path))
+    stored.upsert(versions)
+    for _ in range(50):
+        left = sum(size for path, size in shuffle_sizes(spark).items() if path not in old)
+        if left < 100_000:
+            break
+        time.sleep(0.2)
+    assert left < 100_000 and spark.conf.get(DROP_SHUFFLES, None) == before and stored.read().count() == 50_000
 
 
 @pytest.mark.parametrize("name", ["csv_folder", "log_structured_versions", "log_structured_upserts"])
